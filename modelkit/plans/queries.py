@@ -192,11 +192,12 @@ def graph_vertices(spark, sf):
     team_rows = dedupe.dedupe(src.teams(spark, sf), ["team_id"], [F.col("nickname").desc()])
     team_props = {c: F.col(c) for c in ("abbreviation", "nickname", "city", "arena")}
     team = graph.vertices(team_rows, "team_id", "team", {**team_props, "year_founded": F.col("yearfounded")})
-    return (
+    out = (
         graph.game_vertices(src.games(spark, sf))
         .unionByName(graph.player_vertices(src.details(spark, sf)))
         .unionByName(team)
     )
+    return out.withColumn("identifier", F.col("identifier").cast("string"))
 
 
 @query
