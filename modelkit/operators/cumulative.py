@@ -110,6 +110,7 @@ def cumulate_backfill(src: DataFrame, spec: Cumulative, last: int | None = None,
 def group_detail(
     detail: DataFrame,
     keys: Sequence[str],
+    attrs: Sequence[str],
     period: str,
     fields: Sequence[str],
     measure: str,
@@ -117,42 +118,52 @@ def group_detail(
     history: str = "films",
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Pre-group detail rows: arrays per (entity, period, segment) with the entity's average ``measure``.
+    """Pre-group detail rows: one array per (entity, period, segment) with the sum and count of ``measure``.
 
     An entity with more than ``hot_rows`` rows in a period is split by a hash of ``spread`` into
     segments of about that size, so no task and no row has to hold an unbounded group. Ordinary
-    entities have the single segment 0. The average is taken over the whole entity and period.
+    entities have the single segment 0. Sums and counts of the segments add up to those of the entity.
     """
     by = [*keys, period]
-    segmented = with_segment(detail, by, spread, hot_rows)
-    arrays = segmented.groupBy(*by, "segment").agg(
-        F.array_sort(F.collect_list(F.struct(*fields))).alias(history)
+    return (
+        with_segment(detail, by, spread, hot_rows)
+        .groupBy(*by, "segment")
+        .agg(
+            *[F.max(c).alias(c) for c in attrs],
+            F.array_sort(F.collect_list(F.struct(*fields))).alias(history),
+            F.sum(measure).alias("__sum"),
+            F.count(measure).alias("__n"),
+        )
     )
-    averages = detail.groupBy(*by).agg(F.avg(measure).alias("__avg"))
-    return arrays.join(averages, by)
 
 
-def cumulate_detail_step(
-    prev: DataFrame, grouped: DataFrame, spec: Cumulative, at: int
-) -> DataFrame:
+def _entity_averages(grouped: DataFrame, by: Sequence[str], attrs: Sequence[str]) -> DataFrame:
+    average = F.try_divide(F.sum("__sum"), F.sum("__n")).alias("__avg")
+    return grouped.groupBy(*by).agg(average, *[F.max(c).alias(c) for c in attrs])
+
+
+def cumulate_detail_step(prev: DataFrame, grouped: DataFrame, spec: Cumulative, at: int) -> DataFrame:
     """Cumulative step over pre-grouped detail: names of today first, class from today's average.
 
     Rows are keyed by entity and segment. Class and activity belong to the entity, so they are joined
-    per entity (one row each) and every segment row shows the same values.
+    per entity (one row each) and every segment row shows the same values. An entity is active when it
+    has detail rows, and keeps its class while none of them has a ``measure``.
     """
     keys = list(spec.keys)
     t = grouped.where(F.col(spec.period) == at)
-    today_entity = t.groupBy(*keys).agg(
-        F.max("__avg").alias("__avg"), *[F.max(c).alias(f"t_{c}") for c in spec.attrs]
+    today = _entity_averages(t, keys, spec.attrs).select(
+        *keys, "__avg", F.lit(True).alias("__active"), *[F.col(c).alias(f"t_{c}") for c in spec.attrs]
     )
-    prev_entity = prev.groupBy(*keys).agg(
+    before = prev.groupBy(*keys).agg(
         F.max(spec.label).alias("__label"), *[F.max(c).alias(f"p_{c}") for c in spec.attrs]
     )
-    entity = prev_entity.join(today_entity, keys, "full_outer")
+    entity = before.join(today, keys, "full_outer")
     past = prev.select(*keys, "segment", F.col(spec.history).alias("p_history"))
     new = t.select(*keys, "segment", F.col(spec.history).alias("t_history"))
     history = F.concat(F.coalesce("p_history", F.array()), F.coalesce("t_history", F.array()))
-    active = F.col("__avg").isNotNull()
+    label = F.when(F.col("__avg").isNull() & F.col("__label").isNotNull(), F.col("__label")).otherwise(
+        band(F.col("__avg"), spec.bands, spec.default)
+    )
     return (
         past.join(new, [*keys, "segment"], "full_outer")
         .join(entity, keys)
@@ -161,9 +172,9 @@ def cumulate_detail_step(
             *[F.coalesce(f"t_{c}", f"p_{c}").alias(c) for c in spec.attrs],
             "segment",
             history.alias(spec.history),
-            F.when(active, band(F.col("__avg"), spec.bands, spec.default)).otherwise(F.col("__label")).alias(spec.label),
+            label.alias(spec.label),
             F.lit(at).cast("int").alias(spec.current),
-            active.alias("is_active"),
+            F.coalesce("__active", F.lit(False)).alias("is_active"),
         )
     )
 
@@ -177,9 +188,13 @@ def cumulate_detail_backfill(grouped: DataFrame, spec: Cumulative, last: int | N
         F.array_sort(F.collect_list(F.struct(F.col(spec.period), F.col(spec.history).alias("rows")))).alias("__all"),
         F.min(spec.period).cast("int").alias("__first"),
     )
-    averages = grouped.where(F.col("segment") == 0).groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(spec.period), F.col("__avg")))).alias("__avgs"),
-        *[F.max(c).alias(c) for c in spec.attrs],
+    averages = (
+        _entity_averages(grouped, [*keys, spec.period], spec.attrs)
+        .groupBy(*keys)
+        .agg(
+            F.array_sort(F.collect_list(F.struct(F.col(spec.period), F.col("__avg")))).alias("__avgs"),
+            F.array_sort(F.collect_list(F.struct(F.col(spec.period), *[F.col(c) for c in spec.attrs]))).alias("__attrs"),
+        )
     )
     spine = (
         segments.join(averages, keys)
@@ -188,15 +203,18 @@ def cumulate_detail_backfill(grouped: DataFrame, spec: Cumulative, last: int | N
         .withColumn(spec.current, F.explode(F.sequence("__first", "__end")))
     )
     current = F.col(spec.current)
-    until = F.filter("__avgs", lambda s: s[spec.period] <= current)
-    newest = F.try_element_at(until, F.lit(-1))
-    past = F.filter("__all", lambda s: s[spec.period] <= current)
+
+    def until(name: str) -> Column:
+        return F.filter(name, lambda s: s[spec.period] <= current)
+
+    rated = F.filter(until("__avgs"), lambda s: s["__avg"].isNotNull())
+    newest = F.try_element_at(until("__attrs"), F.lit(-1))
     return spine.select(
         *keys,
-        *spec.attrs,
+        *[newest[c].alias(c) for c in spec.attrs],
         "segment",
-        F.flatten(F.transform(past, lambda s: s["rows"])).alias(spec.history),
-        band(newest["__avg"], spec.bands, spec.default).alias(spec.label),
+        F.flatten(F.transform(until("__all"), lambda s: s["rows"])).alias(spec.history),
+        band(F.try_element_at(rated, F.lit(-1))["__avg"], spec.bands, spec.default).alias(spec.label),
         current,
         (newest[spec.period] == current).alias("is_active"),
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 SLOTS = 10_000
@@ -55,22 +56,20 @@ def experiment_readout(units: DataFrame, metric: str, control: str = "control")
     stats = units.groupBy("experiment", "variant").agg(
         F.count(metric).alias("units"), F.avg(metric).alias("mean"), F.var_samp(metric).alias("variance")
     )
-    base = stats.where(F.col("variant") == control).select(
-        "experiment",
-        F.col("units").alias("__n"),
-        F.col("mean").alias("__mean"),
-        F.col("variance").alias("__var"),
-    )
-    error = F.sqrt(F.try_divide("variance", "units") + F.try_divide("__var", "__n"))
-    difference = F.col("mean") - F.col("__mean")
+    variants = W.partitionBy("experiment")
     is_control = F.col("variant") == control
-    return stats.join(base, "experiment", "left").select(
+    base_n, base_mean, base_variance = (
+        F.max(F.when(is_control, F.col(c))).over(variants) for c in ("units", "mean", "variance")
+    )
+    error = F.sqrt(F.try_divide("variance", "units") + F.try_divide(base_variance, base_n))
+    difference = F.col("mean") - base_mean
+    return stats.select(
         "experiment",
         "variant",
         "units",
         "mean",
         "variance",
-        F.when(~is_control, F.try_divide(difference, F.col("__mean"))).alias("lift"),
+        F.when(~is_control, F.try_divide(difference, base_mean)).alias("lift"),
         F.when(~is_control, F.try_divide(difference, error)).alias("z_score"),
     )
 

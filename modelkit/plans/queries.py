@@ -5,6 +5,7 @@ Arrays, dates and timestamps are shown as text at the boundary so that any engin
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,9 +61,14 @@ def as_text(df: DataFrame) -> DataFrame:
     return df.select(*shown)
 
 
-def latest(df: DataFrame, column: str):
-    """The largest value of a column: one scalar, used as the run parameter of a job."""
-    return df.agg(F.max(column)).first()[0]
+def last_season(spark: SparkSession, sf: str) -> int:
+    """Year of the latest order: one scalar from one column, the run parameter of the yearly jobs."""
+    return tables.read_table(spark, sf, "orders").agg(F.max("o_orderdate")).first()[0].year
+
+
+def last_day(spark: SparkSession, sf: str) -> dt.date:
+    """Day of the latest event, the run parameter of the daily jobs."""
+    return tables.read_table(spark, sf, "events").agg(F.max("ts")).first()[0].date()
 
 
 # --- facts and dimensions ----------------------------------------------------------------------------
@@ -94,11 +100,11 @@ ACTOR = cumulative.Cumulative(
 
 
 def players(spark: SparkSession, sf: str) -> DataFrame:
-    return cumulative.cumulate_backfill(src.player_seasons(spark, sf), PLAYER)
+    return cumulative.cumulate_backfill(src.player_seasons(spark, sf), PLAYER, last_season(spark, sf))
 
 
 def player_snapshot(spark: SparkSession, sf: str) -> DataFrame:
-    return cumulative.cumulate_backfill(src.player_seasons(spark, sf), PLAYER, snapshot_only=True)
+    return cumulative.cumulate_backfill(src.player_seasons(spark, sf), PLAYER, last_season(spark, sf), snapshot_only=True)
 
 
 @query
@@ -122,8 +128,7 @@ def player_cumulative(spark, sf):
 @query
 def player_cumulative_step(spark, sf):
     """The last period added to the table of the period before."""
-    seasons = src.player_seasons(spark, sf)
-    last = latest(seasons, "season")
+    seasons, last = src.player_seasons(spark, sf), last_season(spark, sf)
     before = cumulative.cumulate_backfill(seasons.where(F.col("season") < last), PLAYER, last - 1, snapshot_only=True)
     out = cumulative.cumulate_step(before, seasons, PLAYER, last)
     text = F.transform("season_stats", lambda s: F.concat_ws(":", s["season"], s["gp"]))
@@ -133,25 +138,24 @@ def player_cumulative_step(spark, sf):
 @query
 def actor_cumulative(spark, sf):
     grouped = cumulative.group_detail(
-        src.films(spark, sf), ["actorid", "actor"], "year", ["film", "votes", "rating", "filmid"], "rating", ["filmid"]
+        src.films(spark, sf), ["actorid"], ["actor"], "year", ["film", "votes", "rating", "filmid"], "rating", ["filmid"]
     )
-    out = cumulative.cumulate_detail_backfill(grouped, ACTOR)
+    out = cumulative.cumulate_detail_backfill(grouped, ACTOR, last_season(spark, sf))
     films = F.transform("films", lambda f: f["filmid"])
     return as_text(out.withColumn("films", films).drop("segment"))
 
 
 @query
 def scd2_backfill(spark, sf):
-    seasons = src.player_seasons(spark, sf)
+    tracked = ["scoring_class", "is_active"]
     return scd.scd2_backfill(
-        players(spark, sf), ["player"], ["scoring_class", "is_active"], "current_season", as_of=latest(seasons, "season")
+        players(spark, sf), ["player"], tracked, "current_season", as_of=last_season(spark, sf)
     )
 
 
 @query
 def scd2_incremental(spark, sf):
-    table = players(spark, sf)
-    last = latest(src.player_seasons(spark, sf), "season")
+    table, last = players(spark, sf), last_season(spark, sf)
     tracked = ["scoring_class", "is_active"]
     base = scd.scd2_backfill(table, ["player"], tracked, "current_season", as_of=last - 1)
     now = table.where(F.col("current_season") == last)
@@ -187,6 +191,12 @@ def _plays_in(spark: SparkSession, sf: str) -> DataFrame:
     return graph.edges(_players_in_games(spark, sf), ("player_id", "player"), ("game_id", "game"), "plays_in", props)
 
 
+def _stored(spark: SparkSession, vertices: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Vertex and edge tables written once, since graph queries read them more than once."""
+    base = src.scratch(spark, "graph")
+    return tables.stored(vertices, f"{base}/vertices"), tables.stored(edges, f"{base}/edges")
+
+
 @query
 def graph_vertices(spark, sf):
     team_rows = dedupe.dedupe(src.teams(spark, sf), ["team_id"], [F.col("nickname").desc()])
@@ -220,15 +230,16 @@ def graph_edges_pair(spark, sf):
 
 @query
 def graph_max_points(spark, sf):
-    return graph.max_edge_value(
-        graph.player_vertices(src.details(spark, sf)), _plays_in(spark, sf), "pts", "player_name"
-    )
+    vertices, edges = _stored(spark, graph.player_vertices(src.details(spark, sf)), _plays_in(spark, sf))
+    return graph.max_edge_value(vertices, edges, "pts", "player_name")
 
 
 @query
 def graph_traverse(spark, sf):
-    edges = graph.pair_edges(_pairs(spark, sf))
-    return graph.game_rate_edges(graph.player_vertices(src.details(spark, sf)), edges)
+    vertices, edges = _stored(
+        spark, graph.player_vertices(src.details(spark, sf)), graph.pair_edges(_pairs(spark, sf))
+    )
+    return graph.game_rate_edges(vertices, edges)
 
 
 # --- activity ----------------------------------------------------------------------------------------
@@ -236,16 +247,17 @@ def graph_traverse(spark, sf):
 
 @query
 def user_datelist(spark, sf):
-    return as_text(datelist.datelist_backfill(src.web_events(spark, sf), ["user_id"], "event_time"))
+    return as_text(datelist.datelist_backfill(src.web_events(spark, sf), ["user_id"], "event_time", last_day(spark, sf)))
 
 
 @query
 def user_datelist_step(spark, sf):
     """The last day added to the lists of the day before."""
-    events = src.web_events(spark, sf)
-    ds = latest(events.select(F.to_date("event_time").alias("d")), "d")
+    events, ds = src.web_events(spark, sf), last_day(spark, sf)
     earlier = events.where(F.col("event_time") < F.lit(ds).cast("timestamp_ntz"))
-    before = datelist.datelist_backfill(earlier, ["user_id"], "event_time", snapshot_only=True)
+    before = datelist.datelist_backfill(
+        earlier, ["user_id"], "event_time", ds - dt.timedelta(days=1), snapshot_only=True
+    )
     today = datelist.active_on(events, ["user_id"], "event_time", ds)
     return as_text(datelist.datelist_step(before, today, ["user_id"], ds))
 
@@ -259,7 +271,7 @@ def _user_browsers(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def device_datelist(spark, sf):
     out = datelist.datelist_backfill(
-        _user_browsers(spark, sf), ["user_id", "browser_type"], "event_time",
+        _user_browsers(spark, sf), ["user_id", "browser_type"], "event_time", last_day(spark, sf),
         name="device_activity_datelist", snapshot_only=True,
     )
     return as_text(out)
@@ -268,7 +280,8 @@ def device_datelist(spark, sf):
 @query
 def device_datelist_map(spark, sf):
     out = datelist.datelist_backfill(
-        _user_browsers(spark, sf), ["user_id", "browser_type"], "event_time", name="dates", snapshot_only=True
+        _user_browsers(spark, sf), ["user_id", "browser_type"], "event_time", last_day(spark, sf),
+        name="dates", snapshot_only=True,
     )
     by_user = datelist.datelist_map(out, ["user_id"], "browser_type", "dates")
     return by_user.select("user_id", F.explode("dates").alias("browser_type", "d")).select(
@@ -279,13 +292,16 @@ def device_datelist_map(spark, sf):
 @query
 def host_datelist(spark, sf):
     out = datelist.datelist_backfill(
-        src.web_events(spark, sf), ["host"], "event_time", order="asc", name="host_activity_datelist"
+        src.web_events(spark, sf), ["host"], "event_time", last_day(spark, sf),
+        order="asc", name="host_activity_datelist",
     )
     return as_text(out)
 
 
 def _masks(spark: SparkSession, sf: str) -> DataFrame:
-    snapshot = datelist.datelist_backfill(src.web_events(spark, sf), ["user_id"], "event_time", snapshot_only=True)
+    snapshot = datelist.datelist_backfill(
+        src.web_events(spark, sf), ["user_id"], "event_time", last_day(spark, sf), snapshot_only=True
+    )
     return snapshot.select(
         "user_id",
         bits.datelist_int(F.col("dates_active"), F.col("date")).alias("datelist_int"),
@@ -309,7 +325,9 @@ def _user_hits(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _site_hits(spark: SparkSession, sf: str) -> DataFrame:
-    return arraymetrics.array_metric_backfill(_user_hits(spark, sf), ["user_id"], {"metric_array": "hits"})
+    return arraymetrics.array_metric_backfill(
+        _user_hits(spark, sf), ["user_id"], {"metric_array": "hits"}, last_day(spark, sf)
+    )
 
 
 @query
@@ -320,17 +338,18 @@ def array_metric(spark, sf):
 @query
 def array_metric_step(spark, sf):
     """The last day written into the arrays of the days before it in the month."""
-    daily = _user_hits(spark, sf)
-    ds = latest(daily, "date")
+    daily, ds = _user_hits(spark, sf), last_day(spark, sf)
     earlier = daily.where((F.col("date") < F.lit(ds)) & (F.col("date") >= F.lit(ds.replace(day=1))))
-    before = arraymetrics.array_metric_backfill(earlier, ["user_id"], {"metric_array": "hits"})
+    before = arraymetrics.array_metric_backfill(
+        earlier, ["user_id"], {"metric_array": "hits"}, ds - dt.timedelta(days=1)
+    )
     return as_text(arraymetrics.array_metric_step(before, daily, ["user_id"], {"metric_array": "hits"}, ds))
 
 
 @query
 def monthly_hits(spark, sf):
     out = arraymetrics.array_metric_backfill(
-        _user_hits(spark, sf), ["user_id"], {"hit_array": "hits"}, pad=None, track_first=True
+        _user_hits(spark, sf), ["user_id"], {"hit_array": "hits"}, last_day(spark, sf), pad=None, track_first=True
     )
     return as_text(out)
 
@@ -342,7 +361,7 @@ def host_reduced(spark, sf):
         {"n": F.count(F.lit(1)), "visitors": F.count_distinct("user_id")},
     )
     out = arraymetrics.array_metric_backfill(
-        daily, ["host"], {"hits": "n", "unique_visitors": "visitors"}, month="month"
+        daily, ["host"], {"hits": "n", "unique_visitors": "visitors"}, last_day(spark, sf), month="month"
     )
     return as_text(out)
 
@@ -369,12 +388,12 @@ def array_lengths(spark, sf):
 
 @query
 def growth_accounting(spark, sf):
-    return as_text(growth.growth_backfill(src.web_events(spark, sf), "event_time"))
+    return as_text(growth.growth_backfill(src.web_events(spark, sf), "event_time", last=last_day(spark, sf)))
 
 
 @query
 def retention(spark, sf):
-    return growth.retention(growth.growth_backfill(src.web_events(spark, sf), "event_time"))
+    return growth.retention(growth.growth_backfill(src.web_events(spark, sf), "event_time", last=last_day(spark, sf)))
 
 
 @query
@@ -483,12 +502,9 @@ def monthly_actives_by_referrer(spark, sf):
 def actives_by_dim(spark, sf):
     rows = src.web_augmented(spark, sf)
     since = F.col("event_time") >= F.lit("2024-01-08").cast("timestamp_ntz")
-    parts = [
-        dashboards.actives_by(rows, dim, where=since & F.col("referrer").isNotNull(), min_users=1, max_users=56_083)
-        .select(F.lit(dim).alias("dimension"), F.col(dim).alias("member"), "users")
-        for dim in ("referrer", "os_type", "browser_type")
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    keep = since & F.col("referrer").isNotNull()
+    dims = ["referrer", "os_type", "browser_type"]
+    return dashboards.actives_by(rows, dims, where=keep, min_users=1, max_users=56_083)
 
 
 @query
@@ -581,8 +597,7 @@ def bucketed_join(spark, sf):
 
 @query
 def table_upsert(spark, sf):
-    seasons = src.player_seasons(spark, sf).select("player", "season", "gp")
-    last = latest(seasons, "season")
+    seasons, last = src.player_seasons(spark, sf).select("player", "season", "gp"), last_season(spark, sf)
     base = seasons.where(F.col("season") == last - 1)
     return tables.upsert(base, seasons.where(F.col("season") == last), ["player"])
 
@@ -748,7 +763,9 @@ def reconcile(spark, sf):
     referred = arraymetrics.daily_metrics(
         events.where(F.col("referrer").isNotNull()), ["user_id"], "event_time", {"hits": F.count(F.lit(1))}
     )
-    arrays = arraymetrics.array_metric_backfill(referred, ["user_id"], {"metric_array": "hits"})
+    arrays = arraymetrics.array_metric_backfill(
+        referred, ["user_id"], {"metric_array": "hits"}, last_day(spark, sf)
+    )
     right = arraymetrics.array_metric_explode(arrays, "metric_array", value="events").select("date", "events")
     return as_text(quality.reconcile(left, right, ["date"], "events"))
 

@@ -111,19 +111,16 @@ EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type st
 
 def _web_columns(raw: DataFrame, ts: F.Column) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("long")
-    # Referrer texts by k modulo 7; the remaining residues have none or are kept as they are.
-    referrers = {
-        0: "https://www.linkedin.com/feed",
-        1: "https://t.co/abc",
-        2: "https://www.google.com/",
-        3: "https://lnkd.in/xyz",
-        4: "https://news.example.org/",
-        5: "https://blog.example.net/",
-    }
-    referrer = None
-    for residue, text in referrers.items():
-        hit = F.col("device_id") % 7 == residue
-        referrer = F.when(hit, text) if referrer is None else referrer.when(hit, text)
+    # Referrer texts by k modulo 7; the last residue has none.
+    referrers = (
+        "https://www.linkedin.com/feed",
+        "https://t.co/abc",
+        "https://www.google.com/",
+        "https://lnkd.in/xyz",
+        "https://news.example.org/",
+        "https://blog.example.net/",
+    )
+    referrer = F.get(F.array(*[F.lit(r) for r in referrers]), (F.col("device_id") % 7).cast("int"))
     user = F.col("user_id")
     return raw.withColumn("device_id", k).select(
         "event_id",

@@ -72,6 +72,12 @@ def write_table(
     writer.saveAsTable(name)
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` and read it back: later plans scan the files instead of computing ``df`` again."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def insert_overwrite(df: DataFrame, name: str) -> None:
     """Overwrite an existing table. ``insertInto`` is positional, so columns are put in table order."""
     columns = df.sparkSession.table(name).columns
