@@ -18,20 +18,37 @@ HOT_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate, taken from file sizes; an upper bound for filters and joins."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def checked_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Hint a broadcast only if the optimizer's size estimate is within ``max_bytes``.
 
     Above it the frame comes back without a hint and the join stays a shuffled one, in which AQE
     splits skewed partitions.
     """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return F.broadcast(df) if size <= max_bytes else df
+    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
+
+
+def hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows and the number of shards to split each into.
+
+    The count is partially aggregated and reads the key columns only. The result has at most
+    total_rows / hot_rows rows, so it is safe to broadcast.
+    """
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    shards = F.ceil(F.col("__n") / F.lit(hot_rows)).cast("int")
+    return counts.where(F.col("__n") > hot_rows).select(*[F.col(k).alias(f"__hot_{k}") for k in keys], shards.alias("__shards"))
 
 
-def hot_keys(counts: DataFrame, keys: Sequence[str], weight: str, hot_rows: int) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows and the number of shards each is split into."""
-    shards = F.ceil(F.col(weight) / F.lit(hot_rows)).cast("int")
-    return counts.where(F.col(weight) > hot_rows).select(*keys, shards.alias("__shards"))
+def _mark_hot(rows: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add ``__shards`` to the rows of hot keys, NULL keys included. Rows are not shuffled."""
+    match = F.lit(True)
+    for k in keys:
+        match = match & rows[k].eqNullSafe(F.col(f"__hot_{k}"))
+    return rows.join(F.broadcast(hot), match, "left").drop(*[f"__hot_{k}" for k in keys])
 
 
 def with_segment(
@@ -43,17 +60,11 @@ def with_segment(
 ) -> DataFrame:
     """Number the shards of each key: 0 for ordinary keys, a hash of ``spread`` for hot ones.
 
-    ``spread`` should be (nearly) unique within a key. Rows keep their place: the hot-key list is
-    broadcast (at most total_rows / hot_rows entries), so the rows themselves are not shuffled.
+    ``spread`` should be (nearly) unique within a key.
     """
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    hot = hot_keys(counts, keys, "__n", hot_rows)
+    marked = _mark_hot(rows, hot_keys(rows, keys, hot_rows), keys)
     shard = F.pmod(F.xxhash64(*spread), F.col("__shards")).cast("int")
-    return (
-        rows.join(F.broadcast(hot), list(keys), "left")
-        .withColumn(name, F.coalesce(shard, F.lit(0)))
-        .drop("__shards")
-    )
+    return marked.withColumn(name, F.coalesce(shard, F.lit(0))).drop("__shards")
 
 
 def salted_join(
@@ -61,55 +72,71 @@ def salted_join(
     lookup: DataFrame,
     keys: Sequence[str],
     spread: Sequence[str],
-    weight: str,
     how: str = "inner",
     hot_rows: int = HOT_ROWS,
+    counted: DataFrame | None = None,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join ``rows`` to the single ``lookup`` row of their key, spreading hot keys over many tasks.
 
-    ``weight`` is the lookup column with the number of rows of the key; it is dropped from the result.
-    Only hot keys are replicated, once per shard, so the lookup grows by at most total_rows / hot_rows
-    rows.
+    A lookup whose estimated size is within ``max_bytes`` is broadcast, which no key can unbalance.
+    Otherwise hot keys are counted in ``counted`` (default ``rows``; give the raw table if ``rows`` is a
+    long plan over it, counting too many keys as hot does no harm). Rows of a hot key are sharded by a hash of ``spread`` and only its lookup row is copied, once per
+    shard, so the lookup grows by at most total_rows / hot_rows rows. All other keys join as usual.
     """
     keys = list(keys)
-    shards = F.ceil(F.greatest(F.col(weight), F.lit(1)) / F.lit(hot_rows)).cast("int")
-    copies = lookup.withColumn("__salt", F.explode(F.sequence(F.lit(0), shards - 1))).drop(weight)
-    hot = hot_keys(lookup, keys, weight, hot_rows)
-    salted = (
-        rows.join(F.broadcast(hot), keys, "left")
-        .withColumn(
-            "__salt", F.coalesce(F.pmod(F.xxhash64(*spread), F.col("__shards")).cast("int"), F.lit(0))
-        )
-        .drop("__shards")
+    if estimated_bytes(lookup) <= max_bytes:
+        return rows.join(F.broadcast(lookup), keys, how)
+    hot = hot_keys(rows if counted is None else counted, keys, hot_rows)
+    shard = F.pmod(F.xxhash64(*spread), F.col("__shards")).cast("int")
+    salted = _mark_hot(rows, hot, keys).withColumn("__salt", F.coalesce(shard, F.lit(0))).drop("__shards")
+    last = F.coalesce("__shards", F.lit(1)) - 1
+    copies = (
+        _mark_hot(lookup, hot, keys).withColumn("__salt", F.explode(F.sequence(F.lit(0), last))).drop("__shards")
     )
     return salted.join(copies, [*keys, "__salt"], how).drop("__salt")
 
 
+def _with_block(df: DataFrame, keys: Sequence[str], block: Column, hot_rows: int | None) -> DataFrame:
+    """Add ``__block``: the block of a row of a hot key, NULL for keys that fit one task."""
+    if hot_rows is None:
+        return df.withColumn("__block", block)
+    marked = _mark_hot(df, hot_keys(df, keys, hot_rows), keys)
+    return marked.withColumn("__block", F.when(F.col("__shards").isNotNull(), block)).drop("__shards")
+
+
 def ordered_number(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column | None = None, name: str = "row_number"
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    block: Column | None = None,
+    name: str = "row_number",
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Exact 1-based position of each row within its key.
 
-    ``block`` is a non-decreasing expression of the first order column (month of a date, a range of an
-    id). Rows are numbered inside (key, block); the rows before a block come from a running sum over
-    the block counts, of which a key has as many as there are blocks. ``order`` must be total.
-    Keys are entity identifiers and must not be NULL.
+    ``block`` is a non-decreasing expression of the first order column (the day of a time, a range of
+    an id). Keys with more than ``hot_rows`` rows (every key if None) are numbered inside (key, block);
+    the rows before a block come from a running sum over the block counts, of which a key has as many as
+    there are blocks. ``order`` must be total and keys must not be NULL.
     """
     keys = list(keys)
     if block is None:
         return df.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
-    blocked = df.withColumn("__block", block)
+    blocked = _with_block(df, keys, block, hot_rows)
     inside = blocked.withColumn("__pos", F.row_number().over(W.partitionBy(*keys, "__block").orderBy(*order)))
     before = W.partitionBy(*keys).orderBy("__block").rowsBetween(W.unboundedPreceding, -1)
     carry = (
-        blocked.groupBy(*keys, "__block")
+        blocked.where(F.col("__block").isNotNull())
+        .groupBy(*keys, "__block")
         .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+        .withColumn("__before", F.sum("__n").over(before))
         .drop("__n")
     )
+    position = F.col("__pos") + F.coalesce("__before", F.lit(0))
     return (
-        inside.join(carry, [*keys, "__block"])
-        .withColumn(name, (F.col("__pos") + F.col("__before")).cast("long"))
+        inside.join(carry, [*keys, "__block"], "left")
+        .withColumn(name, position.cast("long"))
         .drop("__block", "__pos", "__before")
     )
 
@@ -145,6 +172,7 @@ def islands(
     values: Sequence[str] = (),
     gap: Column | None = None,
     block: Column | None = None,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Collapse consecutive rows of a key into islands: one row with first, last and count.
 
@@ -152,51 +180,51 @@ def islands(
     ``gap`` (an interval) is given, its first order column is at most ``gap`` after the predecessor's.
     Output: keys, values, ``start``, ``end`` (of the first order column) and ``n``.
 
-    With ``block`` (a non-decreasing expression of the first order column) rows are collapsed inside
-    (key, block) first. Only the first and last island of a block can touch a neighbour, so the second
-    pass orders at most two rows per key and block, however many rows the key has.
-    Keys must not be NULL.
+    With ``block`` (a non-decreasing expression of the first order column) the rows of keys with more
+    than ``hot_rows`` rows (of every key if None) are collapsed inside (key, block) first. Only the first
+    and last island of a block can touch a neighbour, so the second pass orders at most two rows per key
+    and block, however many rows the key has. Keys must not be NULL.
     """
-    keys, values = list(keys), list(values)
-    position = F.struct(*order)
-    rows = df.select(
-        *keys, *values, position.alias("__first"), position.alias("__last"), F.lit(1).cast("long").alias("n"),
-        *([block.alias("__block")] if block is not None else []),
+    keys, values, lead = list(keys), list(values), F.col(order[0])
+    source = df if block is None else _with_block(df, keys, block, hot_rows)
+    rows = source.select(
+        *keys,
+        *values,
+        lead.alias("start"),
+        lead.alias("end"),
+        F.lit(1).cast("long").alias("n"),
+        *[F.col(c).alias(f"__order{i}") for i, c in enumerate(order)],
+        *(["__block"] if block is not None else []),
     )
-    lead = order[0]
-
-    def finish(out: DataFrame) -> DataFrame:
-        return out.select(
-            *keys, *values, F.col(f"__first.{lead}").alias("start"), F.col(f"__last.{lead}").alias("end"), "n"
-        )
+    within = [f"__order{i}" for i in range(len(order))]
 
     def starts(window: W) -> Column:
-        before = F.lag(F.struct("__last", *values)).over(window)
-        new = before.isNull()
+        new = F.lag(F.lit(1)).over(window).isNull()
         for v in values:
-            new = new | ~before[v].eqNullSafe(F.col(v))
+            new = new | ~F.lag(v).over(window).eqNullSafe(F.col(v))
         if gap is not None:
-            new = new | (F.col(f"__first.{lead}") > before["__last"][lead] + gap)
+            new = new | (F.col("start") > F.lag("end").over(window) + gap)
         return new
 
-    def collapse(frame: DataFrame, scope: list[str], new: Column) -> DataFrame:
-        order_in = W.partitionBy(*scope).orderBy("__first")
-        running = order_in.rowsBetween(W.unboundedPreceding, 0)
+    def collapse(frame: DataFrame, scope: list[str], sequence: list[str], new: Column) -> DataFrame:
+        running = W.partitionBy(*scope).orderBy(*sequence).rowsBetween(W.unboundedPreceding, 0)
         return (
-            frame.withColumn("__new", new)
-            .withColumn("__island", F.sum(F.col("__new").cast("int")).over(running))
+            frame.withColumn("__new", new.cast("int"))
+            .withColumn("__island", F.sum("__new").over(running))
             .groupBy(*scope, "__island", *values)
-            .agg(F.min("__first").alias("__first"), F.max("__last").alias("__last"), F.sum("n").alias("n"))
+            .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n").alias("n"))
         )
 
+    result = [*keys, *values, "start", "end", "n"]
+    scope = keys if block is None else [*keys, "__block"]
+    inner = collapse(rows, scope, within, starts(W.partitionBy(*scope).orderBy(*within)))
     if block is None:
-        scope = keys
-        return finish(collapse(rows, scope, starts(W.partitionBy(*scope).orderBy("__first"))))
-    scope = [*keys, "__block"]
-    inner = collapse(rows, scope, starts(W.partitionBy(*scope).orderBy("__first"))).withColumn(
-        "__count", F.max("__island").over(W.partitionBy(*scope))
+        return inner.select(*result)
+    placed = inner.withColumnRenamed("__island", "__place").withColumn(
+        "__places", F.max("__place").over(W.partitionBy(*scope))
     )
-    touches = (F.col("__island") == 1) | (F.col("__island") == F.col("__count"))
-    edges = inner.where(touches)
-    new = F.when(F.col("__island") > 1, True).otherwise(starts(W.partitionBy(*keys).orderBy("__first")))
-    return finish(collapse(edges, keys, new)).unionByName(finish(inner.where(~touches)))
+    touches = (F.col("__place") == 1) | (F.col("__place") == F.col("__places"))
+    across = ["__block", "__place"]
+    new = F.when(F.col("__place") > 1, True).otherwise(starts(W.partitionBy(*keys).orderBy(*across)))
+    edges = collapse(placed.where(touches), keys, across, new)
+    return edges.select(*result).unionByName(placed.where(~touches).select(*result))

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from modelkit.functions.scalars import mentions, minutes
+from modelkit.functions.skew import HOT_ROWS, salted_join
 
 
 def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
@@ -49,10 +50,13 @@ MEASURES = {
 }
 
 
-def build_fact(details: DataFrame, games: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+def build_fact(
+    details: DataFrame, games: DataFrame, order: Sequence[Column | str], hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """One fact row per game, team and player: dimensions, comment flags and integer measures.
 
-    Duplicates are removed before the join. Measures absent from ``details`` are left out.
+    Duplicates are removed before the join, which spreads games with very many rows. Measures absent
+    from ``details`` are left out.
     """
     unique = dedupe(details, ["game_id", "team_id", "player_id"], order)
     dims = games.select("game_id", "game_date_est", "season", "home_team_id")
@@ -60,7 +64,8 @@ def build_fact(details: DataFrame, games: DataFrame, order: Sequence[Column | st
         F.col(f"`{source}`").cast("int").alias(name) for source, name in MEASURES.items() if source in details.columns
     ]
     comment = F.col("comment")
-    return unique.join(dims, "game_id").select(
+    joined = salted_join(unique, dims, ["game_id"], ["team_id", "player_id"], hot_rows=hot_rows, counted=details)
+    return joined.select(
         F.col("game_date_est").alias("dim_game_date"),
         F.col("season").alias("dim_season"),
         F.col("team_id").alias("dim_team_id"),

@@ -48,9 +48,15 @@ def events_with_devices(events: DataFrame, devices: DataFrame) -> DataFrame:
 
 
 def device_activity(events: DataFrame) -> DataFrame:
-    """Events per user and device with the hosts they touched. Hosts are a small closed set per pair."""
-    return events.where("user_id is not null").groupBy("user_id", "device_id").agg(
-        F.count(F.lit(1)).alias("event_counts"), F.array_sort(F.collect_set("host")).alias("host_array")
+    """Events per user and device with the hosts they touched.
+
+    Events reduce to one row per host of a pair before the hosts, a site's few names, are listed.
+    """
+    per_host = events.where("user_id is not null").groupBy("user_id", "device_id", "host").agg(
+        F.count(F.lit(1)).alias("__n")
+    )
+    return per_host.groupBy("user_id", "device_id").agg(
+        F.sum("__n").alias("event_counts"), F.array_sort(F.collect_list("host")).alias("host_array")
     )
 
 

@@ -33,9 +33,8 @@ def funnel(
     ends = known.groupBy(user, "__day").agg(
         F.max("__ts").alias("__last"),
         F.max(F.when(F.col("url") == target, F.col("__ts"))).alias("__target"),
-        F.count(F.lit(1)).alias("__n"),
     )
-    joined = salted_join(visits, ends, [user, "__day"], ["__ts", "url"], "__n", hot_rows=hot_rows)
+    joined = salted_join(visits, ends, [user, "__day"], ["__ts", "url"], hot_rows=hot_rows, counted=known)
     counted = joined if include_last else joined.where(F.col("__ts") < F.col("__last"))
     share = F.count_if(F.col("__target") > F.col("__ts")) / F.count(F.lit(1))
     return (

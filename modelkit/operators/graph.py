@@ -111,6 +111,7 @@ def co_occurrence(
     differ: str | None = None,
     cell: int = 1_000,
     hot_rows: int = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Totals per pair of members that appear in the same group, split by whether they share ``same``.
 
@@ -118,12 +119,11 @@ def co_occurrence(
     A group of n members is cut into ceil(n / cell) parts and the parts meet in cells of their own
     (group, part, part), so even a group with a large share of all rows is spread over many tasks, and
     pairs are summed before they are shuffled. ``members`` has one row per group and member; ``differ``
-    names a column whose values must differ within a pair.
+    names a column whose values must differ within a pair, and ``counted`` is as in ``salted_join``.
     """
-    sizes = members.groupBy(group).agg(F.count(F.lit(1)).alias("__n"))
-    sizes = sizes.withColumn("__parts", F.ceil(F.col("__n") / F.lit(cell)).cast("int"))
+    sizes = members.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / F.lit(cell)).cast("int").alias("__parts"))
     columns = list(dict.fromkeys([group, member, same, points, *([differ] if differ else [])]))
-    placed = salted_join(members.select(*columns), sizes, [group], [member], "__n", hot_rows=hot_rows).withColumn(
+    placed = salted_join(members.select(*columns), sizes, [group], [member], hot_rows=hot_rows, counted=counted).withColumn(
         "__mine", F.pmod(F.xxhash64(member), F.col("__parts")).cast("int")
     )
     each = F.explode(F.sequence(F.lit(0), F.col("__parts") - 1))
@@ -184,11 +184,8 @@ def traverse(
         "object_identifier",
         *[field("properties", f).alias(f) for f in edge_fields],
     )
-    degree = wanted.groupBy("identifier", "type").agg(F.count(F.lit(1)).alias("__n"))
-    lookup = first_rows(vertex).select("identifier", "type", *[field("properties", f).alias(f) for f in vertex_fields]).join(
-        degree, ["identifier", "type"]
-    )
-    return salted_join(wanted, lookup, ["identifier", "type"], ["object_identifier"], "__n", hot_rows=hot_rows)
+    lookup = first_rows(vertex).select("identifier", "type", *[field("properties", f).alias(f) for f in vertex_fields])
+    return salted_join(wanted, lookup, ["identifier", "type"], ["object_identifier"], hot_rows=hot_rows)
 
 
 def game_rate_edges(vertex: DataFrame, edge: DataFrame) -> DataFrame:

@@ -7,6 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from modelkit.functions.skew import HOT_ROWS, salted_join
+from modelkit.operators.dedupe import dedupe
+
 
 def level_rollup(
     df: DataFrame,
@@ -45,31 +48,31 @@ def top_one(df: DataFrame, question: str, metric: str, keys: Sequence[str], colu
     return best.select(F.lit(question).alias("query_type"), *columns, F.col(metric).cast("double").alias("amount"))
 
 
-def leaders(details: DataFrame, games: DataFrame) -> DataFrame:
+def leaders(details: DataFrame, games: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Most points for one team, most points in one season, and most games won by a team.
 
-    Points come from one grouping-sets pass. A game is won once per team, however many player rows it
-    has, so wins are counted on distinct (team, game).
+    Points of both kinds come from one grouping-sets pass and one best row per kind. A game is won once
+    per team, however many player rows it has, so wins are counted on distinct (team, game).
     """
-    joined = details.select("game_id", "player_id", "team_id", "pts").join(
-        games.select("game_id", "season", "home_team_id", "visitor_team_id", "home_team_wins"), "game_id"
-    )
+    facts = games.select("game_id", "season", "home_team_id", "visitor_team_id", "home_team_wins")
+    lines = details.select("game_id", "player_id", "team_id", "pts")
+    joined = salted_join(lines, facts, ["game_id"], ["player_id", "team_id"], hot_rows=hot_rows)
+    kinds = {"player_id__team_id": "most points for one team", "player_id__season": "most points in one season"}
     points = level_rollup(
         joined, [("player_id", "team_id"), ("player_id", "season")], {"points": F.sum("pts")}, overall=None
-    )
-    won = team_result(F.col("home_team_id"), F.col("visitor_team_id"), F.col("team_id"), F.col("home_team_wins"))
-    wins = (
-        joined.select("team_id", "game_id", won.alias("won")).distinct().groupBy("team_id").agg(F.sum("won").alias("wins"))
+    ).where(F.col("points").isNotNull())
+    best = dedupe(points, ["aggregation_level"], [F.col("points").desc(), "player_id", "team_id", "season"])
+    question = F.when(F.col("aggregation_level") == "player_id__team_id", kinds["player_id__team_id"]).otherwise(
+        kinds["player_id__season"]
     )
     shape = ["player_id", "team_id", "season"]
-    none = [F.lit(None).cast(joined.schema[c].dataType).alias(c) for c in shape]
-    by_team = points.where(F.col("aggregation_level") == "player_id__team_id")
-    by_season = points.where(F.col("aggregation_level") == "player_id__season")
-    return (
-        top_one(by_team, "most points for one team", "points", ["player_id", "team_id"], shape)
-        .unionByName(top_one(by_season, "most points in one season", "points", ["player_id", "season"], shape))
-        .unionByName(top_one(wins, "most games won", "wins", ["team_id"], [none[0], "team_id", none[2]]))
-    )
+    scorers = best.select(question.alias("query_type"), *shape, F.col("points").cast("double").alias("amount"))
+    won = team_result(F.col("home_team_id"), F.col("visitor_team_id"), F.col("team_id"), F.col("home_team_wins"))
+    team_games = joined.select("team_id", "game_id", won.alias("won")).distinct()
+    wins = team_games.groupBy("team_id").agg(F.sum("won").alias("wins"))
+    none = {c: F.lit(None).cast(joined.schema[c].dataType).alias(c) for c in shape}
+    winner = top_one(wins, "most games won", "wins", ["team_id"], [none["player_id"], "team_id", none["season"]])
+    return scorers.unionByName(winner)
 
 
 def kpi_rollup(fact: DataFrame, day: str, dims: Sequence[str], metrics: Mapping[str, Column]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modelkit.functions.scalars import same
-from modelkit.functions.skew import islands
+from modelkit.functions.skew import HOT_ROWS, islands
 
 
 def scd2_backfill(
@@ -21,15 +21,16 @@ def scd2_backfill(
     end: str = "end_season",
     snapshot: str = "current_season",
     block: Column | None = None,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Ranges for the whole history. NULLs compare as equal to NULL and different from values.
 
     ``df`` has one row per key and period. ``block`` (see ``islands``) splits keys whose period is so
-    fine-grained that one key has more rows than a task should hold. With ``as_of`` later periods are
+    fine-grained that they have more than ``hot_rows`` rows. With ``as_of`` later periods are
     left out and the snapshot column is added.
     """
     seen = df if as_of is None else df.where(F.col(period) <= as_of)
-    out = islands(seen, keys, [period], values=tracked, block=block).select(
+    out = islands(seen, keys, [period], values=tracked, block=block, hot_rows=hot_rows).select(
         *keys, *tracked, F.col("start").alias(start), F.col("end").alias(end)
     )
     return out if as_of is None else out.withColumn(snapshot, F.lit(as_of).cast("int"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from modelkit.functions.skew import islands, ordered_number, sliding_sum
+from modelkit.functions.skew import HOT_ROWS, islands, ordered_number, sliding_sum
 from modelkit.operators.dedupe import dedupe
 
 
@@ -70,22 +70,32 @@ def best_stretch(
     size: int = 90,
     block: Column | None = None,
     chunk: int | None = None,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Highest sum of ``flag`` over any ``size`` consecutive rows of a key.
 
-    ``block`` (see ``ordered_number``) and ``chunk`` (see ``sliding_sum``) spread long keys.
+    ``block`` (see ``ordered_number``) and ``chunk`` (see ``sliding_sum``) spread long keys. ``df`` is
+    read for the counts and for the rows, so it should be a stored table rather than a long plan.
     """
-    numbered = ordered_number(df.select(*keys, *order, flag), keys, order, block, "__position")
+    numbered = ordered_number(df.select(*keys, *order, flag), keys, order, block, "__position", hot_rows)
     summed = sliding_sum(numbered, keys, "__position", flag, size, "__sum", chunk)
     return summed.groupBy(*keys).agg(F.max("__sum").alias("best"))
 
 
 def longest_streak(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], condition: Column, block: Column | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    condition: Column,
+    block: Column | None = None,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """Longest run of rows that meet ``condition`` per key; the earliest of equally long ones."""
+    """Longest run of rows that meet ``condition`` per key; the earliest of equally long ones.
+
+    ``block`` (see ``islands``) spreads keys with more than ``hot_rows`` rows.
+    """
     marked = df.select(*keys, *order, F.coalesce(condition, F.lit(False)).alias("__met"))
-    runs = islands(marked, keys, order, values=["__met"], block=block).where(F.col("__met"))
+    runs = islands(marked, keys, order, values=["__met"], block=block, hot_rows=hot_rows).where(F.col("__met"))
     best = dedupe(runs, keys, [F.col("n").desc(), F.col("start")])
     return best.select(
         *keys,

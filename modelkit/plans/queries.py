@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modelkit.functions import bits
+from modelkit.functions.skew import salted_join
 from modelkit.functions.scalars import band, first_token, mentions, minutes
 from modelkit.operators import (
     arraymetrics,
@@ -182,7 +183,8 @@ def _players_in_games(spark: SparkSession, sf: str) -> DataFrame:
 
 def _pairs(spark: SparkSession, sf: str) -> DataFrame:
     return graph.co_occurrence(
-        _players_in_games(spark, sf), "game_id", "player_id", "team_abbreviation", "pts", differ="player_name"
+        _players_in_games(spark, sf), "game_id", "player_id", "team_abbreviation", "pts", differ="player_name",
+        counted=src.details(spark, sf),
     )
 
 
@@ -430,33 +432,35 @@ def contribution(spark, sf):
 
 
 def _team_games(spark: SparkSession, sf: str) -> DataFrame:
+    """One narrow row per team and game, stored because the stretches read it twice."""
     won = rollup.team_result(
         F.col("home_team_id"), F.col("visitor_team_id"), F.col("team_id"), F.col("home_team_wins")
     )
-    return (
-        src.details(spark, sf)
-        .select("game_id", "team_id")
-        .distinct()
-        .join(src.games(spark, sf), "game_id")
-        .select("team_id", "game_id", "game_date_est", won.alias("won"))
+    details = src.details(spark, sf)
+    appearances = details.select("game_id", "team_id").distinct()
+    rows = salted_join(appearances, src.games(spark, sf), ["game_id"], ["team_id"], counted=details)
+    return tables.stored(
+        rows.select("team_id", "game_id", "game_date_est", won.alias("won")), src.scratch(spark, "team-games")
     )
 
 
 @query
 def best_stretch(spark, sf):
-    month = F.trunc("game_date_est", "month")
-    return windows.best_stretch(
-        _team_games(spark, sf), ["team_id"], ["game_date_est", "game_id"], "won", size=90, block=month
-    )
+    order = ["game_date_est", "game_id"]
+    return windows.best_stretch(_team_games(spark, sf), ["team_id"], order, "won", 90, block=F.col("game_date_est"))
 
 
 @query
 def longest_streak(spark, sf):
-    dates = src.games(spark, sf).select("game_id", "game_date_est")
-    rows = _players_in_games(spark, sf).join(dates, "game_id")
-    out = windows.longest_streak(
-        rows, ["player_id"], ["game_date_est", "game_id"], F.col("pts") > 10, block=F.trunc("game_date_est", "year")
+    dates = src.game_dates(spark, sf)
+    rows = salted_join(
+        _players_in_games(spark, sf), dates, ["game_id"], ["player_id"], counted=src.details(spark, sf)
+    )
+    narrow = tables.stored(
+        rows.select("player_id", "game_id", "game_date_est", "pts"), src.scratch(spark, "player-games")
     )
+    order = ["game_date_est", "game_id"]
+    out = windows.longest_streak(narrow, ["player_id"], order, F.col("pts") > 10, block=F.col("game_date_est"))
     return as_text(out)
 
 

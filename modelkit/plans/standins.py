@@ -75,6 +75,12 @@ def details(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def game_dates(spark: SparkSession, sf: str) -> DataFrame:
+    return read_table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("game_id"), F.to_date("o_orderdate").alias("game_date_est")
+    )
+
+
 def games(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as games between the smallest and the largest supplier on them; status F is a home win."""
     sides = (

@@ -91,9 +91,20 @@ def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFram
     return updates.unionByName(base.join(fresh, match, "left_anti"))
 
 
-def write_bucketed(df: DataFrame, name: str, key: str, buckets: int = 16, path: str | None = None) -> None:
-    """Table bucketed and sorted on ``key``. Rows are hashed to buckets first, so each bucket is one file."""
-    writer = df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+def write_bucketed(
+    df: DataFrame, name: str, key: str, buckets: int = 16, path: str | None = None, files_per_bucket: int = 1
+) -> None:
+    """Table bucketed and sorted on ``key``.
+
+    Rows are hashed to buckets before the write, so a bucket is ``files_per_bucket`` files instead of one
+    per task. Raise both numbers with the data: a bucket is the unit of work of a bucketed join, and the
+    files of a bucket are written in parallel even if one key fills it.
+    """
+    shard = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_bucket))
+    placed = df.repartition(buckets, key) if files_per_bucket == 1 else df.repartition(
+        buckets * files_per_bucket, F.col(key), shard
+    )
+    writer = placed.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)

@@ -65,13 +65,14 @@ def sessionize_batch(
     gap: str = SIZE,
     ts: str = "event_timestamp",
     block: Column | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
-    """The same sessions for a finished table. Keys are cut into hours by default, so one key's events
-    are spread over tasks and only the sessions at the edges of an hour are joined up."""
+    """The same sessions for a finished table. Keys are cut into hours (or ``block``), so the events of a
+    busy key are spread over tasks, and only the sessions at the edges of an hour are joined up."""
     length = F.expr(f"INTERVAL {gap}")
     hour = F.date_trunc("hour", F.col(ts)) if block is None else block
     named = events.where(F.col(ts).isNotNull())
-    return islands(named, keys, [ts], gap=length, block=hour).select(
+    return islands(named, keys, [ts], gap=length, block=hour, hot_rows=hot_rows).select(
         F.col("start").alias("session_start"),
         (F.col("end") + length).alias("session_end"),
         *keys,
