@@ -7,16 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from modelkit.functions.skew import HOT_ROWS, checked_broadcast
+from modelkit.functions.skew import BROADCAST_BYTES, HOT_ROWS, checked_broadcast
 from modelkit.operators.graph import list_segments
 
 
 def enrich_broadcast(
-    fact: DataFrame, dim: DataFrame, keys: str | Sequence[str], how: str = "inner", max_bytes: int | None = None
+    fact: DataFrame, dim: DataFrame, keys: str | Sequence[str], how: str = "inner", max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Join a dimension, broadcast if its estimated size allows and as a shuffled join otherwise."""
-    side = checked_broadcast(dim) if max_bytes is None else checked_broadcast(dim, max_bytes)
-    return fact.join(side, keys if isinstance(keys, str) else list(keys), how)
+    return fact.join(checked_broadcast(dim, max_bytes), keys if isinstance(keys, str) else list(keys), how)
 
 
 def pair_join(left: DataFrame, right: DataFrame, condition: Column, names: tuple[str, str] = ("left", "right")) -> DataFrame:

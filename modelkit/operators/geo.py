@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modelkit.functions.scalars import json_object
-from modelkit.functions.skew import checked_broadcast
+from modelkit.functions.skew import BROADCAST_BYTES, checked_broadcast
 
 BUCKET_BITS = 16
 
@@ -24,7 +24,9 @@ def bucket_of(number: Column) -> Column:
     return F.call_function("shiftright", number, F.lit(BUCKET_BITS))
 
 
-def geo_lookup(df: DataFrame, ranges: DataFrame, ip: str = "ip", name: str = "geodata") -> DataFrame:
+def geo_lookup(
+    df: DataFrame, ranges: DataFrame, ip: str = "ip", name: str = "geodata", max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """Add location JSON ``{country, state, city}``, or ``{}`` where no range holds the address.
 
     ``ranges`` has disjoint ``start_ip`` / ``end_ip`` numbers. Each range is repeated per /16 bucket it
@@ -40,7 +42,7 @@ def geo_lookup(df: DataFrame, ranges: DataFrame, ip: str = "ip", name: str = "ge
     )
     rows = df.withColumn("__ip", ip_number(F.col(ip))).withColumn("__b", bucket_of(F.col("__ip")))
     inside = (F.col("__b") == F.col("__bucket")) & F.col("__ip").between(F.col("__start"), F.col("__end"))
-    return rows.join(checked_broadcast(table), inside, "left").select(
+    return rows.join(checked_broadcast(table, max_bytes), inside, "left").select(
         *df.columns, F.coalesce("__location", F.lit("{}")).alias(name)
     )
 
