@@ -671,7 +671,7 @@ ORACLES: dict[str, str] = {
         SELECT 'user_id' AS "column", true AS present, count(*) FILTER (user_id IS NULL) AS missing_required, CAST(0 AS BIGINT) AS bad_values FROM web
         UNION ALL SELECT 'referrer', true, count(*) FILTER (referrer IS NULL), 0 FROM web
         UNION ALL SELECT 'url', true, 0, count(*) FILTER (try_cast(substr(url, 2) AS INTEGER) IS NULL) FROM web
-        UNION ALL SELECT 'ip', true, 0, count(*) FILTER (try_cast(ip AS DOUBLE) IS NULL) FROM web
+        UNION ALL SELECT 'ip', true, 0, count(*) FILTER (try_cast(ip AS INTEGER) IS NULL) FROM web
         UNION ALL SELECT 'event_time', true, count(*) FILTER (ts IS NULL), 0 FROM web
         UNION ALL SELECT 'value', true, 0, count(*) FILTER (value IS NOT NULL) FROM web""",
     "volume_anomaly": f"""

@@ -746,7 +746,7 @@ def schema_conformance(spark, sf):
         F.col("ip"), F.col("event_time").cast("string").alias("event_time"), F.col("value").cast("string"),
     )
     declared = ddl(
-        "user_id bigint not null, referrer string not null, url int, ip double, event_time timestamp not null, value int"
+        "user_id bigint not null, referrer string not null, url int, ip int, event_time timestamp not null, value int"
     )
     return quality.schema_conformance(raw.withColumn("value", F.concat(F.lit("n"), "value")), declared)
 

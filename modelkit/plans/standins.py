@@ -116,7 +116,8 @@ EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type st
 
 
 def _web_columns(raw: DataFrame, ts: F.Column) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("long")
+    # A generator parses the text once per row; get_json_object would be repeated in every pushed filter.
+    parsed = raw.select("event_id", "user_id", "event_type", "value", ts.alias("__ts"), F.json_tuple("props", "k").alias("__k"))
     # Referrer texts by k modulo 7; the last residue has none.
     referrers = (
         "https://www.linkedin.com/feed",
@@ -128,7 +129,7 @@ def _web_columns(raw: DataFrame, ts: F.Column) -> DataFrame:
     )
     referrer = F.get(F.array(*[F.lit(r) for r in referrers]), (F.col("device_id") % 7).cast("int"))
     user = F.col("user_id")
-    return raw.withColumn("device_id", k).select(
+    return parsed.withColumn("device_id", F.col("__k").cast("long")).select(
         "event_id",
         user,
         "device_id",
@@ -139,7 +140,7 @@ def _web_columns(raw: DataFrame, ts: F.Column) -> DataFrame:
             ".", F.lit("10"), (user % 200).cast("string"), ((user / 200).cast("long") % 250).cast("string"),
             (F.col("event_id") % 250).cast("string"),
         ).alias("ip"),
-        ts.alias("event_time"),
+        F.col("__ts").alias("event_time"),
         "value",
     )
 
