@@ -27,12 +27,14 @@ def array_metric_step(
     day: str = "date",
     pad: int | None = 0,
     track_first: bool = False,
+    snapshot: str | None = None,
 ) -> DataFrame:
     """Write day ``ds`` into the arrays of its month; ``metrics`` maps array column to daily column.
 
     The element is addressed by day of month, so skipped days are padded, a late key is padded from the
     first of the month, and applying a day again replaces its element. With ``pad=None`` days without
-    data are NULL. ``track_first`` keeps the earliest day each key was seen.
+    data are NULL. ``track_first`` keeps the earliest day each key was seen. ``snapshot`` names a column for
+    the day itself, for tables that keep one slice per day; ``prev`` is then the slice of the day before.
     """
     first_of_month = ds.replace(day=1)
     p = prev.where(F.col(month) == F.lit(first_of_month)).select(
@@ -60,6 +62,7 @@ def array_metric_step(
         F.lit(first_of_month).alias(month),
         *[put(a) for a in metrics],
         *([F.least("p_first", today).alias("first_found_date")] if track_first else []),
+        *([F.lit(ds).alias(snapshot)] if snapshot else []),
     )
 
 

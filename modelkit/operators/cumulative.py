@@ -220,6 +220,11 @@ def cumulate_detail_backfill(grouped: DataFrame, spec: Cumulative, last: int | N
     )
 
 
+def entity_rows(table: DataFrame, spec: Cumulative) -> DataFrame:
+    """One row per entity and period of a segmented table, without the history."""
+    return table.select(*spec.keys, *spec.attrs, spec.label, spec.current, "is_active").distinct()
+
+
 def history_ratio(df: DataFrame, history: str, field: str, name: str = "growth") -> DataFrame:
     """Newest over oldest value of a field of the history array (a zero start counts as one)."""
     newest = F.try_element_at(history, F.lit(-1))[field]

@@ -60,6 +60,26 @@ SELECT player, player_name, college, country, season_stats, scoring_class, years
 FROM players JOIN ({PEOPLE}) ON c_custkey = player
 """
 
+ACTORS = """
+films AS (
+  SELECT o_custkey AS actorid, CAST(year(o_orderdate) AS INTEGER) AS year, o_orderkey AS id,
+         CAST(round(o_totalprice * 100) AS BIGINT) / CAST(5000000 AS DOUBLE) AS rating
+  FROM orders),
+yearly AS (SELECT actorid, year, avg(rating) AS rating FROM films GROUP BY 1, 2),
+grid AS (
+  SELECT f.actorid, y.year AS current_year
+  FROM (SELECT actorid, min(year) AS first FROM films GROUP BY 1) f
+  JOIN (SELECT DISTINCT year FROM films) y ON y.year >= f.first),
+rated AS (
+  SELECT g.actorid, g.current_year, arg_max(y.rating, y.year) AS rating, max(y.year) AS newest
+  FROM grid g JOIN yearly y ON y.actorid = g.actorid AND y.year <= g.current_year GROUP BY 1, 2),
+actors AS (
+  SELECT actorid, current_year, newest = current_year AS is_active,
+         CASE WHEN rating > 8 THEN 'star' WHEN rating > 7 THEN 'good' WHEN rating > 6 THEN 'average' ELSE 'bad' END
+           AS quality_class
+  FROM rated)
+"""
+
 GAMES = """
 games AS (
   SELECT o_orderkey AS game_id, CAST(o_orderdate AS DATE) AS game_date_est, CAST(year(o_orderdate) AS INTEGER) AS season,
@@ -355,27 +375,22 @@ ORACLES: dict[str, str] = {
         FROM fact GROUP BY 1""",
     "player_cumulative": PLAYER_TABLE,
     "player_cumulative_step": PLAYER_TABLE + " WHERE current_season = (SELECT max(current_season) FROM years)",
-    "actor_cumulative": """
-        WITH films AS (
-          SELECT o_custkey AS actorid, CAST(year(o_orderdate) AS INTEGER) AS year, o_orderkey AS id,
-                 CAST(round(o_totalprice * 100) AS BIGINT) / CAST(5000000 AS DOUBLE) AS rating
-          FROM orders),
-        yearly AS (SELECT actorid, year, avg(rating) AS rating FROM films GROUP BY 1, 2),
-        grid AS (
-          SELECT f.actorid, y.year AS current_year
-          FROM (SELECT actorid, min(year) AS first FROM films GROUP BY 1) f
-          JOIN (SELECT DISTINCT year FROM films) y ON y.year >= f.first),
+    "actor_cumulative": f"""
+        WITH {ACTORS},
         listed AS (
           SELECT g.actorid, g.current_year, string_agg(CAST(id AS VARCHAR), ',' ORDER BY f.year, 'film ' || id) AS films
-          FROM grid g JOIN films f ON f.actorid = g.actorid AND f.year <= g.current_year GROUP BY 1, 2),
-        rated AS (
-          SELECT g.actorid, g.current_year, arg_max(y.rating, y.year) AS rating, max(y.year) AS newest
-          FROM grid g JOIN yearly y ON y.actorid = g.actorid AND y.year <= g.current_year GROUP BY 1, 2)
-        SELECT actorid, 'actor ' || actorid AS actor, films,
-               CASE WHEN rating > 8 THEN 'star' WHEN rating > 7 THEN 'good' WHEN rating > 6 THEN 'average' ELSE 'bad' END
-                 AS quality_class,
-               current_year, newest = current_year AS is_active
-        FROM listed JOIN rated USING (actorid, current_year)""",
+          FROM grid g JOIN films f ON f.actorid = g.actorid AND f.year <= g.current_year GROUP BY 1, 2)
+        SELECT actorid, 'actor ' || actorid AS actor, films, quality_class, current_year, is_active
+        FROM listed JOIN actors USING (actorid, current_year)""",
+    "actor_scd2_backfill": f"""
+        WITH {ACTORS}, starts AS (
+          SELECT a.* FROM actors a LEFT JOIN actors b ON b.actorid = a.actorid AND b.current_year = a.current_year - 1
+          WHERE b.actorid IS NULL OR b.quality_class <> a.quality_class OR b.is_active <> a.is_active),
+        final AS (SELECT max(current_year) AS year FROM actors)
+        SELECT s.actorid, 'actor ' || s.actorid AS actor, s.quality_class, s.is_active, s.current_year AS start_date,
+               CAST(coalesce(min(n.current_year) - 1, any_value(year)) AS INTEGER) AS end_date, any_value(year) AS current_year
+        FROM starts s CROSS JOIN final LEFT JOIN starts n ON n.actorid = s.actorid AND n.current_year > s.current_year
+        GROUP BY ALL""",
     "scd2_backfill": SCD,
     "scd2_incremental": SCD,
     "history_ratio": f"""

@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modelkit.functions import bits
-from modelkit.functions.skew import salted_join
 from modelkit.functions.scalars import band, first_token, mentions, minutes
+from modelkit.functions.skew import salted_join
 from modelkit.operators import (
     arraymetrics,
     cumulative,
@@ -33,6 +33,7 @@ from modelkit.operators import (
     windows,
 )
 from modelkit.plans import standins as src
+from modelkit.session import settings
 from modelkit.sources import tables
 from modelkit.streaming import enrich, run
 from modelkit.streaming import windows as streaming
@@ -136,12 +137,16 @@ def player_cumulative_step(spark, sf):
     return as_text(out.withColumn("season_stats", text))
 
 
-@query
-def actor_cumulative(spark, sf):
+def _actors(spark: SparkSession, sf: str) -> DataFrame:
     grouped = cumulative.group_detail(
         src.films(spark, sf), ["actorid"], ["actor"], "year", ["film", "votes", "rating", "filmid"], "rating", ["filmid"]
     )
-    out = cumulative.cumulate_detail_backfill(grouped, ACTOR, last_season(spark, sf))
+    return cumulative.cumulate_detail_backfill(grouped, ACTOR, last_season(spark, sf))
+
+
+@query
+def actor_cumulative(spark, sf):
+    out = _actors(spark, sf)
     films = F.transform("films", lambda f: f["filmid"])
     return as_text(out.withColumn("films", films).drop("segment"))
 
@@ -154,6 +159,15 @@ def scd2_backfill(spark, sf):
     )
 
 
+@query
+def actor_scd2_backfill(spark, sf):
+    table = cumulative.entity_rows(_actors(spark, sf), ACTOR)
+    return scd.scd2_backfill(
+        table, ["actorid", "actor"], ["quality_class", "is_active"], "current_year", as_of=last_season(spark, sf),
+        start="start_date", end="end_date", snapshot="current_year",
+    )
+
+
 @query
 def scd2_incremental(spark, sf):
     table, last = players(spark, sf), last_season(spark, sf)
@@ -650,7 +664,8 @@ def stream_sessions(spark, sf):
     base = src.scratch(spark, "stream")
     stream = src.web_stream(spark, sf).withWatermark("event_timestamp", streaming.WATERMARK)
     sessions = streaming.sessionize(stream, ["user_id", "host"], "30 minutes")
-    run.append_available(sessions, f"{base}/out", f"{base}/checkpoint")
+    with settings(spark, streaming.session_conf()):
+        run.append_available(sessions, f"{base}/out", f"{base}/checkpoint")
     return as_text(spark.read.schema(sessions.schema).parquet(f"{base}/out"))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from modelkit.functions.scalars import REFERRER_RULES, classify
 from modelkit.session import scratch_dir
-from modelkit.sources.tables import read_table
+from modelkit.sources.tables import read_table, stored
 
 
 
@@ -159,9 +159,12 @@ def web_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def devices(spark: SparkSession, sf: str) -> DataFrame:
-    """Devices seen in the log with attributes derived from their number; some have no OS."""
+    """Devices seen in the log with attributes derived from their number; some have no OS.
+
+    Stored as the table it stands for, so that joins can decide by its real size.
+    """
     d = F.col("device_id")
-    return (
+    found = (
         web_events(spark, sf)
         .select("device_id")
         .distinct()
@@ -172,6 +175,7 @@ def devices(spark: SparkSession, sf: str) -> DataFrame:
             F.concat(F.lit("device"), (d % 2).cast("string")).alias("device_type"),
         )
     )
+    return stored(found, scratch(spark, "devices"))
 
 
 def web_augmented(spark: SparkSession, sf: str) -> DataFrame:

@@ -148,6 +148,15 @@ LABELS = {
 }
 
 
+def create_database(spark: SparkSession, name: str) -> None:
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+
+
+def drop_database(spark: SparkSession, name: str) -> None:
+    """Drop a database; one that still has tables is an error."""
+    spark.sql(f"DROP DATABASE IF EXISTS {name}")
+
+
 def create_table(spark: SparkSession, table: str, name: str | None = None, path: str | None = None) -> None:
     """Create the declared table (Parquet, partitioned by period) if it does not exist."""
     parts = PARTITIONS.get(table)

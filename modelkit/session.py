@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -30,6 +32,22 @@ def build_session(app: str = "modelkit", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+@contextmanager
+def settings(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None]:
+    """Session settings for the duration of a block, put back afterwards."""
+    before = {key: spark.conf.get(key, None) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for checkpoints and intermediate tables, on the storage all executors share.
 

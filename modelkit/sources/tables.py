@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
@@ -123,14 +124,17 @@ def file_stats(df: DataFrame) -> DataFrame:
 def compare_layouts(
     df: DataFrame, layouts: Mapping[str, Callable[[DataFrame], DataFrame]], path: str | None = None
 ) -> DataFrame:
-    """Write ``df`` under each layout and report bytes and files per layout."""
+    """Write ``df`` under each layout and report bytes, files and seconds per layout."""
     spark = df.sparkSession
     base = path or scratch_dir(spark, "layouts")
     out: DataFrame | None = None
     for name, layout in layouts.items():
         target = f"{base}/{name}"
+        begin = time.perf_counter()
         layout(df).write.mode("overwrite").parquet(target)
-        stats = file_stats(spark.read.parquet(target)).select(F.lit(name).alias("layout"), "size", "num_files")
+        seconds = F.lit(time.perf_counter() - begin).alias("seconds")
+        written = spark.read.schema(df.schema).parquet(target)
+        stats = file_stats(written).select(F.lit(name).alias("layout"), "size", "num_files", seconds)
         out = stats if out is None else out.unionByName(stats)
     if out is None:
         raise ValueError("no layouts given")

@@ -157,6 +157,22 @@ def test_first_found_date_survives_absence(spark):
     assert (row["hit_array"], row["first_found_date"]) == ([5, None], D(2023, 1, 1))
 
 
+def test_daily_snapshots_of_an_array(spark):
+    daily = spark.createDataFrame([(1, D(2023, 3, 1), 4), (2, D(2023, 3, 2), 1)], "user_id int, date date, hits bigint")
+    table = spark.createDataFrame(
+        [], "user_id int, month_start date, hit_array array<bigint>, first_found_date date, date_partition date"
+    )
+    for day in (1, 2):
+        prev = table.where(F.col("date_partition") == D(2023, 3, day) - dt.timedelta(days=1))
+        new = arraymetrics.array_metric_step(
+            prev, daily, ["user_id"], {"hit_array": "hits"}, D(2023, 3, day), pad=None, track_first=True,
+            snapshot="date_partition",
+        )
+        table = table.unionByName(new)
+    got = sorted((r["date_partition"].day, r["user_id"], r["hit_array"]) for r in table.collect())
+    assert got == [(1, 1, [4]), (2, 1, [4, None]), (2, 2, [None, 1])]
+
+
 @pytest.mark.parametrize(
     ("text", "want"), [(None, None), ("", None), ("12", None), ("12:30", 12.5), ("a:30", None), ("0:06", 0.1)]
 )

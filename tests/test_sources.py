@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.testing import assertDataFrameEqual
 
 from modelkit import schemas
-from modelkit.session import scratch_dir
+from modelkit.session import scratch_dir, settings
 from modelkit.sources import tables
 
 TEXT = "url,user_id,event_time\n/a,1,2024-01-02 03:04:05\n/b,,2024-01-03 00:00:00\n/c,3,never\n"
@@ -71,6 +71,23 @@ def test_declared_tables_can_be_created(spark, tmp_path, name):
     schemas.drop_table(spark, f"declared_{name}")
 
 
+def test_databases(spark, tmp_path):
+    schemas.create_database(spark, "modelling")
+    schemas.create_table(spark, "vertices", "modelling.vertices", str(tmp_path / "v"))
+    assert spark.catalog.tableExists("modelling.vertices")
+    schemas.drop_table(spark, "modelling.vertices")
+    schemas.drop_database(spark, "modelling")
+    assert not spark.catalog.databaseExists("modelling")
+
+
+def test_settings_are_put_back(spark):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    with settings(spark, {key: "3"}):
+        assert spark.conf.get(key) == "3"
+    assert spark.conf.get(key) == before
+
+
 def test_upsert(spark):
     base = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "k int, v string")
     updates = spark.createDataFrame([(2, "B"), (3, "C"), (None, "N")], "k int, v string")
