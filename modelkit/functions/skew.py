@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 # Rows of one key that a single task may hold. At most total_rows / HOT_ROWS keys can be hot,
 # which bounds every broadcast of a hot-key list.
 HOT_ROWS = 1_000_000
-BROADCAST_BYTES = 64 << 20
+# Size limit for broadcasts, by the optimizer's estimate of the (compressed) input.
+BROADCAST_BYTES = 32 << 20
 
 
 def estimated_bytes(df: DataFrame) -> int:

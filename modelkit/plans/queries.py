@@ -246,8 +246,8 @@ def graph_edges_pair(spark, sf):
 
 @query
 def graph_max_points(spark, sf):
-    vertices, edges = _stored(spark, graph.player_vertices(src.details(spark, sf)), _plays_in(spark, sf))
-    return graph.max_edge_value(vertices, edges, "pts", "player_name")
+    vertices = graph.player_vertices(src.details(spark, sf))
+    return graph.max_edge_value(vertices, _plays_in(spark, sf), "pts", "player_name")
 
 
 @query
