@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 # Rows of one key that a single task may hold. At most total_rows / HOT_ROWS keys can be hot,
 # which bounds every broadcast of a hot-key list.
 HOT_ROWS = 1_000_000
+# Elements of one list segment, which has to fit one row.
+SEGMENT_ROWS = 200_000
 # Size limit for broadcasts, by the optimizer's estimate of the (compressed) input.
 BROADCAST_BYTES = 32 << 20
 
@@ -56,7 +58,7 @@ def with_segment(
     rows: DataFrame,
     keys: Sequence[str],
     spread: Sequence[str],
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int = SEGMENT_ROWS,
     name: str = "segment",
 ) -> DataFrame:
     """Number the shards of each key: 0 for ordinary keys, a hash of ``spread`` for hot ones.
@@ -174,12 +176,14 @@ def islands(
     gap: Column | None = None,
     block: Column | None = None,
     hot_rows: int | None = HOT_ROWS,
+    weight: str | None = None,
 ) -> DataFrame:
     """Collapse consecutive rows of a key into islands: one row with first, last and count.
 
     A row continues the island of its predecessor when all ``values`` are equal (null-safe) and, if
     ``gap`` (an interval) is given, its first order column is at most ``gap`` after the predecessor's.
-    Output: keys, values, ``start``, ``end`` (of the first order column) and ``n``.
+    Output: keys, values, ``start``, ``end`` (of the first order column) and ``n``, the number of rows or
+    the sum of ``weight``.
 
     With ``block`` (a non-decreasing expression of the first order column) the rows of keys with more
     than ``hot_rows`` rows (of every key if None) are collapsed inside (key, block) first. Only the first
@@ -193,7 +197,7 @@ def islands(
         *values,
         lead.alias("start"),
         lead.alias("end"),
-        F.lit(1).cast("long").alias("n"),
+        (F.lit(1) if weight is None else F.col(weight)).cast("long").alias("n"),
         *[F.col(c).alias(f"__order{i}") for i, c in enumerate(order)],
         *(["__block"] if block is not None else []),
     )

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modelkit.functions.scalars import band, safe_ratio
-from modelkit.functions.skew import HOT_ROWS, with_segment
+from modelkit.functions.skew import SEGMENT_ROWS, with_segment
 
 PLAYER_BANDS = ((20, "star"), (15, "good"), (10, "average"))
 FILM_BANDS = ((8, "star"), (7, "good"), (6, "average"))
@@ -116,7 +116,7 @@ def group_detail(
     measure: str,
     spread: Sequence[str],
     history: str = "films",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int = SEGMENT_ROWS,
 ) -> DataFrame:
     """Pre-group detail rows: one array per (entity, period, segment) with the sum and count of ``measure``.
 

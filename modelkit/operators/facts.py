@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from modelkit.functions.skew import BROADCAST_BYTES, HOT_ROWS, checked_broadcast
+from modelkit.functions.skew import BROADCAST_BYTES, SEGMENT_ROWS, checked_broadcast
 from modelkit.operators.graph import list_segments
 
 
@@ -59,13 +59,13 @@ def device_activity(events: DataFrame) -> DataFrame:
     )
 
 
-def user_devices(activity: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def user_devices(activity: DataFrame, hot_rows: int = SEGMENT_ROWS) -> DataFrame:
     """Highest device hits and the devices of each user, from the per-device aggregate alone."""
     hits = activity.groupBy("user_id").agg(F.max("event_counts").alias("total_hits"))
     return hits.join(list_segments(activity, ["user_id"], "device_id", "devices", hot_rows), "user_id")
 
 
-def device_users(activity: DataFrame, devices: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def device_users(activity: DataFrame, devices: DataFrame, hot_rows: int = SEGMENT_ROWS) -> DataFrame:
     """Users of each device with its type. Popular devices continue in further segments."""
     lists = list_segments(activity, ["device_id"], "user_id", "users", hot_rows)
     return lists.join(checked_broadcast(devices.select("device_id", "device_type")), "device_id")

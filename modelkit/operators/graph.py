@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modelkit.functions.scalars import json_object
-from modelkit.functions.skew import HOT_ROWS, salted_join, with_segment
+from modelkit.functions.skew import HOT_ROWS, SEGMENT_ROWS, salted_join, with_segment
 
 
 def _properties(props: Mapping[str, Column], as_map: bool) -> Column:
@@ -33,7 +33,7 @@ def game_vertices(games: DataFrame) -> DataFrame:
     return vertices(games, "game_id", "game", props)
 
 
-def player_vertices(details: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def player_vertices(details: DataFrame, hot_rows: int = SEGMENT_ROWS) -> DataFrame:
     """Players with their totals and distinct teams.
 
     Games and points are aggregated per (player, team) first, so the second shuffle holds one row per
@@ -69,7 +69,7 @@ def first_rows(vertex: DataFrame) -> DataFrame:
 
 
 def list_segments(
-    df: DataFrame, keys: Sequence[str], item: str, name: str, hot_rows: int = HOT_ROWS
+    df: DataFrame, keys: Sequence[str], item: str, name: str, hot_rows: int = SEGMENT_ROWS
 ) -> DataFrame:
     """Sorted list of the distinct ``item`` values per key, in segments of about ``hot_rows`` elements.
 

@@ -75,6 +75,24 @@ def leaders(details: DataFrame, games: DataFrame, hot_rows: int = HOT_ROWS) -> D
     return scorers.unionByName(winner)
 
 
-def kpi_rollup(fact: DataFrame, day: str, dims: Sequence[str], metrics: Mapping[str, Column]) -> DataFrame:
-    """Daily KPIs at experiment grain together with the daily and overall totals they must add up to."""
-    return level_rollup(fact, [(day, *dims), (day,), ()], metrics)
+def level_counts(df: DataFrame, sets: Sequence[Sequence[str]], name: str, overall: str | None = "(overall)") -> DataFrame:
+    """``level_rollup`` of row counts. Rows reduce to one per combination of dimensions before they are
+    repeated for each grouping."""
+    dims = list(dict.fromkeys(c for s in sets for c in s))
+    counts = df.groupBy(*dims).agg(F.count(F.lit(1)).alias("__n"))
+    return level_rollup(counts, sets, {name: F.sum("__n")}, overall)
+
+
+def kpi_rollup(fact: DataFrame, day: str, dims: Sequence[str], unit: str, sums: Mapping[str, str]) -> DataFrame:
+    """Daily KPIs at experiment grain together with the daily and overall totals they must add up to.
+
+    ``sums`` maps a result to the column it adds up; ``units`` counts distinct units and ``events`` rows.
+    The fact reduces to one row per day, group and unit before it is repeated for each level.
+    """
+    per_unit = fact.groupBy(day, *dims, unit).agg(
+        *[F.sum(column).alias(name) for name, column in sums.items()], F.count(F.lit(1)).alias("events")
+    )
+    metrics = {name: F.sum(name) for name in sums}
+    return level_rollup(
+        per_unit, [(day, *dims), (day,), ()], {**metrics, "units": F.count_distinct(unit), "events": F.sum("events")}
+    )

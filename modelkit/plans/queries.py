@@ -431,7 +431,7 @@ def funnel_conversion(spark, sf):
 def level_rollup(spark, sf):
     dims = ["browser_type", "device_type", "os_type"]
     sets = [dims, ["browser_type"], ["os_type"], ["device_type"]]
-    return rollup.level_rollup(src.web_augmented(spark, sf), sets, {"number_of_hits": F.count(F.lit(1))})
+    return rollup.level_counts(src.web_augmented(spark, sf), sets, "number_of_hits")
 
 
 @query
@@ -528,12 +528,9 @@ def actives_by_dim(spark, sf):
 @query
 def kpi_rollup(spark, sf):
     rows = experiments.assign_variants(src.web_events(spark, sf), "checkout", experiments.EVEN_SPLIT)
-    metrics = {
-        "profit_cents": F.sum(src.cents("value")),
-        "growth_users": F.count_distinct("user_id"),
-        "engagement_events": F.count(F.lit(1)),
-    }
-    return rollup.kpi_rollup(rows.withColumn("day", F.to_date("event_time")), "day", ["variant"], metrics)
+    fact = rows.select(F.to_date("event_time").alias("day"), "variant", "user_id", src.cents("value").alias("cents"))
+    out = rollup.kpi_rollup(fact, "day", ["variant"], "user_id", {"profit_cents": "cents"})
+    return out.withColumnsRenamed({"units": "growth_users", "events": "engagement_events"})
 
 
 # --- joins, tables and layout ----------------------------------------------------------------------------
@@ -600,17 +597,19 @@ def broadcast_enrich(spark, sf):
 
 @query
 def bucketed_join(spark, sf):
+    """Lines are summed per match first, so the bucketed tables have one row per match."""
     base = src.scratch(spark, "buckets")
     tag = base.rsplit("-", 1)[1]
     orders, lines = f"orders_{tag}", f"lines_{tag}"
     order_rows = tables.read_table(spark, sf, "orders").select(F.col("o_orderkey").alias("match_id"), "o_orderpriority")
-    line_rows = tables.read_table(spark, sf, "lineitem").select(
-        F.col("l_orderkey").alias("match_id"), F.col("l_quantity").cast("long").alias("kills")
+    line_rows = tables.read_table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("match_id")).agg(
+        F.count(F.lit(1)).alias("lines"), F.sum(F.col("l_quantity").cast("long")).alias("kills")
     )
-    tables.write_bucketed(order_rows, orders, "match_id", path=f"{base}/{orders}")
-    tables.write_bucketed(line_rows, lines, "match_id", path=f"{base}/{lines}")
+    buckets = tables.bucket_count(order_rows, line_rows)
+    tables.write_bucketed(order_rows, orders, "match_id", buckets, f"{base}/{orders}")
+    tables.write_bucketed(line_rows, lines, "match_id", buckets, f"{base}/{lines}")
     joined = matches.bucketed_join(spark, [lines, orders], "match_id")
-    return joined.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("num_rows"), F.sum("kills").alias("kills"))
+    return joined.groupBy("o_orderpriority").agg(F.sum("lines").alias("num_rows"), F.sum("kills").alias("kills"))
 
 
 @query
@@ -631,7 +630,7 @@ def layout_compare(spark, sf):
     return tables.compare_layouts(
         lines,
         {
-            "unsorted": lambda d: d.repartition("ship_year"),
+            "unsorted": lambda d: tables.clustered(d, "ship_year"),
             "sorted": lambda d: tables.sorted_layout(d, "ship_year", "l_shipdate", "l_suppkey"),
         },
     )
@@ -644,7 +643,8 @@ def _windowed(spark: SparkSession, sf: str, dims: Sequence[str]) -> DataFrame:
     base = src.scratch(spark, "stream")
     stream = src.web_stream(spark, sf).withWatermark("event_timestamp", streaming.WATERMARK)
     hits = streaming.tumbling_hits(stream, dims)
-    run.update_available(hits, f"{base}/out", f"{base}/checkpoint")
+    with settings(spark, streaming.stream_conf()):
+        run.update_available(hits, f"{base}/out", f"{base}/checkpoint")
     return as_text(run.latest_updates(spark, f"{base}/out", ["event_hour", *dims], ["num_hits"]))
 
 
@@ -664,7 +664,7 @@ def stream_sessions(spark, sf):
     base = src.scratch(spark, "stream")
     stream = src.web_stream(spark, sf).withWatermark("event_timestamp", streaming.WATERMARK)
     sessions = streaming.sessionize(stream, ["user_id", "host"], "30 minutes")
-    with settings(spark, streaming.session_conf()):
+    with settings(spark, streaming.stream_conf()):
         run.append_available(sessions, f"{base}/out", f"{base}/checkpoint")
     return as_text(spark.read.schema(sessions.schema).parquet(f"{base}/out"))
 

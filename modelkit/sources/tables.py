@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from modelkit.functions.scalars import same
+from modelkit.functions.skew import estimated_bytes
 from modelkit.session import scratch_dir
 
 
@@ -41,7 +42,7 @@ def write_period(df: DataFrame, path: str, period: str | Sequence[str]) -> None:
     """
     parts = [period] if isinstance(period, str) else list(period)
     (
-        df.hint("rebalance", *parts)
+        clustered(df, *parts)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*parts)
@@ -92,15 +93,26 @@ def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFram
     return updates.unionByName(base.join(fresh, match, "left_anti"))
 
 
+def bucket_count(*frames: DataFrame, target_bytes: int = 256 << 20, least: int = 16, most: int = 65_536) -> int:
+    """Power of two that brings the largest frame's buckets to about ``target_bytes`` by estimated size."""
+    wanted = max(estimated_bytes(df) for df in frames) // target_bytes
+    count = least
+    while count < min(wanted, most):
+        count *= 2
+    return count
+
+
 def write_bucketed(
-    df: DataFrame, name: str, key: str, buckets: int = 16, path: str | None = None, files_per_bucket: int = 1
+    df: DataFrame, name: str, key: str, buckets: int | None = None, path: str | None = None, files_per_bucket: int = 1
 ) -> None:
     """Table bucketed and sorted on ``key``.
 
     Rows are hashed to buckets before the write, so a bucket is ``files_per_bucket`` files instead of one
-    per task. Raise both numbers with the data: a bucket is the unit of work of a bucketed join, and the
-    files of a bucket are written in parallel even if one key fills it.
+    per task; several files of a bucket are written in parallel even if one key fills it. A bucket is the
+    unit of work of a bucketed join, so the default number follows the size of ``df``; tables to be joined
+    need the same number.
     """
+    buckets = buckets or bucket_count(df)
     shard = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_bucket))
     placed = df.repartition(buckets, key) if files_per_bucket == 1 else df.repartition(
         buckets * files_per_bucket, F.col(key), shard
@@ -141,10 +153,15 @@ def compare_layouts(
     return out
 
 
+def clustered(df: DataFrame, *columns: str, parts: int | None = None) -> DataFrame:
+    """Bring equal ``columns`` together. Without a fixed number of parts AQE merges small partitions and
+    splits those of frequent values."""
+    return df.repartition(parts, *columns) if parts else df.hint("rebalance", *columns)
+
+
 def sorted_layout(df: DataFrame, partition: str, *order: str, parts: int | None = None) -> DataFrame:
     """Cluster by ``partition`` and sort inside partitions, which compresses runs without a global sort."""
-    spread = df.repartition(parts, partition) if parts else df.repartition(partition)
-    return spread.sortWithinPartitions(partition, *order)
+    return clustered(df, partition, parts=parts).sortWithinPartitions(partition, *order)
 
 
 @contextmanager

@@ -38,10 +38,7 @@ def sessionize(
     events: DataFrame, keys: Sequence[str] = ("ip", "host"), gap: str = SIZE, ts: str = "event_timestamp"
 ) -> DataFrame:
     """Sessions of ``keys`` that end ``gap`` after their last event. For streams; append mode emits a
-    session once the watermark has passed its end.
-
-    With ``spark.sql.sessionWindow.merge.sessions.in.local.partition`` on (see ``session_conf``) each map
-    task merges its sessions before the shuffle, which keeps a busy key small.
+    session once the watermark has passed its end. Run it under ``stream_conf``.
     """
     return (
         events.groupBy(F.session_window(ts, gap).alias("__w"), *keys)
@@ -55,8 +52,19 @@ def sessionize(
     )
 
 
-def session_conf() -> dict[str, str]:
-    return {"spark.sql.sessionWindow.merge.sessions.in.local.partition": "true"}
+def stream_conf() -> dict[str, str]:
+    """Session settings for stateful streams, to be set before a query starts.
+
+    State lives in RocksDB, on disk and in the checkpoint, instead of executor memory, so replaying a long
+    log does not depend on memory size. Sessions are merged per map task before the shuffle, which keeps a
+    busy key small.
+    """
+    return {
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
+        "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
+    }
 
 
 def sessionize_batch(
@@ -68,11 +76,13 @@ def sessionize_batch(
     hot_rows: int | None = None,
 ) -> DataFrame:
     """The same sessions for a finished table. Keys are cut into hours (or ``block``), so the events of a
-    busy key are spread over tasks, and only the sessions at the edges of an hour are joined up."""
+    busy key are spread over tasks, and only the sessions at the edges of an hour are joined up. Copies of
+    an event are counted before that."""
     length = F.expr(f"INTERVAL {gap}")
     hour = F.date_trunc("hour", F.col(ts)) if block is None else block
-    named = events.where(F.col(ts).isNotNull())
-    return islands(named, keys, [ts], gap=length, block=hour, hot_rows=hot_rows).select(
+    instants = events.where(F.col(ts).isNotNull()).groupBy(*keys, ts).agg(F.count(F.lit(1)).alias("__events"))
+    found = islands(instants, keys, [ts], gap=length, block=hour, hot_rows=hot_rows, weight="__events")
+    return found.select(
         F.col("start").alias("session_start"),
         (F.col("end") + length).alias("session_end"),
         *keys,

@@ -96,6 +96,13 @@ def test_upsert(spark):
     assertDataFrameEqual(tables.upsert(once, updates, ["k"]), once)
 
 
+def test_bucket_count_follows_size(spark):
+    df = spark.range(1000)
+    assert tables.bucket_count(df) == 16
+    assert tables.bucket_count(df, target_bytes=100) == 128
+    assert tables.bucket_count(df, target_bytes=1, most=64) == 64
+
+
 def test_layouts(spark, tmp_path):
     df = spark.range(20_000).select((F.col("id") % 5).alias("day"), F.pmod(F.xxhash64("id"), F.lit(50)).alias("host"))
     out = tables.compare_layouts(

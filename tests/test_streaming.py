@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from modelkit import schemas
+from modelkit.session import settings
 from modelkit.sources import jdbc, kafka
 from modelkit.sources.config import StreamConfig
 from modelkit.streaming import enrich, run, windows
@@ -80,18 +81,16 @@ def test_repeated_batch_leaves_no_duplicates(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 3
 
 
-@pytest.mark.parametrize("local_merge", ["false", "true"])
-def test_sessions_across_files(spark, tmp_path, local_merge):
+@pytest.mark.parametrize("tuned", [False, True])
+def test_sessions_across_files(spark, tmp_path, tuned):
     folder = tmp_path / "in"
     folder.mkdir()
     write(folder, "1.json", [("a", "h", None, 0), ("a", "h", None, 200)])
     write(folder, "2.json", [("a", "h", None, 500), ("b", "h", None, 510)])
     write(folder, "3.json", [("c", "h", None, 9000)])
-    (setting,) = windows.session_conf()
-    spark.conf.set(setting, local_merge)
     sessions = windows.sessionize(source(spark, folder))
-    run.append_available(sessions, str(tmp_path / "out"), str(tmp_path / "c"), 120)
-    spark.conf.unset(setting)
+    with settings(spark, windows.stream_conf() if tuned else {}):
+        run.append_available(sessions, str(tmp_path / "out"), str(tmp_path / "c"), 120)
     rows = spark.read.parquet(str(tmp_path / "out")).collect()
     seconds = {(r["ip"], (r["session_start"] - START).seconds, (r["session_end"] - START).seconds, r["num_events"]) for r in rows}
     assert seconds == {("a", 0, 800, 3), ("b", 510, 810, 1)}
