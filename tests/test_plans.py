@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from modelkit.functions import skew
 from modelkit.operators import dedupe, matches
 from modelkit.plans.queries import QUERIES
+from modelkit.session import settings
 from modelkit.sources import tables
 
 FOLDER = f"{os.environ.get('TESTDATA', '/root/testdata')}/sf0.001"
@@ -55,6 +56,17 @@ def test_bucketed_join_has_no_shuffle(spark, tmp_path):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
 
 
+def test_salted_join_only_broadcasts_hot_keys(spark):
+    lines = tables.read_table(spark, FOLDER, "lineitem").select(F.col("l_orderkey").alias("k"), "l_partkey")
+    orders = tables.read_table(spark, FOLDER, "orders").select(F.col("o_orderkey").alias("k"), "o_orderpriority")
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        text = plan(skew.salted_join(lines, orders, ["k"], ["l_partkey"], max_bytes=0))
+    assert text.count("SortMergeJoin") == 1 and text.count("BroadcastHashJoin") == 2
+    assert "NestedLoop" not in text and "__salt" in text.split("SortMergeJoin")[1].splitlines()[0]
+    counted = text.split("BroadcastExchange")[1]
+    assert "partial_count" in counted and "ReadSchema: struct<l_orderkey:bigint>" in counted
+
+
 def test_dedupe_limits_groups_before_the_shuffle(spark):
     lines = tables.read_table(spark, FOLDER, "lineitem")
     text = plan(dedupe.dedupe(lines, ["l_orderkey"], ["l_linenumber", "l_partkey"]))
