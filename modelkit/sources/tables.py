@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from modelkit.functions.scalars import same
 from modelkit.functions.skew import estimated_bytes
-from modelkit.session import scratch_dir
+from modelkit.session import scratch_dir, settings
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -86,6 +86,17 @@ def insert_overwrite(df: DataFrame, name: str) -> None:
     df.select(*columns).write.mode("overwrite").insertInto(name)
 
 
+def insert_period(df: DataFrame, name: str) -> None:
+    """Replace the partitions of an existing partitioned table that occur in ``df``, and no others.
+
+    ``df`` may read other partitions of the same table, as a daily step does.
+    """
+    spark = df.sparkSession
+    columns = spark.table(name).columns
+    with settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+        df.select(*columns).write.mode("overwrite").insertInto(name)
+
+
 def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``updates`` replace rows of ``base`` with the same (null-safe) key; the rest stay."""
     fresh = updates.select(*[F.col(k).alias(f"__{k}") for k in keys])
