@@ -25,6 +25,8 @@ CHUNK_BYTES = 2 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+# Everything but ASCII letters and digits and bytes of longer characters.
+NOT_TOKEN = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 # Odd multipliers of the polynomials, one per seed.
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -101,12 +103,12 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
-def words_of(column: pa.Array, lower: bool = False) -> Words:
-    """Find all words; ``lower`` turns A-Z into a-z first."""
+def words_of(column: pa.Array, lower: bool = False, breaks: np.ndarray = _SPACE) -> Words:
+    """Find all words; ``lower`` turns A-Z into a-z first, ``breaks`` tells which bytes are in no word."""
     data, bounds = text_bytes(column)
     if lower:
         data = data + np.where((data >= 65) & (data <= 90), np.uint8(32), np.uint8(0))
-    space = _SPACE[data]
+    space = breaks[data]
     begins, stops = ~space, ~space
     begins[1:] &= space[:-1]
     stops[:-1] &= space[1:]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modelkit.llm import html, mixing, pii, quality, secrets, tokens, warc
+from modelkit.llm import decontaminate, html, jaccard, mixing, pii, quality, secrets, substring, tokens, warc
 from modelkit.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,12 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring.dedup(read(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
@@ -40,11 +46,23 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(docs, pii.train(pii.training_table(docs))))
 
 
+@query
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join_groups(read(spark, sf_dir, "documents"))
+
+
 @query
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(read(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+@query
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    tiles = F.transform("tiles", lambda t: F.concat_ws(":", t["place"], t["item_place"], t["tokens"]))
+    return found.select("doc_id", "item_id", "item_tokens", "covered", "coverage", F.array_join(tiles, ",").alias("tiles"))
+
+
 @query
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
