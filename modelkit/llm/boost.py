@@ -43,7 +43,7 @@ def fit(
     depth: int = 4,
     rate: float = 0.2,
     bins: int = 64,
-    least: float = 5.0,
+    least: float = 1.0,
     shrink: float = 1.0,
 ) -> Trees:
     """Fit on histograms of ``bins`` quantiles with logistic loss.
