@@ -26,7 +26,26 @@ def classify(text: Column, rules: Sequence[tuple[str, str]]) -> Column:
     return text if out is None else out.otherwise(text)
 
 
-# Public referrer patterns and their channels. Callers append their own host names.
+def host_of(url: Column) -> Column:
+    """Lower-case host name of an absolute URL; empty for anything else."""
+    return F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
+
+
+def channel(url: Column, rules: Sequence[tuple[str, str]]) -> Column:
+    """Label of the first rule whose domain is the URL's host or one of its parents; other URLs are kept as they are.
+
+    A domain that ends in a dot stands for all endings, so ``google.`` is google.com and google.co.uk alike.
+    """
+    host, out = F.concat(F.lit("."), host_of(url)), None
+    for domain, label in rules:
+        hit = host.contains(f".{domain}") if domain.endswith(".") else host.endswith(f".{domain}")
+        out = F.when(hit, label) if out is None else out.when(hit, label)
+    return url if out is None else out.otherwise(url)
+
+
+CHANNEL_DOMAINS = (("linkedin.com", "Linkedin"), ("t.co", "Twitter"), ("google.", "Google"), ("lnkd.in", "Linkedin"))
+
+# Public referrer patterns and their channels, the literal form (it also hits names that contain one).
 REFERRER_RULES = (
     ("%linkedin%", "Linkedin"),
     ("%t.co%", "Twitter"),

@@ -11,39 +11,55 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows of one key that a single task may hold. At most total_rows / HOT_ROWS keys can be hot,
-# which bounds every broadcast of a hot-key list.
-HOT_ROWS = 1_000_000
-# Elements of one list segment, which has to fit one row.
-SEGMENT_ROWS = 200_000
-# Size limit for broadcasts, by the optimizer's estimate of the (compressed) input.
+# Rows of one key that a single task may hold, and the most keys that are split (the largest ones), which
+# bounds every broadcast of a hot-key list. A key beyond that list is left to AQE.
+HOT_ROWS, HOT_KEYS = 1_000_000, 50_000
+# Size limit for broadcasts, by the measured size of the rows in memory.
 BROADCAST_BYTES = 32 << 20
+# Bytes that a row and a variable-length value take in memory besides the value itself.
+_ROW, _VALUE = 32, 24
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate, taken from file sizes; an upper bound for filters and joins."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def _bytes_of(column: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StringType | T.BinaryType):
+        return F.coalesce(F.octet_length(column), F.lit(0)) + _VALUE
+    if isinstance(kind, T.StructType | T.ArrayType | T.MapType):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0)) * 4 + _VALUE
+    return F.lit(16)
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes that the rows take in memory, counted by one aggregation over the frame itself.
+
+    File sizes are no bound: a column that compresses well is many times larger once it is read.
+    """
+    row = F.lit(_ROW).cast("long")
+    for f in df.schema.fields:
+        row = row + _bytes_of(df[f"`{f.name}`"], f.dataType)
+    return df.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0]
 
 
 def checked_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast only if the optimizer's size estimate is within ``max_bytes``.
+    """Hint a broadcast only if the measured size is within ``max_bytes``.
 
     Above it the frame comes back without a hint and the join stays a shuffled one, in which AQE
     splits skewed partitions.
     """
-    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
+    return F.broadcast(df) if max_bytes and measured_bytes(df) <= max_bytes else df
 
 
 def hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
     """Keys with more than ``hot_rows`` rows and the number of shards to split each into.
 
-    The count is partially aggregated and reads the key columns only. The result has at most
-    total_rows / hot_rows rows, so it is safe to broadcast.
+    The count is partially aggregated and reads the key columns only. The result is the HOT_KEYS largest of
+    them at most, so it is safe to broadcast; which keys are split never changes a result.
     """
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     shards = F.ceil(F.col("__n") / F.lit(hot_rows)).cast("int")
-    return counts.where(F.col("__n") > hot_rows).select(*[F.col(k).alias(f"__hot_{k}") for k in keys], shards.alias("__shards"))
+    largest = counts.where(F.col("__n") > hot_rows).orderBy(F.col("__n").desc(), *keys).limit(HOT_KEYS)
+    return largest.select(*[F.col(k).alias(f"__hot_{k}") for k in keys], shards.alias("__shards"))
 
 
 def _mark_hot(rows: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -54,22 +70,6 @@ def _mark_hot(rows: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame
     return rows.join(F.broadcast(hot), match, "left").drop(*[f"__hot_{k}" for k in keys])
 
 
-def with_segment(
-    rows: DataFrame,
-    keys: Sequence[str],
-    spread: Sequence[str],
-    hot_rows: int = SEGMENT_ROWS,
-    name: str = "segment",
-) -> DataFrame:
-    """Number the shards of each key: 0 for ordinary keys, a hash of ``spread`` for hot ones.
-
-    ``spread`` should be (nearly) unique within a key.
-    """
-    marked = _mark_hot(rows, hot_keys(rows, keys, hot_rows), keys)
-    shard = F.pmod(F.xxhash64(*spread), F.col("__shards")).cast("int")
-    return marked.withColumn(name, F.coalesce(shard, F.lit(0))).drop("__shards")
-
-
 def salted_join(
     rows: DataFrame,
     lookup: DataFrame,
@@ -82,13 +82,13 @@ def salted_join(
 ) -> DataFrame:
     """Join ``rows`` to the single ``lookup`` row of their key, spreading hot keys over many tasks.
 
-    A lookup whose estimated size is within ``max_bytes`` is broadcast, which no key can unbalance.
+    A lookup whose measured size is within ``max_bytes`` is broadcast, which no key can unbalance.
     Otherwise hot keys are counted in ``counted`` (default ``rows``; give the raw table if ``rows`` is a
     long plan over it, counting too many keys as hot does no harm). Rows of a hot key are sharded by a hash of ``spread`` and only its lookup row is copied, once per
-    shard, so the lookup grows by at most total_rows / hot_rows rows. All other keys join as usual.
+    shard, so the lookup grows by at most total_rows / hot_rows rows. NULL keys join nothing. All other keys join as usual.
     """
     keys = list(keys)
-    if estimated_bytes(lookup) <= max_bytes:
+    if max_bytes and measured_bytes(lookup) <= max_bytes:
         return rows.join(F.broadcast(lookup), keys, how)
     hot = hot_keys(rows if counted is None else counted, keys, hot_rows)
     shard = F.pmod(F.xxhash64(*spread), F.col("__shards")).cast("int")
@@ -121,7 +121,7 @@ def ordered_number(
     ``block`` is a non-decreasing expression of the first order column (the day of a time, a range of
     an id). Keys with more than ``hot_rows`` rows (every key if None) are numbered inside (key, block);
     the rows before a block come from a running sum over the block counts, of which a key has as many as
-    there are blocks. ``order`` must be total and keys must not be NULL.
+    there are blocks. ``order`` must be total; a NULL key is a key like any other.
     """
     keys = list(keys)
     if block is None:
@@ -137,11 +137,11 @@ def ordered_number(
         .drop("__n")
     )
     position = F.col("__pos") + F.coalesce("__before", F.lit(0))
-    return (
-        inside.join(carry, [*keys, "__block"], "left")
-        .withColumn(name, position.cast("long"))
-        .drop("__block", "__pos", "__before")
-    )
+    renamed = carry.select(*[F.col(c).alias(f"__c_{c}") for c in [*keys, "__block"]], "__before")
+    match = F.lit(True)
+    for c in [*keys, "__block"]:
+        match = match & inside[c].eqNullSafe(F.col(f"__c_{c}"))
+    return inside.join(renamed, match, "left").withColumn(name, position.cast("long")).select(*df.columns, name)
 
 
 def sliding_sum(
@@ -188,7 +188,7 @@ def islands(
     With ``block`` (a non-decreasing expression of the first order column) the rows of keys with more
     than ``hot_rows`` rows (of every key if None) are collapsed inside (key, block) first. Only the first
     and last island of a block can touch a neighbour, so the second pass orders at most two rows per key
-    and block, however many rows the key has. Keys must not be NULL.
+    and block, however many rows the key has. A NULL key is a key like any other.
     """
     keys, values, lead = list(keys), list(values), F.col(order[0])
     source = df if block is None else _with_block(df, keys, block, hot_rows)

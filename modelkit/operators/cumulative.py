@@ -9,11 +9,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from modelkit.functions.scalars import band, safe_ratio
-from modelkit.functions.skew import SEGMENT_ROWS, with_segment
 
 PLAYER_BANDS = ((20, "star"), (15, "good"), (10, "average"))
 FILM_BANDS = ((8, "star"), (7, "good"), (6, "average"))
@@ -107,124 +106,69 @@ def cumulate_backfill(src: DataFrame, spec: Cumulative, last: int | None = None,
     )
 
 
-def group_detail(
-    detail: DataFrame,
-    keys: Sequence[str],
-    attrs: Sequence[str],
-    period: str,
-    fields: Sequence[str],
-    measure: str,
-    spread: Sequence[str],
-    history: str = "films",
-    hot_rows: int = SEGMENT_ROWS,
-) -> DataFrame:
-    """Pre-group detail rows: one array per (entity, period, segment) with the sum and count of ``measure``.
-
-    An entity with more than ``hot_rows`` rows in a period is split by a hash of ``spread`` into
-    segments of about that size, so no task and no row has to hold an unbounded group. Ordinary
-    entities have the single segment 0. Sums and counts of the segments add up to those of the entity.
+def detail_totals(detail: DataFrame, keys: Sequence[str], attrs: Sequence[str], period: str, measure: str) -> DataFrame:
+    """Detail rows reduced to one row per entity and period: attributes, sum and count of ``measure``.
+
+    Combined before the shuffle, so an entity may have any number of detail rows. The rows themselves are the
+    history: those of an entity up to a period are ``detail.where(period <= ...)``, and no row has to hold them.
     """
-    by = [*keys, period]
-    return (
-        with_segment(detail, by, spread, hot_rows)
-        .groupBy(*by, "segment")
-        .agg(
-            *[F.max(c).alias(c) for c in attrs],
-            F.array_sort(F.collect_list(F.struct(*fields))).alias(history),
-            F.sum(measure).alias("__sum"),
-            F.count(measure).alias("__n"),
-        )
+    return detail.groupBy(*keys, period).agg(
+        *[F.max(c).alias(c) for c in attrs], F.sum(measure).alias("__sum"), F.count(measure).alias("__n"), F.count(F.lit(1)).alias("__rows")
     )
 
 
-def _entity_averages(grouped: DataFrame, by: Sequence[str], attrs: Sequence[str]) -> DataFrame:
-    average = F.try_divide(F.sum("__sum"), F.sum("__n")).alias("__avg")
-    return grouped.groupBy(*by).agg(average, *[F.max(c).alias(c) for c in attrs])
-
-
-def cumulate_detail_step(prev: DataFrame, grouped: DataFrame, spec: Cumulative, at: int) -> DataFrame:
-    """Cumulative step over pre-grouped detail: names of today first, class from today's average.
+def cumulate_detail_step(prev: DataFrame, totals: DataFrame, spec: Cumulative, at: int) -> DataFrame:
+    """Cumulative step over detail totals: names of today first, class from today's average.
 
-    Rows are keyed by entity and segment. Class and activity belong to the entity, so they are joined
-    per entity (one row each) and every segment row shows the same values. An entity is active when it
-    has detail rows, and keeps its class while none of them has a ``measure``.
+    An entity is active when it has detail rows, and keeps its class while none of them has a ``measure``.
+    ``spec.history`` is the number of detail rows to date.
     """
     keys = list(spec.keys)
-    t = grouped.where(F.col(spec.period) == at)
-    today = _entity_averages(t, keys, spec.attrs).select(
-        *keys, "__avg", F.lit(True).alias("__active"), *[F.col(c).alias(f"t_{c}") for c in spec.attrs]
+    today = totals.where(F.col(spec.period) == at).select(
+        *keys, F.try_divide("__sum", "__n").alias("__avg"), F.col("__rows"), *[F.col(c).alias(f"t_{c}") for c in spec.attrs]
     )
-    before = prev.groupBy(*keys).agg(
-        F.max(spec.label).alias("__label"), *[F.max(c).alias(f"p_{c}") for c in spec.attrs]
+    before = prev.select(
+        *keys, F.col(spec.label).alias("__label"), F.col(spec.history).alias("__before"), *[F.col(c).alias(f"p_{c}") for c in spec.attrs]
     )
-    entity = before.join(today, keys, "full_outer")
-    past = prev.select(*keys, "segment", F.col(spec.history).alias("p_history"))
-    new = t.select(*keys, "segment", F.col(spec.history).alias("t_history"))
-    history = F.concat(F.coalesce("p_history", F.array()), F.coalesce("t_history", F.array()))
     label = F.when(F.col("__avg").isNull() & F.col("__label").isNotNull(), F.col("__label")).otherwise(
         band(F.col("__avg"), spec.bands, spec.default)
     )
-    return (
-        past.join(new, [*keys, "segment"], "full_outer")
-        .join(entity, keys)
-        .select(
-            *keys,
-            *[F.coalesce(f"t_{c}", f"p_{c}").alias(c) for c in spec.attrs],
-            "segment",
-            history.alias(spec.history),
-            label.alias(spec.label),
-            F.lit(at).cast("int").alias(spec.current),
-            F.coalesce("__active", F.lit(False)).alias("is_active"),
-        )
+    return before.join(today, keys, "full_outer").select(
+        *keys,
+        *[F.coalesce(f"t_{c}", f"p_{c}").alias(c) for c in spec.attrs],
+        (F.coalesce("__before", F.lit(0)) + F.coalesce("__rows", F.lit(0))).alias(spec.history),
+        label.alias(spec.label),
+        F.lit(at).cast("int").alias(spec.current),
+        F.col("__rows").isNotNull().alias("is_active"),
     )
 
 
-def cumulate_detail_backfill(grouped: DataFrame, spec: Cumulative, last: int | None = None) -> DataFrame:
-    """All periods of the pre-grouped form. Segments collect one array per period; the class comes from
-    the per-period averages of the entity, of which there is one per period."""
+def cumulate_detail_backfill(totals: DataFrame, spec: Cumulative, last: int | None = None) -> DataFrame:
+    """All periods of the detail form. An entity collects one element per period, which the calendar bounds."""
     keys = list(spec.keys)
-    end = F.lit(last).cast("int") if last is not None else grouped.agg(F.max(spec.period).cast("int")).scalar()
-    segments = grouped.groupBy(*keys, "segment").agg(
-        F.array_sort(F.collect_list(F.struct(F.col(spec.period), F.col(spec.history).alias("rows")))).alias("__all"),
-        F.min(spec.period).cast("int").alias("__first"),
-    )
-    averages = (
-        _entity_averages(grouped, [*keys, spec.period], spec.attrs)
-        .groupBy(*keys)
-        .agg(
-            F.array_sort(F.collect_list(F.struct(F.col(spec.period), F.col("__avg")))).alias("__avgs"),
-            F.array_sort(F.collect_list(F.struct(F.col(spec.period), *[F.col(c) for c in spec.attrs]))).alias("__attrs"),
-        )
-    )
+    end = F.lit(last).cast("int") if last is not None else totals.agg(F.max(spec.period).cast("int")).scalar()
+    element = F.struct(F.col(spec.period), F.try_divide("__sum", "__n").alias("__avg"), F.col("__rows"), *[F.col(c) for c in spec.attrs])
     spine = (
-        segments.join(averages, keys)
+        totals.groupBy(*keys)
+        .agg(F.array_sort(F.collect_list(element)).alias("__all"), F.min(spec.period).cast("int").alias("__first"))
         .withColumn("__end", end)
         .where(F.col("__first") <= F.col("__end"))
         .withColumn(spec.current, F.explode(F.sequence("__first", "__end")))
     )
     current = F.col(spec.current)
-
-    def until(name: str) -> Column:
-        return F.filter(name, lambda s: s[spec.period] <= current)
-
-    rated = F.filter(until("__avgs"), lambda s: s["__avg"].isNotNull())
-    newest = F.try_element_at(until("__attrs"), F.lit(-1))
-    return spine.select(
+    seen = spine.withColumn("__past", F.filter("__all", lambda s: s[spec.period] <= current))
+    newest = F.try_element_at("__past", F.lit(-1))
+    rated = F.filter("__past", lambda s: s["__avg"].isNotNull())
+    return seen.select(
         *keys,
         *[newest[c].alias(c) for c in spec.attrs],
-        "segment",
-        F.flatten(F.transform(until("__all"), lambda s: s["rows"])).alias(spec.history),
+        F.aggregate("__past", F.lit(0).cast("long"), lambda n, s: n + s["__rows"]).alias(spec.history),
         band(F.try_element_at(rated, F.lit(-1))["__avg"], spec.bands, spec.default).alias(spec.label),
         current,
         (newest[spec.period] == current).alias("is_active"),
     )
 
 
-def entity_rows(table: DataFrame, spec: Cumulative) -> DataFrame:
-    """One row per entity and period of a segmented table, without the history."""
-    return table.select(*spec.keys, *spec.attrs, spec.label, spec.current, "is_active").distinct()
-
-
 def history_ratio(df: DataFrame, history: str, field: str, name: str = "growth") -> DataFrame:
     """Newest over oldest value of a field of the history array (a zero start counts as one)."""
     newest = F.try_element_at(history, F.lit(-1))[field]
@@ -236,11 +180,3 @@ def history_rows(df: DataFrame, keep: Sequence[str], history: str, outer: bool =
     """History back to one row per element. Narrow."""
     call = "inline_outer" if outer else "inline"
     return df.select(*keep, F.expr(f"{call}({history})"))
-
-
-def static_attributes(df: DataFrame, keys: Sequence[str], attrs: Sequence[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(*[F.max(c).alias(c) for c in attrs])
-
-
-def latest(df: DataFrame, current: str, at: int | Column) -> DataFrame:
-    return df.where(F.col(current) == at)

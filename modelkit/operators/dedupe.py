@@ -82,9 +82,10 @@ def build_fact(
 
 
 def bail_rates(fact: DataFrame) -> DataFrame:
-    """Games and share of games a player was not with the team."""
+    """Games and share of games a player was not with the team. Players are told by id; the name is carried along."""
     bailed = F.count_if(F.col("dim_not_with_team"))
-    return fact.groupBy("dim_player_name").agg(
+    return fact.groupBy("dim_player_id").agg(
+        F.max("dim_player_name").alias("dim_player_name"),
         F.count(F.lit(1)).alias("num_games"),
         bailed.alias("bailed_num"),
         (bailed / F.count(F.lit(1))).alias("bailed_percentage"),

@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from modelkit.functions.skew import BROADCAST_BYTES, SEGMENT_ROWS, checked_broadcast
-from modelkit.operators.graph import list_segments
+from modelkit.functions.skew import BROADCAST_BYTES, checked_broadcast, salted_join
 
 
 def enrich_broadcast(
@@ -47,25 +46,18 @@ def events_with_devices(events: DataFrame, devices: DataFrame) -> DataFrame:
 
 
 def device_activity(events: DataFrame) -> DataFrame:
-    """Events per user and device with the hosts they touched.
-
-    Events reduce to one row per host of a pair before the hosts, a site's few names, are listed.
-    """
-    per_host = events.where("user_id is not null").groupBy("user_id", "device_id", "host").agg(
-        F.count(F.lit(1)).alias("__n")
-    )
-    return per_host.groupBy("user_id", "device_id").agg(
-        F.sum("__n").alias("event_counts"), F.array_sort(F.collect_list("host")).alias("host_array")
-    )
+    """Events per user and device, and how many hosts they touched; events reduce to one row per host first."""
+    per_host = events.where("user_id is not null").groupBy("user_id", "device_id", "host").agg(F.count(F.lit(1)).alias("__n"))
+    return per_host.groupBy("user_id", "device_id").agg(F.sum("__n").alias("event_counts"), F.count("host").alias("num_hosts"))
 
 
-def user_devices(activity: DataFrame, hot_rows: int = SEGMENT_ROWS) -> DataFrame:
-    """Highest device hits and the devices of each user, from the per-device aggregate alone."""
-    hits = activity.groupBy("user_id").agg(F.max("event_counts").alias("total_hits"))
-    return hits.join(list_segments(activity, ["user_id"], "device_id", "devices", hot_rows), "user_id")
+def user_devices(activity: DataFrame) -> DataFrame:
+    """Each device of each user with its hits and the user's highest hits, from the per-device aggregate alone."""
+    highest = activity.groupBy("user_id").agg(F.max("event_counts").alias("total_hits"))
+    return salted_join(activity.select("user_id", "device_id", "event_counts"), highest, ["user_id"], ["device_id"])
 
 
-def device_users(activity: DataFrame, devices: DataFrame, hot_rows: int = SEGMENT_ROWS) -> DataFrame:
-    """Users of each device with its type. Popular devices continue in further segments."""
-    lists = list_segments(activity, ["device_id"], "user_id", "users", hot_rows)
-    return lists.join(checked_broadcast(devices.select("device_id", "device_type")), "device_id")
+def device_users(activity: DataFrame, devices: DataFrame) -> DataFrame:
+    """Each user of each device with the device's type, one row per pair."""
+    pairs = activity.select("device_id", "user_id").distinct()
+    return salted_join(pairs, devices.select("device_id", "device_type"), ["device_id"], ["user_id"])

@@ -6,18 +6,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modelkit.functions.scalars import json_object
-from modelkit.functions.skew import BROADCAST_BYTES, checked_broadcast
+from modelkit.functions.skew import BROADCAST_BYTES, measured_bytes
 
 BUCKET_BITS = 16
+# Parts that the addresses of a bucket are split into where the ranges cannot be broadcast.
+SALTS = 16
 
 
 def ip_number(ip: Column) -> Column:
-    """Dotted IPv4 text as a number; NULL when a part is not a number."""
-    total = None
+    """Dotted IPv4 text as a number; NULL unless it is four numbers from 0 to 255."""
+    octet = "(25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
+    parts = F.split(ip, r"\.")
+    total = F.lit(0).cast("long")
     for i, weight in enumerate((1 << 24, 1 << 16, 1 << 8, 1)):
-        part = F.split_part(ip, F.lit("."), F.lit(i + 1)).try_cast("long") * F.lit(weight).cast("long")
-        total = part if total is None else total + part
-    return total
+        total = total + F.get(parts, F.lit(i)).cast("long") * F.lit(weight).cast("long")
+    return F.when(ip.rlike(rf"^{octet}(\.{octet}){{3}}$"), total)
 
 
 def bucket_of(number: Column) -> Column:
@@ -30,8 +33,8 @@ def geo_lookup(
     """Add location JSON ``{country, state, city}``, or ``{}`` where no range holds the address.
 
     ``ranges`` has disjoint ``start_ip`` / ``end_ip`` numbers. Each range is repeated per /16 bucket it
-    touches, which turns the range condition into an equi join with a check. The range table is
-    broadcast if its size allows; otherwise AQE splits the buckets with most traffic.
+    touches, which turns the range condition into an equi join with a check. That repeated table is
+    broadcast if its measured size allows; otherwise rows and buckets are salted by a hash of the address.
     """
     location = json_object(country=F.col("country"), state=F.col("state"), city=F.col("city"))
     table = ranges.select(
@@ -41,10 +44,15 @@ def geo_lookup(
         location.alias("__location"),
     )
     rows = df.withColumn("__ip", ip_number(F.col(ip))).withColumn("__b", bucket_of(F.col("__ip")))
-    inside = (F.col("__b") == F.col("__bucket")) & F.col("__ip").between(F.col("__start"), F.col("__end"))
-    return rows.join(checked_broadcast(table, max_bytes), inside, "left").select(
-        *df.columns, F.coalesce("__location", F.lit("{}")).alias(name)
-    )
+    columns = [*df.columns, F.coalesce("__location", F.lit("{}")).alias(name)]
+    within = F.col("__ip").between(F.col("__start"), F.col("__end"))
+    if measured_bytes(table) <= max_bytes:
+        return rows.join(F.broadcast(table), (F.col("__b") == F.col("__bucket")) & within, "left").select(*columns)
+    # A /16 bucket with much traffic is split by address: each part meets a copy of the bucket's ranges.
+    salted = rows.withColumn("__salt", F.pmod("__ip", F.lit(SALTS)))
+    copies = table.withColumn("__part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    match = (F.col("__b") == F.col("__bucket")) & (F.col("__salt") == F.col("__part")) & within
+    return salted.join(copies, match, "left").select(*columns)
 
 
 def by_country(df: DataFrame, geodata: str = "geodata") -> DataFrame:

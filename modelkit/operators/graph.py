@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modelkit.functions.scalars import json_object
-from modelkit.functions.skew import HOT_ROWS, SEGMENT_ROWS, salted_join, with_segment
+from modelkit.functions.skew import checked_broadcast, salted_join
 
 
 def _properties(props: Mapping[str, Column], as_map: bool) -> Column:
@@ -33,54 +33,26 @@ def game_vertices(games: DataFrame) -> DataFrame:
     return vertices(games, "game_id", "game", props)
 
 
-def player_vertices(details: DataFrame, hot_rows: int = SEGMENT_ROWS) -> DataFrame:
-    """Players with their totals and distinct teams.
-
-    Games and points are aggregated per (player, team) first, so the second shuffle holds one row per
-    team of a player. A player with more than ``hot_rows`` teams keeps the rest of the list in further
-    rows whose properties are ``segment`` and ``teams``; the queries below read the first row only.
-    """
-    per_team = details.groupBy("player_id", "team_id").agg(
-        F.max("player_name").alias("player_name"), F.count(F.lit(1)).alias("games"), F.sum("pts").alias("points")
-    )
-    totals = per_team.groupBy("player_id").agg(
-        F.max("player_name").alias("player_name"),
-        F.sum("games").alias("games"),
-        F.sum("points").alias("points"),
-    )
-    named = per_team.where(F.col("team_id").isNotNull())
-    teams = list_segments(named, ["player_id"], "team_id", "teams", hot_rows)
-    joined = totals.join(teams, "player_id", "left")
-    listed = F.coalesce("teams", F.array())
-    first = json_object(
-        player_name=F.col("player_name"), number_of_games=F.col("games"), total_points=F.col("points"), teams=listed
-    )
-    properties = F.when(F.coalesce("segment", F.lit(0)) == 0, first).otherwise(
-        json_object(segment=F.col("segment"), teams=listed)
-    )
-    return joined.select(
-        F.col("player_id").alias("identifier"), F.lit("player").alias("type"), properties.alias("properties")
+def careers(details: DataFrame) -> DataFrame:
+    """One typed row per player: name, games and points."""
+    return details.groupBy("player_id").agg(
+        F.max("player_name").alias("player_name"), F.count(F.lit(1)).alias("number_of_games"), F.sum("pts").alias("total_points")
     )
 
 
-def first_rows(vertex: DataFrame) -> DataFrame:
-    """One row per vertex: without the rows that continue a long list."""
-    return vertex.where(field("properties", "segment").isNull())
+def player_vertices(details: DataFrame) -> DataFrame:
+    """Players with their totals. Their teams are edges (``plays_for``), one row each, so no row holds a list."""
+    props = {c: F.col(c) for c in ("player_name", "number_of_games", "total_points")}
+    return vertices(careers(details), "player_id", "player", props)
 
 
-def list_segments(
-    df: DataFrame, keys: Sequence[str], item: str, name: str, hot_rows: int = SEGMENT_ROWS
-) -> DataFrame:
-    """Sorted list of the distinct ``item`` values per key, in segments of about ``hot_rows`` elements.
-
-    Ordinary keys have one row with segment 0; a larger key continues in segments 1, 2, ...
-    """
-    unique = df.select(*keys, item).distinct()
-    return (
-        with_segment(unique, keys, [item], hot_rows)
-        .groupBy(*keys, "segment")
-        .agg(F.array_sort(F.collect_list(item)).alias(name))
+def plays_for(details: DataFrame) -> DataFrame:
+    """Edges from players to their teams with the games and points between them."""
+    per_team = details.where(F.col("team_id").isNotNull()).groupBy("player_id", "team_id").agg(
+        F.count(F.lit(1)).alias("num_games"), F.sum("pts").alias("points")
     )
+    props = {c: F.col(c) for c in ("num_games", "points")}
+    return edges(per_team, ("player_id", "player"), ("team_id", "team"), "plays_for", props)
 
 
 def edges(
@@ -102,49 +74,45 @@ def edges(
     )
 
 
-def co_occurrence(
-    members: DataFrame,
-    group: str,
-    member: str,
-    same: str,
-    points: str,
-    differ: str | None = None,
-    cell: int = 1_000,
-    hot_rows: int = HOT_ROWS,
-    counted: DataFrame | None = None,
+def tie_totals(members: DataFrame, group: str, member: str, same: str, points: str, counted: DataFrame | None = None) -> DataFrame:
+    """Per member: how often it met others of its side and of other sides, and the points they made then.
+
+    The totals of all pairs without the pairs: in a group a member meets all others of its side and
+    everyone of the other sides, so sums per group and per side of a group are enough. ``members`` has one row per
+    group and member; a NULL ``same`` is a side of its own.
+    """
+    side = F.coalesce(F.col(same).cast("string"), F.lit(""))
+    rows = members.select(group, member, side.alias("__side"), F.col(points).alias("__points"))
+    sides = rows.groupBy(group, "__side").agg(F.count(F.lit(1)).alias("__n"), F.sum("__points").alias("__sum"))
+    whole = sides.groupBy(group).agg(F.sum("__n").alias("__all_n"), F.sum("__sum").alias("__all_sum"))
+    lookup = sides.join(whole, group)
+    met = salted_join(rows, lookup, [group, "__side"], [member], counted=counted)
+    nil = F.lit(0).cast("long")
+    return met.groupBy(member).agg(
+        F.sum(F.col("__n") - 1).alias("teammates_met"),
+        F.sum(F.coalesce("__sum", nil) - F.coalesce("__points", nil)).alias("teammates_points"),
+        F.sum(F.col("__all_n") - F.col("__n")).alias("opponents_met"),
+        F.sum(F.coalesce("__all_sum", nil) - F.coalesce("__sum", nil)).alias("opponents_points"),
+    )
+
+
+def subject_pairs(
+    members: DataFrame, subjects: DataFrame, group: str, member: str, same: str, points: str, counted: DataFrame | None = None
 ) -> DataFrame:
-    """Totals per pair of members that appear in the same group, split by whether they share ``same``.
+    """Totals per pair of one of the ``subjects`` (a column named as ``member``) and each other member it met.
 
-    The pairs are the result, so each must be visited once; what is bounded is the work of one task.
-    A group of n members is cut into ceil(n / cell) parts and the parts meet in cells of their own
-    (group, part, part), so even a group with a large share of all rows is spread over many tasks, and
-    pairs are summed before they are shuffled. ``members`` has one row per group and member; ``differ``
-    names a column whose values must differ within a pair, and ``counted`` is as in ``salted_join``.
+    ``subjects`` is a bounded set, so a group has at most that many lookups however large it is: they are
+    listed per group, the list joins the group's members, and large groups are split by ``salted_join``.
     """
-    sizes = members.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / F.lit(cell)).cast("int").alias("__parts"))
-    columns = list(dict.fromkeys([group, member, same, points, *([differ] if differ else [])]))
-    placed = salted_join(members.select(*columns), sizes, [group], [member], hot_rows=hot_rows, counted=counted).withColumn(
-        "__mine", F.pmod(F.xxhash64(member), F.col("__parts")).cast("int")
-    )
-    each = F.explode(F.sequence(F.lit(0), F.col("__parts") - 1))
-    left = placed.withColumn("__other", each).select(
-        F.col(group).alias("__g"), F.col("__mine").alias("__i"), F.col("__other").alias("__j"),
-        *[F.col(c).alias(f"s_{c}") for c in columns if c != group],
+    own = members.join(checked_broadcast(subjects.select(member).distinct()), member)
+    lists = own.groupBy(group).agg(
+        F.collect_list(F.struct(F.col(member).alias("subject"), F.col(same).alias("side"), F.col(points).alias("points"))).alias("__subjects")
     )
-    right = placed.withColumn("__other", each).select(
-        F.col(group).alias("__g"), F.col("__other").alias("__i"), F.col("__mine").alias("__j"),
-        *[F.col(c).alias(f"o_{c}") for c in columns if c != group],
-    )
-    pairs = left.join(right, ["__g", "__i", "__j"]).where(F.col(f"s_{member}") > F.col(f"o_{member}"))
-    if differ:
-        pairs = pairs.where(F.col(f"s_{differ}") != F.col(f"o_{differ}"))
-    kind = F.when(F.col(f"s_{same}") == F.col(f"o_{same}"), "shares_team").otherwise("plays_against")
-    return pairs.groupBy(
-        F.col(f"s_{member}").alias("subject"), F.col(f"o_{member}").alias("object"), kind.alias("edge_type")
-    ).agg(
-        F.count(F.lit(1)).alias("num_games"),
-        F.sum(f"s_{points}").alias("subject_points"),
-        F.sum(f"o_{points}").alias("object_points"),
+    met = salted_join(members.select(group, member, same, points), lists, [group], [member], counted=counted)
+    pairs = met.withColumn("__s", F.explode("__subjects")).where(F.col("__s.subject") != F.col(member))
+    kind = F.when(F.col("__s.side") == F.col(same), "shares_team").otherwise("plays_against")
+    return pairs.groupBy(F.col("__s.subject").alias("subject"), F.col(member).alias("object"), kind.alias("edge_type")).agg(
+        F.count(F.lit(1)).alias("num_games"), F.sum("__s.points").alias("subject_points"), F.sum(points).alias("object_points")
     )
 
 
@@ -153,50 +121,19 @@ def pair_edges(pairs: DataFrame, kind: str = "player") -> DataFrame:
     return edges(pairs, ("subject", kind), ("object", kind), F.col("edge_type"), props)
 
 
-def field(properties: str, name: str) -> Column:
-    """Text of one property of a JSON properties column."""
-    return F.get_json_object(properties, f"$.{name}")
-
-
-def max_edge_value(vertex: DataFrame, edge: DataFrame, edge_field: str, label: str) -> DataFrame:
-    """Largest edge value per vertex label. Edges are reduced per subject before they meet the vertices."""
-    best = edge.groupBy(
-        F.col("subject_identifier").alias("identifier"), F.col("subject_type").alias("type")
-    ).agg(F.max(field("properties", edge_field).try_cast("double").cast("int")).alias("__best"))
-    return (
-        first_rows(vertex).join(best, ["identifier", "type"])
-        .groupBy(field("properties", label).alias(label))
-        .agg(F.max("__best").alias(f"max_{edge_field}"))
-    )
-
+def max_points(details: DataFrame) -> DataFrame:
+    """Highest points of each player in a game; players are told by id, and the name is carried along."""
+    return details.groupBy("player_id").agg(F.max("player_name").alias("player_name"), F.max("pts").cast("int").alias("max_pts"))
 
-def traverse(
-    vertex: DataFrame, edge: DataFrame, vertex_fields: Sequence[str], edge_fields: Sequence[str], object_type: str,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Edges to ``object_type`` with chosen properties of edge and subject, as text.
 
-    Subjects with very many edges are split over several tasks; the vertex has one row per subject.
-    """
-    wanted = edge.where(F.col("object_type") == object_type).select(
-        F.col("subject_identifier").alias("identifier"),
-        F.col("subject_type").alias("type"),
-        "object_identifier",
-        *[field("properties", f).alias(f) for f in edge_fields],
-    )
-    lookup = first_rows(vertex).select("identifier", "type", *[field("properties", f).alias(f) for f in vertex_fields])
-    return salted_join(wanted, lookup, ["identifier", "type"], ["object_identifier"], hot_rows=hot_rows)
-
-
-def game_rate_edges(vertex: DataFrame, edge: DataFrame) -> DataFrame:
-    """Player pairs with the subject's games per point over its career (zero points count as one)."""
-    rows = traverse(
-        vertex, edge, ["player_name", "number_of_games", "total_points"], ["subject_points", "num_games"], "player"
-    )
-    games, points = F.col("number_of_games").try_cast("double"), F.col("total_points").try_cast("double")
-    return rows.select(
+def game_rates(pairs: DataFrame, careers_: DataFrame) -> DataFrame:
+    """Pairs with the subject's games per point over its career (zero points count as one)."""
+    games, points = F.col("number_of_games").cast("double"), F.col("total_points").cast("double")
+    subject = careers_.select(F.col("player_id").alias("subject"), "player_name", "number_of_games", "total_points")
+    return salted_join(pairs, subject, ["subject"], ["object"]).select(
+        F.col("subject").alias("subject_identifier"),
         "player_name",
-        "object_identifier",
+        F.col("object").alias("object_identifier"),
         (games / F.when(points == 0, 1.0).otherwise(points)).alias("games_per_point"),
         "subject_points",
         "num_games",

@@ -22,13 +22,35 @@ def freshness(df: DataFrame, ts: str, expected: str, min_rows: int = 1) -> DataF
     )
 
 
+# What a text has to look like before a cast to the type can succeed. A failed cast costs an exception per
+# value, so texts that cannot pass are told apart by their look first.
+LOOKS = {
+    T.IntegralType: r"^\s*[+-]?[0-9]+\s*$",
+    T.FractionalType: r"^\s*[+-]?([0-9.]|[iI][nN][fF]|[nN][aA][nN])",
+    T.DateType: r"^\s*[+-]?[0-9]{4}",
+    T.TimestampType: r"^\s*([+-]?[0-9]{4}|T?[0-9]{1,2}:)",
+    T.TimestampNTZType: r"^\s*[+-]?[0-9]{4}",
+}
+
+
+def fits(df: DataFrame, name: str, kind: T.DataType) -> Column:
+    """Whether a value that is not NULL casts to ``kind``."""
+    value = F.col(f"`{name}`")
+    cast = value.try_cast(kind).isNotNull()
+    look = next((p for k, p in LOOKS.items() if isinstance(kind, k)), None)
+    if look is None or not isinstance(df.schema[name].dataType, T.StringType):
+        return cast
+    return F.when(value.rlike(look), cast).otherwise(False)
+
+
 def schema_conformance(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Per column of ``schema``: NULLs where a value is required, and values that do not cast. One pass."""
     checks = []
     for f in schema.fields:
         value = F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None).cast("string")
         required = F.lit(0).cast("long") if f.nullable else F.count_if(value.isNull())
-        castable = F.count_if(value.isNotNull() & value.try_cast(f.dataType).isNull())
+        bad = value.isNotNull() & ~fits(df, f.name, f.dataType) if f.name in df.columns else F.lit(False)
+        castable = F.count_if(bad)
         checks.append(
             F.struct(
                 F.lit(f.name).alias("column"),
@@ -45,8 +67,8 @@ def enforce_schema(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, Data
     ok = F.lit(True)
     for f in schema.fields:
         value = F.col(f"`{f.name}`")
-        fits = value.isNull() | value.try_cast(f.dataType).isNotNull()
-        ok = ok & (fits if f.nullable else fits & value.isNotNull())
+        good = value.isNull() | fits(df, f.name, f.dataType)
+        ok = ok & (good if f.nullable else good & value.isNotNull())
     marked = df.withColumn("__ok", ok)
     casts = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields]
     return marked.where("__ok").select(*casts), marked.where(~F.col("__ok")).drop("__ok")

@@ -80,6 +80,15 @@ actors AS (
   FROM rated)
 """
 
+ACTOR_TABLE = f"""
+WITH {ACTORS},
+counted AS (
+  SELECT g.actorid, g.current_year, count(*) AS films
+  FROM grid g JOIN films f ON f.actorid = g.actorid AND f.year <= g.current_year GROUP BY 1, 2)
+SELECT actorid, 'actor ' || actorid AS actor, films, quality_class, current_year, is_active
+FROM counted JOIN actors USING (actorid, current_year)
+"""
+
 GAMES = """
 games AS (
   SELECT o_orderkey AS game_id, CAST(o_orderdate AS DATE) AS game_date_est, CAST(year(o_orderdate) AS INTEGER) AS season,
@@ -127,8 +136,8 @@ pairs AS (
   SELECT a.player_id AS subject, b.player_id AS object,
          CASE WHEN a.team_abbreviation = b.team_abbreviation THEN 'shares_team' ELSE 'plays_against' END AS edge_type,
          count(*) AS num_games, CAST(sum(a.pts) AS BIGINT) AS subject_points, CAST(sum(b.pts) AS BIGINT) AS object_points
-  FROM appearances a JOIN appearances b ON a.game_id = b.game_id AND a.player_id > b.player_id
-  WHERE a.player_name <> b.player_name
+  FROM appearances a JOIN appearances b ON a.game_id = b.game_id AND a.player_id <> b.player_id
+  WHERE a.player_id IN (SELECT player_id FROM details GROUP BY 1 ORDER BY sum(pts) DESC, player_id LIMIT 10)
   GROUP BY 1, 2, 3)
 """
 
@@ -369,19 +378,16 @@ ORACLES: dict[str, str] = {
         FROM fact""",
     "fact_quality": f"""
         WITH {FACT}
-        SELECT player_name AS dim_player_name, count(*) AS num_games,
+        SELECT player_id AS dim_player_id, max(player_name) AS dim_player_name, count(*) AS num_games,
                count(*) FILTER (contains(comment, 'NWT')) AS bailed_num,
                CAST(count(*) FILTER (contains(comment, 'NWT')) AS DOUBLE) / count(*) AS bailed_percentage
         FROM fact GROUP BY 1""",
     "player_cumulative": PLAYER_TABLE,
     "player_cumulative_step": PLAYER_TABLE + " WHERE current_season = (SELECT max(current_season) FROM years)",
-    "actor_cumulative": f"""
-        WITH {ACTORS},
-        listed AS (
-          SELECT g.actorid, g.current_year, string_agg(CAST(id AS VARCHAR), ',' ORDER BY f.year, 'film ' || id) AS films
-          FROM grid g JOIN films f ON f.actorid = g.actorid AND f.year <= g.current_year GROUP BY 1, 2)
-        SELECT actorid, 'actor ' || actorid AS actor, films, quality_class, current_year, is_active
-        FROM listed JOIN actors USING (actorid, current_year)""",
+    "actor_cumulative": ACTOR_TABLE,
+    "actor_cumulative_step": ACTOR_TABLE + " WHERE current_year = (SELECT max(current_year) FROM actors)",
+    "actor_films": f"""
+        WITH {ACTORS} SELECT actorid, year, CAST(id AS VARCHAR) AS filmid, CAST(id % 1000 AS INTEGER) AS votes, rating FROM films""",
     "actor_scd2_backfill": f"""
         WITH {ACTORS}, starts AS (
           SELECT a.* FROM actors a LEFT JOIN actors b ON b.actorid = a.actorid AND b.current_year = a.current_year - 1
@@ -406,9 +412,7 @@ ORACLES: dict[str, str] = {
         FROM games
         UNION ALL
         SELECT CAST(player_id AS VARCHAR), 'player',
-               '{{"player_name":"' || player_name || '","number_of_games":' || number_of_games || ',"total_points":' || total_points
-                 || ',"teams":[' || (SELECT array_to_string(list_sort(list(DISTINCT team_id)), ',')
-                                     FROM details d WHERE d.player_id = c.player_id) || ']}}'
+               '{{"player_name":"' || player_name || '","number_of_games":' || number_of_games || ',"total_points":' || total_points || '}}'
         FROM careers c
         UNION ALL
         SELECT CAST(team_id AS VARCHAR), 'team',
@@ -435,14 +439,26 @@ ORACLES: dict[str, str] = {
                '{{"num_games":' || num_games || ',"subject_points":' || subject_points || ',"object_points":' || object_points
                  || '}}' AS properties
         FROM pairs""",
-    "graph_max_points": f"""
+    "graph_plays_for": f"""
+        WITH {DETAILS}
+        SELECT player_id AS subject_identifier, 'player' AS subject_type, team_id AS object_identifier, 'team' AS object_type,
+               'plays_for' AS edge_type, '{{"num_games":' || count(*) || ',"points":' || CAST(sum(pts) AS BIGINT) || '}}' AS properties
+        FROM details GROUP BY player_id, team_id""",
+    "graph_tie_totals": f"""
         WITH {APPEARANCES}
-        SELECT player_name, CAST(max(pts) AS INTEGER) AS max_pts FROM appearances GROUP BY 1""",
+        SELECT a.player_id, count(b.game_id) FILTER (a.team_abbreviation = b.team_abbreviation) AS teammates_met,
+               CAST(coalesce(sum(b.pts) FILTER (a.team_abbreviation = b.team_abbreviation), 0) AS BIGINT) AS teammates_points,
+               count(b.game_id) FILTER (a.team_abbreviation <> b.team_abbreviation) AS opponents_met,
+               CAST(coalesce(sum(b.pts) FILTER (a.team_abbreviation <> b.team_abbreviation), 0) AS BIGINT) AS opponents_points
+        FROM appearances a LEFT JOIN appearances b ON b.game_id = a.game_id AND b.player_id <> a.player_id GROUP BY 1""",
+    "graph_max_points": f"""
+        WITH {DETAILS}
+        SELECT player_id, max(player_name) AS player_name, CAST(max(pts) AS INTEGER) AS max_pts FROM details GROUP BY 1""",
     "graph_traverse": f"""
         WITH {PAIRS}, {CAREERS}
-        SELECT player_name, object AS object_identifier,
+        SELECT subject AS subject_identifier, player_name, object AS object_identifier,
                CAST(number_of_games AS DOUBLE) / CASE WHEN total_points = 0 THEN 1 ELSE total_points END AS games_per_point,
-               CAST(subject_points AS VARCHAR) AS subject_points, CAST(num_games AS VARCHAR) AS num_games
+               subject_points, num_games
         FROM pairs JOIN careers ON player_id = subject""",
     "user_datelist": f"""
         WITH {days_of("user_id")}
@@ -614,23 +630,28 @@ ORACLES: dict[str, str] = {
         FROM orders JOIN customer ON c_custkey = o_custkey""",
     "user_devices": f"""
         WITH {WEB}, activity AS (SELECT user_id, device_id, count(*) AS n FROM web GROUP BY 1, 2)
-        SELECT user_id, max(n) AS total_hits, string_agg(CAST(device_id AS VARCHAR), ',' ORDER BY device_id) AS devices
-        FROM activity GROUP BY 1""",
+        SELECT user_id, device_id, n AS event_counts, max(n) OVER (PARTITION BY user_id) AS total_hits FROM activity""",
     "device_users": f"""
-        WITH {WEB}, activity AS (SELECT DISTINCT user_id, device_id, device_type FROM web)
-        SELECT device_id, device_type, string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY user_id) AS users
-        FROM activity GROUP BY 1, 2""",
+        WITH {WEB} SELECT DISTINCT device_id, user_id, device_type FROM web""",
     "broadcast_enrich": """
         SELECT n_name, o_orderpriority AS playlist_id, count(*) AS plays
         FROM orders JOIN nation ON n_nationkey = o_custkey % 25 GROUP BY 1, 2""",
     "bucketed_join": """
         SELECT o_orderpriority, count(*) AS num_rows, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS kills
         FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1""",
+    "bucketed_join_three": """
+        SELECT o_orderpriority, count(*) AS lines, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS kills,
+               count(*) FILTER (l_returnflag = 'R') AS returned
+        FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1""",
     "table_upsert": f"""
-        WITH {SEASONS}, last AS (SELECT max(season) AS y FROM seasons),
-        kept AS (SELECT player, season, gp, row_number() OVER (PARTITION BY player ORDER BY season DESC) AS pick
-                 FROM seasons, last WHERE season >= y - 1)
-        SELECT player, season, gp FROM kept WHERE pick = 1""",
+        WITH {SEASONS}, last AS (SELECT max(season) AS y FROM seasons)
+        SELECT player, season, CASE WHEN season >= y - 1 THEN gp + 1 ELSE gp END AS gp FROM seasons, last""",
+    "csv_round_trip": "SELECT event_id, user_id, event_type, props FROM events",
+    "partition_overwrite": f"""
+        WITH {SEASONS}, last AS (SELECT max(season) AS y FROM seasons)
+        SELECT player, CASE WHEN season = y THEN gp * 2 ELSE gp END AS gp, season FROM seasons, last""",
+    "schema_quarantine": f"""
+        WITH {WEB} SELECT url, device_id % 5 <> 0 AS conforms, count(*) AS num_rows FROM web WHERE url IS NOT NULL AND user_id IS NOT NULL GROUP BY 1, 2""",
     "stream_tumbling": TUMBLING.format("host"),
     "stream_tumbling_2d": TUMBLING.format("host, referrer"),
     "stream_sessions": f"""

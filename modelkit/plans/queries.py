@@ -137,18 +137,31 @@ def player_cumulative_step(spark, sf):
     return as_text(out.withColumn("season_stats", text))
 
 
+def _actor_totals(spark: SparkSession, sf: str) -> DataFrame:
+    return cumulative.detail_totals(src.films(spark, sf), ["actorid"], ["actor"], "year", "rating")
+
+
 def _actors(spark: SparkSession, sf: str) -> DataFrame:
-    grouped = cumulative.group_detail(
-        src.films(spark, sf), ["actorid"], ["actor"], "year", ["film", "votes", "rating", "filmid"], "rating", ["filmid"]
-    )
-    return cumulative.cumulate_detail_backfill(grouped, ACTOR, last_season(spark, sf))
+    return cumulative.cumulate_detail_backfill(_actor_totals(spark, sf), ACTOR, last_season(spark, sf))
 
 
 @query
 def actor_cumulative(spark, sf):
-    out = _actors(spark, sf)
-    films = F.transform("films", lambda f: f["filmid"])
-    return as_text(out.withColumn("films", films).drop("segment"))
+    """One row per actor and year; the films themselves are the rows of ``actor_films``."""
+    return as_text(_actors(spark, sf))
+
+
+@query
+def actor_cumulative_step(spark, sf):
+    """The last year added to the table of the year before."""
+    totals, last = _actor_totals(spark, sf), last_season(spark, sf)
+    before = cumulative.cumulate_detail_backfill(totals.where(F.col("year") < last), ACTOR, last - 1)
+    return as_text(cumulative.cumulate_detail_step(before.where(F.col("current_year") == last - 1), totals, ACTOR, last))
+
+
+@query
+def actor_films(spark, sf):
+    return src.films(spark, sf).select("actorid", "year", "filmid", "votes", "rating")
 
 
 @query
@@ -161,7 +174,7 @@ def scd2_backfill(spark, sf):
 
 @query
 def actor_scd2_backfill(spark, sf):
-    table = cumulative.entity_rows(_actors(spark, sf), ACTOR)
+    table = _actors(spark, sf).drop("films")
     return scd.scd2_backfill(
         table, ["actorid", "actor"], ["quality_class", "is_active"], "current_year", as_of=last_season(spark, sf),
         start="start_date", end="end_date", snapshot="current_year",
@@ -195,10 +208,15 @@ def _players_in_games(spark: SparkSession, sf: str) -> DataFrame:
     return dedupe.dedupe(src.details(spark, sf), ["player_id", "game_id"], detail_order())
 
 
+# Subjects of the pair edges: the highest scorers.
+TOP_PLAYERS = 10
+
+
 def _pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return graph.co_occurrence(
-        _players_in_games(spark, sf), "game_id", "player_id", "team_abbreviation", "pts", differ="player_name",
-        counted=src.details(spark, sf),
+    details = src.details(spark, sf)
+    best = graph.careers(details).orderBy(F.col("total_points").desc(), "player_id").limit(TOP_PLAYERS)
+    return graph.subject_pairs(
+        _players_in_games(spark, sf), best, "game_id", "player_id", "team_abbreviation", "pts", counted=details
     )
 
 
@@ -207,12 +225,6 @@ def _plays_in(spark: SparkSession, sf: str) -> DataFrame:
     return graph.edges(_players_in_games(spark, sf), ("player_id", "player"), ("game_id", "game"), "plays_in", props)
 
 
-def _stored(spark: SparkSession, vertices: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Vertex and edge tables written once, since graph queries read them more than once."""
-    base = src.scratch(spark, "graph")
-    return tables.stored(vertices, f"{base}/vertices"), tables.stored(edges, f"{base}/edges")
-
-
 @query
 def graph_vertices(spark, sf):
     team_rows = dedupe.dedupe(src.teams(spark, sf), ["team_id"], [F.col("nickname").desc()])
@@ -244,18 +256,26 @@ def graph_edges_pair(spark, sf):
     return graph.pair_edges(_pairs(spark, sf))
 
 
+@query
+def graph_plays_for(spark, sf):
+    return graph.plays_for(src.details(spark, sf))
+
+
+@query
+def graph_tie_totals(spark, sf):
+    return graph.tie_totals(
+        _players_in_games(spark, sf), "game_id", "player_id", "team_abbreviation", "pts", counted=src.details(spark, sf)
+    )
+
+
 @query
 def graph_max_points(spark, sf):
-    vertices = graph.player_vertices(src.details(spark, sf))
-    return graph.max_edge_value(vertices, _plays_in(spark, sf), "pts", "player_name")
+    return graph.max_points(src.details(spark, sf))
 
 
 @query
 def graph_traverse(spark, sf):
-    vertices, edges = _stored(
-        spark, graph.player_vertices(src.details(spark, sf)), graph.pair_edges(_pairs(spark, sf))
-    )
-    return graph.game_rate_edges(vertices, edges)
+    return graph.game_rates(_pairs(spark, sf), graph.careers(src.details(spark, sf)))
 
 
 # --- activity ----------------------------------------------------------------------------------------
@@ -579,13 +599,13 @@ def typed_pairs(spark, sf):
 
 @query
 def user_devices(spark, sf):
-    return as_text(facts.user_devices(facts.device_activity(src.web_events(spark, sf))).drop("segment"))
+    return facts.user_devices(facts.device_activity(src.web_events(spark, sf)))
 
 
 @query
 def device_users(spark, sf):
     activity = facts.device_activity(src.web_events(spark, sf))
-    return as_text(facts.device_users(activity, src.devices(spark, sf)).drop("segment"))
+    return facts.device_users(activity, src.devices(spark, sf))
 
 
 @query
@@ -612,11 +632,64 @@ def bucketed_join(spark, sf):
     return joined.groupBy("o_orderpriority").agg(F.sum("lines").alias("num_rows"), F.sum("kills").alias("kills"))
 
 
+@query
+def bucketed_join_three(spark, sf):
+    """Three tables of one bucketing joined on their key; lines are summed per match first."""
+    base = src.scratch(spark, "buckets")
+    tag = base.rsplit("-", 1)[1]
+    lines = tables.read_table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("match_id"))
+    frames = {
+        f"orders_{tag}": tables.read_table(spark, sf, "orders").select(F.col("o_orderkey").alias("match_id"), "o_orderpriority"),
+        f"lines_{tag}": lines.agg(F.count(F.lit(1)).alias("lines"), F.sum(F.col("l_quantity").cast("long")).alias("kills")),
+        f"returns_{tag}": lines.agg(F.count_if(F.col("l_returnflag") == "R").alias("returned")),
+    }
+    buckets = tables.bucket_count(*frames.values())
+    for name, frame in frames.items():
+        tables.write_bucketed(frame, name, "match_id", buckets, f"{base}/{name}")
+    joined = matches.bucketed_join(spark, list(frames), "match_id")
+    return joined.groupBy("o_orderpriority").agg(*[F.sum(c).alias(c) for c in ("lines", "kills", "returned")])
+
+
 @query
 def table_upsert(spark, sf):
+    """Corrections to the last two seasons written over a table of all seasons, by player and season."""
     seasons, last = src.player_seasons(spark, sf).select("player", "season", "gp"), last_season(spark, sf)
-    base = seasons.where(F.col("season") == last - 1)
-    return tables.upsert(base, seasons.where(F.col("season") == last), ["player"])
+    base = seasons.where(F.col("season") < last)
+    updates = seasons.where(F.col("season") >= last - 1).withColumn("gp", F.col("gp") + 1)
+    return tables.upsert(base, updates, ["player", "season"])
+
+
+@query
+def csv_round_trip(spark, sf):
+    """Events written as CSV and read back with the declared types."""
+    events = tables.read_table(spark, sf, "events").select("event_id", "user_id", "event_type", F.col("props"))
+    path = f"{src.scratch(spark, 'csv')}/events"
+    events.write.option("header", True).option("escape", '"').csv(path)
+    return spark.read.schema(events.schema).option("header", True).option("escape", '"').csv(path)
+
+
+@query
+def partition_overwrite(spark, sf):
+    """A table partitioned by season, appended to, and its last season overwritten by corrected rows."""
+    seasons, last = src.player_seasons(spark, sf).select("player", "gp", "season"), last_season(spark, sf)
+    path = f"{src.scratch(spark, 'partitions')}/seasons"
+    seasons.where(F.col("season") < last).write.partitionBy("season").parquet(path)
+    seasons.where(F.col("season") == last).write.mode("append").partitionBy("season").parquet(path)
+    corrected = seasons.where(F.col("season") == last).withColumn("gp", F.col("gp") * 2)
+    with settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+        corrected.write.mode("overwrite").partitionBy("season").parquet(path)
+    return spark.read.schema(seasons.schema).parquet(path)
+
+
+@query
+def schema_quarantine(spark, sf):
+    """How many rows conform to a declared schema and how many are set aside, by event type."""
+    from modelkit.schemas import ddl
+
+    raw = src.web_events(spark, sf).select("url", F.col("user_id").cast("string"), F.when(F.col("device_id") % 5 == 0, "n/a").otherwise(F.col("device_id").cast("string")).alias("device_id"))
+    good, bad = quality.enforce_schema(raw, ddl("url string not null, user_id bigint not null, device_id bigint"))
+    both = good.select("url", F.lit(True).alias("conforms")).unionByName(bad.select("url", F.lit(False).alias("conforms")))
+    return both.groupBy("url", "conforms").agg(F.count(F.lit(1)).alias("num_rows"))
 
 
 @query

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modelkit.functions.scalars import REFERRER_RULES, classify
+from modelkit.functions.scalars import CHANNEL_DOMAINS, channel
 from modelkit.session import scratch_dir
 from modelkit.sources.tables import read_table, stored
 
@@ -185,7 +185,7 @@ def web_augmented(spark: SparkSession, sf: str) -> DataFrame:
     joined = enrich_broadcast(web_events(spark, sf), devices(spark, sf), "device_id")
     unknown = {c: F.coalesce(c, F.lit("unknown")) for c in ("os_type", "device_type", "browser_type")}
     return joined.withColumns(
-        {**unknown, "referrer": classify(F.col("referrer"), REFERRER_RULES), "event_date": F.to_date("event_time")}
+        {**unknown, "referrer": channel(F.col("referrer"), CHANNEL_DOMAINS), "event_date": F.to_date("event_time")}
     )
 
 

@@ -51,7 +51,7 @@ TABLES: dict[str, str] = {
     ),
     "actors": (
         "actorid string not null, actor string, current_year int not null, "
-        f"films array<{FILM}>, quality_class string, is_active boolean"
+        "films bigint, quality_class string, is_active boolean"
     ),
     "actors_history_scd": (
         "actorid string not null, actor string, quality_class string, is_active boolean, start_date int not null, "
@@ -109,7 +109,7 @@ TABLES: dict[str, str] = {
     "maps": "mapid string, name string",
     "medals_matches_players": "match_id string, player_gamertag string, medal_id string, count int",
     "events_aggregated_staging": (
-        "user_id bigint, device_id bigint, event_counts bigint, host_array array<string>, ds string"
+        "user_id bigint, device_id bigint, event_counts bigint, num_hosts bigint, ds string"
     ),
     "raw_events_stream": (
         "url string, referrer string, user_agent string, host string, ip string, headers string, event_time string"

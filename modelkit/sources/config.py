@@ -17,19 +17,19 @@ class StreamConfig:
     key: str = field(default="", repr=False)
     secret: str = field(default="", repr=False)
     jdbc_url: str = ""
-    jdbc_user: str = "postgres"
-    jdbc_password: str = field(default="postgres", repr=False)
+    jdbc_user: str = ""
+    jdbc_password: str = field(default="", repr=False)
     trigger: str = "10 seconds"
     watermark: str = "15 seconds"
 
     # Names of the environment variables.
-    REQUIRED = {"brokers": "KAFKA_URL", "topic": "KAFKA_TOPIC", "group": "KAFKA_GROUP"}
+    REQUIRED = {"brokers": "STREAM_BROKERS", "topic": "STREAM_TOPIC", "group": "STREAM_GROUP"}
     OPTIONAL = {
-        "key": "KAFKA_WEB_TRAFFIC_KEY",
-        "secret": "KAFKA_WEB_TRAFFIC_SECRET",
-        "jdbc_url": "POSTGRES_URL",
-        "jdbc_user": "POSTGRES_USER",
-        "jdbc_password": "POSTGRES_PASSWORD",
+        "key": "STREAM_KEY",
+        "secret": "STREAM_SECRET",
+        "jdbc_url": "SINK_JDBC_URL",
+        "jdbc_user": "SINK_JDBC_USER",
+        "jdbc_password": "SINK_JDBC_PASSWORD",
     }
 
     @classmethod

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from modelkit.functions.scalars import same
-from modelkit.functions.skew import estimated_bytes
+from modelkit.functions.skew import measured_bytes
 from modelkit.session import scratch_dir, settings
 
 
@@ -104,11 +104,11 @@ def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFram
     return updates.unionByName(base.join(fresh, match, "left_anti"))
 
 
-def bucket_count(*frames: DataFrame, target_bytes: int = 256 << 20, least: int = 16, most: int = 65_536) -> int:
-    """Power of two that brings the largest frame's buckets to about ``target_bytes`` by estimated size."""
-    wanted = max(estimated_bytes(df) for df in frames) // target_bytes
+def bucket_count(*frames: DataFrame, target_bytes: int = 256 << 20, least: int = 16) -> int:
+    """Power of two that brings the largest frame's buckets to about ``target_bytes`` by measured size."""
+    wanted = max(measured_bytes(df) for df in frames) // target_bytes
     count = least
-    while count < min(wanted, most):
+    while count < wanted:
         count *= 2
     return count
 

@@ -7,31 +7,20 @@ from pyspark.sql import functions as F
 from pyspark.testing import assertDataFrameEqual
 
 from modelkit.functions import bits
-from modelkit.functions.scalars import REFERRER_RULES, band, classify, iso_timestamp, minutes
+from modelkit.functions.scalars import CHANNEL_DOMAINS, REFERRER_RULES, band, channel, classify, iso_timestamp, minutes
 from modelkit.operators import arraymetrics, datelist, dedupe, experiments, geo, graph, growth, scd
 
 D = dt.date
 
 
 def test_scd_ranges(spark):
-    rows = [
-        ("Michael Jordan", 2001, "Good"),
-        ("Michael Jordan", 2002, "Good"),
-        ("Michael Jordan", 2003, "Bad"),
-        ("Someone Else", 2003, "Bad"),
+    levels = {"ada": ["low", "low", "low", "high", "low"], "bo": ["high"]}
+    rows = [(name, 1990 + k, level) for name, own in levels.items() for k, level in enumerate(own)]
+    df = spark.createDataFrame(rows, "who string, year bigint, level string")
+    out = scd.scd2_backfill(df, ["who"], ["level"], "year", start="first", end="last").select("who", "level", "first", "last")
+    assert sorted(map(tuple, out.collect())) == [
+        ("ada", "high", 1993, 1993), ("ada", "low", 1990, 1992), ("ada", "low", 1994, 1994), ("bo", "high", 1990, 1990)
     ]
-    df = spark.createDataFrame(rows, "player_name string, current_season bigint, scoring_class string")
-    out = scd.scd2_backfill(
-        df, ["player_name"], ["scoring_class"], "current_season", start="start_date", end="end_date"
-    )
-    want = [
-        ("Michael Jordan", "Good", 2001, 2002),
-        ("Michael Jordan", "Bad", 2003, 2003),
-        ("Someone Else", "Bad", 2003, 2003),
-    ]
-    assertDataFrameEqual(
-        out, spark.createDataFrame(want, "player_name string, scoring_class string, start_date bigint, end_date bigint")
-    )
 
 
 def test_scd_treats_null_as_a_value(spark):
@@ -42,40 +31,21 @@ def test_scd_treats_null_as_a_value(spark):
 
 
 def test_monthly_hits(spark):
-    rows = [
-        ("2023-03-01", [0, 1, 3], "2023-03-01"),
-        ("2023-03-01", [1, 2, 3], "2023-03-01"),
-        ("2023-04-01", [], "2023-03-01"),
-        ("2023-04-01", [], ""),
-    ]
+    """Arrays of any length add up by day; other partitions do not count."""
+    rows = [("m1", [7, 5], "p"), ("m1", [1], "p"), ("m1", [100, 100, 100], "q"), ("m2", [], "p"), ("m3", [0, 0, 0, 9], "p")]
     df = spark.createDataFrame(rows, "month_start string, hit_array array<bigint>, date_partition string")
-    want = [("2023-03-01", 1, 3, 6), ("2023-04-01", 0, 0, 0)]
-    names = "month_start string, num_hits_first_day bigint, num_hits_second_day bigint, num_hits_third_day bigint"
-    assertDataFrameEqual(arraymetrics.monthly_user_site_hits(df, "2023-03-01"), spark.createDataFrame(want, names))
+    out = arraymetrics.monthly_user_site_hits(df, "p").collect()
+    assert sorted(map(tuple, out)) == [("m1", 8, 5, 0), ("m2", 0, 0, 0), ("m3", 0, 0, 0)]
 
 
 def test_team_vertex_map(spark):
-    rows = [
-        (1, "GSW", "Warriors", "San Francisco", "Chase Center", 1900),
-        (1, "GSW", "Bad Warriors", "San Francisco", "Chase Center", 1900),
-    ]
+    rows = [(5, "XA", name, "Here", None, 1950 + k) for k, name in enumerate(["Alphas", "Zetas", "Mus"])]
     schema = "team_id bigint, abbreviation string, nickname string, city string, arena string, yearfounded bigint"
     teams = dedupe.dedupe(spark.createDataFrame(rows, schema), ["team_id"], [F.col("nickname").desc()])
-    props = {c: F.col(c) for c in ("abbreviation", "nickname", "city", "arena")}
-    out = graph.vertices(teams, "team_id", "team", {**props, "year_founded": F.col("yearfounded")}, "map").collect()
-    assert [tuple(r) for r in out] == [
-        (
-            1,
-            "team",
-            {
-                "abbreviation": "GSW",
-                "nickname": "Warriors",
-                "city": "San Francisco",
-                "arena": "Chase Center",
-                "year_founded": "1900",
-            },
-        )
-    ]
+    props = {c: F.col(c) for c in ("abbreviation", "nickname", "arena")}
+    (row,) = graph.vertices(teams, "team_id", "team", {**props, "since": F.col("yearfounded")}, "map").collect()
+    assert tuple(row)[:2] == (5, "team")
+    assert row[2] == {"abbreviation": "XA", "nickname": "Zetas", "arena": None, "since": "1951"}
 
 
 def test_dedupe_needs_an_order(spark):
@@ -83,34 +53,47 @@ def test_dedupe_needs_an_order(spark):
         dedupe.dedupe(spark.range(1), ["id"], [])
 
 
-def test_device_datelist(spark):
-    today = spark.createDataFrame(
-        [(1, "Chrome", D(2023, 1, 3)), (2, "Firefox", D(2023, 1, 3))], "user_id int, browser_type string, date_active date"
-    )
-    prev = spark.createDataFrame(
-        [(1, "Chrome", [D(2023, 1, 2)], D(2023, 1, 2))],
-        "user_id int, browser_type string, device_activity_datelist array<date>, date date",
-    )
-    keys, name = ["user_id", "browser_type"], "device_activity_datelist"
-    out = datelist.datelist_step(prev, today, keys, D(2023, 1, 3), order="asc", name=name)
-    want = {(1, "Chrome"): [D(2023, 1, 2), D(2023, 1, 3)], (2, "Firefox"): [D(2023, 1, 3)]}
-    assert {(r["user_id"], r["browser_type"]): r[name] for r in out.collect()} == want
-    again = datelist.datelist_step(out, today, keys, D(2023, 1, 3), order="asc", name=name)
-    assertDataFrameEqual(again, out)
-    newest_first = datelist.datelist_step(prev, today, keys, D(2023, 1, 3), name=name)
-    assert newest_first.where("user_id = 1").first()[name] == [D(2023, 1, 3), D(2023, 1, 2)]
-
-
-def test_host_datelist(spark):
-    today = spark.createDataFrame([("host1", D(2023, 1, 3)), ("host2", D(2023, 1, 3))], "host string, date_active date")
-    prev = spark.createDataFrame(
-        [("host1", [D(2023, 1, 2)], D(2023, 1, 2))], "host string, host_activity_datelist array<date>, date date"
-    )
-    out = datelist.datelist_step(prev, today, ["host"], D(2023, 1, 3), order="asc", name="host_activity_datelist")
-    assert {r["host"]: r["host_activity_datelist"] for r in out.collect()} == {
-        "host1": [D(2023, 1, 2), D(2023, 1, 3)],
-        "host2": [D(2023, 1, 3)],
-    }
+def test_datelist_steps(spark):
+    """One key and two keys: a new key, a returning one, one that stays away, and a day that is applied twice."""
+    day = D(2020, 2, 29)
+    for keys in (["host"], ["user_id", "browser"]):
+        known = [tuple(f"{k}{n}" for k in keys) for n in range(2)]
+        fresh = [tuple(f"{k}{n}" for k in keys) for n in (1, 2)]
+        text = ", ".join(f"{k} string" for k in keys)
+        prev = spark.createDataFrame([(*k, [D(2020, 2, 27)], D(2020, 2, 28)) for k in known], f"{text}, seen array<date>, date date")
+        today = spark.createDataFrame([(*k, day) for k in fresh], f"{text}, date_active date")
+        out = datelist.datelist_step(prev, today, keys, day, order="asc", name="seen")
+        got = {tuple(r[k] for k in keys): r["seen"] for r in out.collect()}
+        assert got == {known[0]: [D(2020, 2, 27)], known[1]: [D(2020, 2, 27), day], fresh[1]: [day]}
+        assertDataFrameEqual(datelist.datelist_step(out, today, keys, day, order="asc", name="seen"), out)
+        latest_first = datelist.datelist_step(prev, today, keys, day, name="seen")
+        assert max((r["seen"] for r in latest_first.collect()), key=len) == [day, D(2020, 2, 27)]
+
+
+def test_channels_go_by_host(spark):
+    urls = {
+        "https://t.co/x": "Twitter", "https://www.LinkedIn.com/in": "Linkedin", "https://news.google.co.uk/a": "Google",
+        "https://reddit.com/t.co": "https://reddit.com/t.co", "https://microsoft.com": "https://microsoft.com",
+        "https://notgoogle.com/": "https://notgoogle.com/", "google": "google", None: None,
+    }
+    df = spark.createDataFrame([(u,) for u in urls], "u string")
+    assert {r["u"]: r["c"] for r in df.select("u", channel(F.col("u"), CHANNEL_DOMAINS).alias("c")).collect()} == urls
+
+
+def test_addresses_have_four_octets(spark):
+    good = {"10.0.0.1": 167772161, "0.0.0.0": 0, "255.255.255.255": 4294967295}
+    bad = ["10.0.300.0", "10.1.0.0.9", "10.1.0", "1.2.3.x", "", " 1.2.3.4", "01.2.3.4", None]
+    df = spark.createDataFrame([(t,) for t in [*good, *bad]], "t string")
+    got = {r["t"]: r["n"] for r in df.select("t", geo.ip_number(F.col("t")).alias("n")).collect()}
+    assert got == {**good, **dict.fromkeys(bad)}
+
+
+@pytest.mark.parametrize("max_bytes", [0, 1 << 24])
+def test_one_range_over_all_addresses(spark, max_bytes):
+    ranges = spark.createDataFrame([(0, 4294967295, "all", "s", "c")], "start_ip long, end_ip long, country string, state string, city string")
+    df = spark.createDataFrame([("9.9.9.9",), ("x",)], "ip string")
+    out = geo.by_country(geo.geo_lookup(df, ranges, max_bytes=max_bytes)).collect()
+    assert sorted(map(str, map(tuple, out))) == ["('all', 1)", "(None, 1)"]
 
 
 def test_date_bits(spark):

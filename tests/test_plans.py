@@ -95,3 +95,13 @@ def test_daily_filter_is_pushed_down(spark):
 def test_backfills_read_their_source_once(spark):
     for name in ("user_datelist", "growth_accounting", "array_metric", "host_reduced"):
         assert plan(QUERIES[name](spark, FOLDER)).count("FileScan") == 1
+
+
+def test_graph_totals_do_not_pair_members(spark):
+    """Every join is with sums or lists of one row per key, not of a group with itself."""
+    text = plan(QUERIES["graph_tie_totals"](spark, FOLDER))
+    assert "Generate" not in text.split("SortMergeJoin")[0]
+
+
+def test_vertices_read_details_once(spark):
+    assert plan(QUERIES["graph_max_points"](spark, FOLDER)).count("FileScan") == 1

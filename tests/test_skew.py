@@ -3,7 +3,6 @@
 import datetime as dt
 import random
 from collections import Counter, defaultdict
-from itertools import combinations
 
 import pytest
 from pyspark.sql import functions as F
@@ -111,54 +110,60 @@ def test_salted_join(spark, how):
     out = skew.salted_join(left, lookup, ["k"], ["v"], how, hot_rows=HOT, max_bytes=0)
     plain = left.join(lookup, "k", how)
     assert sorted(map(str, out.select("k", "v", "x").collect())) == sorted(map(str, plain.select("k", "v", "x").collect()))
-    marked = skew.with_segment(left, ["k"], ["v"], HOT)
-    sizes = {(r["k"], r["segment"]): r["count"] for r in marked.groupBy("k", "segment").count().collect()}
-    assert sum(sizes.values()) == 300
-    assert max(sizes.values()) < 3 * HOT
-    assert {s for k, s in sizes if k == 0} > {0} and {s for k, s in sizes if k is None} > {0}
-    assert all(s == 0 for k, s in sizes if k)
-
-
-def test_list_segments(spark):
-    rows = [(1, i % 90) for i in range(200)] + [(2, 5), (2, 5), (2, 6)]
-    out = graph.list_segments(spark.createDataFrame(rows, "k int, item int"), ["k"], "item", "items", HOT)
-    got = defaultdict(list)
-    for r in out.collect():
-        assert r["items"] == sorted(r["items"])
-        got[r["k"]] += r["items"]
-        assert len(r["items"]) < 3 * HOT
-    assert sorted(got[1]) == list(range(90)) and got[2] == [5, 6]
-    assert out.where("k = 1").count() > 1
-
-
-def test_player_vertices_with_many_teams(spark):
-    rows = [(1, t % 60, "p1", 2) for t in range(120)] + [(2, 3, "p2", 7)]
-    df = spark.createDataFrame(rows, "player_id int, team_id int, player_name string, pts int")
-    out = graph.player_vertices(df, hot_rows=HOT)
-    first = graph.first_rows(out).select(
-        "identifier", graph.field("properties", "total_points").cast("int").alias("points")
-    )
-    assert {r["identifier"]: r["points"] for r in first.collect()} == {1: 240, 2: 7}
-    lists = out.select("identifier", F.explode(F.from_json(F.get_json_object("properties", "$.teams"), "array<int>")).alias("t"))
-    assert sorted(r["t"] for r in lists.where("identifier = 1").collect()) == list(range(60))
-
-
-@pytest.mark.parametrize("cell", [1_000, 4])
-def test_co_occurrence(spark, cell):
+
+
+def test_null_is_a_key_like_any_other(spark):
+    rows = [(None if i < 40 else i % 3, i % 8, i) for i in range(80)]
+    df = spark.createDataFrame(rows, "k int, day int, v int")
+    for hot_rows in (2, 1000, None):
+        out = skew.ordered_number(df, ["k"], ["day", "v"], block=F.col("day"), hot_rows=hot_rows)
+        want = {r: n for key in {r[0] for r in rows} for n, r in enumerate(sorted((r for r in rows if r[0] == key), key=lambda r: r[1:]), 1)}
+        assert {(r["k"], r["day"], r["v"]): r["row_number"] for r in out.collect()} == want
+        summed = skew.sliding_sum(out, ["k"], "row_number", "v", 5, "s", chunk=7)
+        ordered = sorted(want, key=lambda r: (str(r[0]), want[r]))
+        expected = {r: sum(q[2] for q in ordered if q[0] == r[0] and want[r] - 5 < want[q] <= want[r]) for r in ordered}
+        assert {(r["k"], r["day"], r["v"]): r["s"] for r in summed.collect()} == expected
+        runs = skew.islands(df, ["k"], ["day", "v"], block=F.col("day"), hot_rows=hot_rows)
+        assert sorted((str(r["k"]), r["n"]) for r in runs.collect()) == sorted((str(k), n) for k, n in Counter(r[0] for r in rows).items())
+
+
+def test_measured_size_is_of_the_rows_in_memory(spark, tmp_path):
+    spark.range(20_000).select(F.repeat(F.lit("x"), 500).alias("t")).write.parquet(str(tmp_path / "packed"))
+    packed = spark.read.parquet(str(tmp_path / "packed"))
+    assert skew.measured_bytes(packed) >= 20_000 * 500
+    assert skew.checked_broadcast(packed, 1 << 20) is packed
+
+
+def game_rows():
     rng = random.Random(4)
-    sizes = [25, 3, 2, 1, 6]
-    rows = [
-        (g, m, f"T{rng.randint(0, 1)}", rng.randint(0, 30), f"n{m % 20}")
-        for g, size in enumerate(sizes)
-        for m in rng.sample(range(30), size)
-    ]
-    df = spark.createDataFrame(rows, "game int, player int, team string, pts int, name string")
-    out = graph.co_occurrence(df, "game", "player", "team", "pts", differ="name", cell=cell, hot_rows=5)
+    return [(g, m, f"T{rng.randint(0, 1)}", rng.randint(0, 30)) for g, size in enumerate([25, 3, 2, 1, 6]) for m in rng.sample(range(30), size)]
+
+
+def test_tie_totals(spark):
+    rows = game_rows()
+    df = spark.createDataFrame(rows, "game int, player int, team string, pts int")
+    want = defaultdict(lambda: [0, 0, 0, 0])
+    for a in rows:
+        want[a[1]]
+        for b in rows:
+            if a[0] == b[0] and a[1] != b[1]:
+                at = 0 if a[2] == b[2] else 2
+                want[a[1]][at] += 1
+                want[a[1]][at + 1] += b[3]
+    got = {r["player"]: list(r)[1:] for r in graph.tie_totals(df, "game", "player", "team", "pts").collect()}
+    assert got == dict(want)
+
+
+def test_subject_pairs(spark):
+    rows = game_rows()
+    df = spark.createDataFrame(rows, "game int, player int, team string, pts int")
+    chosen = {3, 7, 11}
+    out = graph.subject_pairs(df, spark.createDataFrame([(k,) for k in chosen], "player int"), "game", "player", "team", "pts")
     got = {(r["subject"], r["object"], r["edge_type"]): (r["num_games"], r["subject_points"], r["object_points"]) for r in out.collect()}
     want = defaultdict(lambda: [0, 0, 0])
-    for game in range(len(sizes)):
-        for a, b in combinations(sorted((r for r in rows if r[0] == game), key=lambda r: -r[1]), 2):
-            if a[4] != b[4]:
+    for a in rows:
+        for b in rows:
+            if a[0] == b[0] and a[1] != b[1] and a[1] in chosen:
                 total = want[a[1], b[1], "shares_team" if a[2] == b[2] else "plays_against"]
                 total[0] += 1
                 total[1] += a[3]
@@ -188,13 +193,12 @@ def test_funnel(spark, include_last):
     assert got == {u: (visits[u], round(converted[u] / visits[u], 10)) for u in visits if converted[u]}
 
 
-def test_device_lists_stay_whole(spark):
+def test_devices_and_users_are_rows(spark):
     rows = [(u, 1, f"h{u % 3}") for u in range(70)] + [(3, 2, "h1")] * 4
     events = spark.createDataFrame(rows, "user_id int, device_id int, host string")
     devices = spark.createDataFrame([(1, "phone"), (2, "tablet")], "device_id int, device_type string")
     activity = facts.device_activity(events)
-    out = facts.device_users(activity, devices, HOT)
-    users = [u for r in out.where("device_id = 1").collect() for u in r["users"]]
-    assert sorted(users) == list(range(70))
-    per_user = facts.user_devices(activity).where("user_id = 3").first()
-    assert (per_user["total_hits"], per_user["devices"]) == (4, [1, 2])
+    users = facts.device_users(activity, devices).where("device_id = 1").collect()
+    assert sorted(r["user_id"] for r in users) == list(range(70)) and {r["device_type"] for r in users} == {"phone"}
+    own = facts.user_devices(activity).where("user_id = 3").collect()
+    assert sorted((r["device_id"], r["event_counts"], r["total_hits"]) for r in own) == [(1, 1, 4), (2, 4, 4)]

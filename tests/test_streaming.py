@@ -14,7 +14,7 @@ from modelkit.sources.config import StreamConfig
 from modelkit.streaming import enrich, run, windows
 
 START = dt.datetime(2024, 1, 1)
-ENV = {"KAFKA_URL": "b:1", "KAFKA_TOPIC": "t", "KAFKA_GROUP": "g", "KAFKA_WEB_TRAFFIC_KEY": "k", "KAFKA_WEB_TRAFFIC_SECRET": "s"}
+ENV = {"STREAM_BROKERS": "b:1", "STREAM_TOPIC": "t", "STREAM_GROUP": "g", "STREAM_KEY": "k", "STREAM_SECRET": "s"}
 
 
 def stamp(seconds):
@@ -144,11 +144,11 @@ def test_config():
     options = config.kafka_options()
     assert options["kafka.bootstrap.servers"] == "b:1" and 'password="s"' in options["kafka.sasl.jaas.config"]
     assert "secret" not in repr(config) and config.trigger == "10 seconds"
-    assert StreamConfig.from_env({k: v for k, v in ENV.items() if "TRAFFIC" not in k}).kafka_options() == {
+    assert StreamConfig.from_env({k: v for k, v in ENV.items() if k not in ("STREAM_KEY", "STREAM_SECRET")}).kafka_options() == {
         "kafka.bootstrap.servers": "b:1"
     }
-    with pytest.raises(KeyError, match="KAFKA_TOPIC"):
-        StreamConfig.from_env({"KAFKA_URL": "b", "KAFKA_GROUP": "g"})
+    with pytest.raises(KeyError, match="STREAM_TOPIC"):
+        StreamConfig.from_env({"STREAM_BROKERS": "b", "STREAM_GROUP": "g"})
 
 
 def test_kafka_messages_round_trip(spark):
@@ -170,4 +170,4 @@ def test_jdbc_writer_tags_batches(spark, monkeypatch):
     jdbc.jdbc_batch_writer("jdbc:x", "t", config.jdbc_options(), partitions=3)(spark.range(10), 7)
     ((columns, parts, args, kwargs),) = calls
     assert (columns, parts, args) == (["id", "batch_id"], 3, ("jdbc:x", "t"))
-    assert kwargs["properties"]["user"] == "postgres"
+    assert kwargs["properties"]["user"] == ""
