@@ -176,7 +176,10 @@ def training_table(docs: DataFrame, docs_at_most: int = TRAIN_DOCS) -> DataFrame
             yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string()), pa.array(labels, pa.list_(pa.int64()))], ["line", "labels"])
 
     likely = F.col("text").rlike(r"@[A-Za-z0-9-]+\.|[0-9]{4}|\+[0-9]|[0-9]+\.[0-9]+\.[0-9]")
-    chosen = docs.where(likely).select("text").orderBy(F.xxhash64("text"), "text").limit(docs_at_most)
+    # The hashes are chosen first, so that texts are not gathered to be put in order.
+    rows = docs.where(likely).select("text", F.xxhash64("text").alias("hash"))
+    least = rows.select("hash").distinct().orderBy("hash").limit(docs_at_most)
+    chosen = rows.join(F.broadcast(least), "hash").select("text").distinct()
     return chosen.mapInArrow(label, "line string, labels array<long>")
 
 
