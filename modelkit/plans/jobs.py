@@ -10,7 +10,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modelkit.operators import arraymetrics, datelist, dedupe, facts, graph, growth, scd
+from modelkit.operators import arraymetrics, cumulative, datelist, dedupe, facts, graph, growth, scd
 from modelkit.sources.tables import insert_overwrite, insert_period
 
 ONE_DAY = dt.timedelta(days=1)
@@ -75,3 +75,32 @@ def users_growth_accounting(
     rows = spark.table(events).withColumn("user_id", F.col("user_id").cast("string"))
     today = datelist.active_on(rows, ["user_id"], "event_time", ds)
     insert_period(growth.growth_step(_yesterday(spark, table, ds), today, ds), table)
+
+
+ACTORS = cumulative.Cumulative(
+    keys=("actorid",), attrs=("actor",), period="year", stats=(), measure="rating", bands=cumulative.FILM_BANDS,
+    history="films", label="quality_class", current="current_year",
+)
+
+
+def actors(spark: SparkSession, year: int, source: str = "actor_films", table: str = "actors") -> None:
+    """One year of the actor table from the year before. The films stay in their own table."""
+    totals = cumulative.detail_totals(spark.table(source).where(F.col("year") == year), ["actorid"], ["actor"], "year", "rating")
+    before = spark.table(table).where(F.col("current_year") == year - 1)
+    insert_period(cumulative.cumulate_detail_step(before, totals, ACTORS, year), table)
+
+
+def actors_history(spark: SparkSession, as_of: int, source: str = "actors", target: str = "actors_history_scd") -> None:
+    """Ranges of quality class and activity up to ``as_of``."""
+    ranges = scd.scd2_backfill(
+        spark.table(source).drop("films"), ["actorid", "actor"], ["quality_class", "is_active"], "current_year", as_of,
+        start="start_date", end="end_date", snapshot="current_year",
+    )
+    insert_overwrite(ranges, target)
+
+
+def player_graph(spark: SparkSession, source: str = "game_details", target: str = "vertices") -> None:
+    """Vertices of the players with their totals."""
+    rows = spark.table(source).withColumn("pts", F.col("pts").cast("long"))
+    out = graph.player_vertices(rows)
+    insert_overwrite(out.withColumn("identifier", F.col("identifier").cast("string")), target)

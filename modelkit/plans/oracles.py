@@ -736,3 +736,15 @@ ORACLES: dict[str, str] = {
         SELECT player, season FROM full_grid g
         WHERE NOT EXISTS (SELECT 1 FROM seasons s WHERE s.player = g.player AND s.season = g.season)""",
 }
+
+# Steps give the last period of their table.
+ORACLES |= {
+    "growth_step": f"SELECT * FROM ({ORACLES['growth_accounting']}) g WHERE date = (SELECT CAST(max(CAST(ts AS DATE)) AS VARCHAR) FROM events)",
+    "state_change_step": f"SELECT * FROM ({ORACLES['state_change']}) s WHERE current_season = (SELECT year(max(o_orderdate)) FROM orders)",
+    "device_datelist_step": ORACLES["device_datelist"],
+    "stream_parsed": ORACLES["stream_tumbling"],
+    "layout_compare": """
+        SELECT layout, CAST(year(l_shipdate) AS INTEGER) AS ship_year, count(*) AS num_rows,
+               CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity
+        FROM lineitem, (VALUES ('sorted'), ('unsorted')) v (layout) GROUP BY 1, 2""",
+}

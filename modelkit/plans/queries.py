@@ -313,6 +313,16 @@ def device_datelist(spark, sf):
     return as_text(out)
 
 
+@query
+def device_datelist_step(spark, sf):
+    """The last day added to the lists per user and browser of the day before."""
+    events, ds, keys = _user_browsers(spark, sf), last_day(spark, sf), ["user_id", "browser_type"]
+    name = "device_activity_datelist"
+    earlier = events.where(F.col("event_time") < F.lit(ds).cast("timestamp_ntz"))
+    before = datelist.datelist_backfill(earlier, keys, "event_time", ds - dt.timedelta(days=1), name=name, snapshot_only=True)
+    return as_text(datelist.datelist_step(before, datelist.active_on(events, keys, "event_time", ds), keys, ds, name=name))
+
+
 @query
 def device_datelist_map(spark, sf):
     out = datelist.datelist_backfill(
@@ -427,6 +437,16 @@ def growth_accounting(spark, sf):
     return as_text(growth.growth_backfill(src.web_events(spark, sf), "event_time", last=last_day(spark, sf)))
 
 
+@query
+def growth_step(spark, sf):
+    """The last day added to the growth table of the day before."""
+    events, ds = src.web_events(spark, sf), last_day(spark, sf)
+    earlier = events.where(F.col("event_time") < F.lit(ds).cast("timestamp_ntz"))
+    before = growth.growth_backfill(earlier, "event_time", last=ds - dt.timedelta(days=1))
+    today = datelist.active_on(events, ["user_id"], "event_time", ds)
+    return as_text(growth.growth_step(before.where(F.col("date") == F.lit(ds - dt.timedelta(days=1))), today, ds))
+
+
 @query
 def retention(spark, sf):
     return growth.retention(growth.growth_backfill(src.web_events(spark, sf), "event_time", last=last_day(spark, sf)))
@@ -437,6 +457,15 @@ def state_change(spark, sf):
     return growth.state_change_backfill(players(spark, sf), ["player", "college"], "current_season")
 
 
+@query
+def state_change_step(spark, sf):
+    """The last season's states from those of the season before."""
+    table, last, keys = players(spark, sf), last_season(spark, sf), ["player", "college"]
+    before = growth.state_change_backfill(table.where(F.col("current_season") < last), keys, "current_season")
+    now = table.where(F.col("current_season") == last)
+    return growth.state_change_step(before.where(F.col("current_season") == last - 1), now, keys, last, "current_season")
+
+
 @query
 def state_change_literal(spark, sf):
     return growth.state_change_backfill(players(spark, sf), ["player", "college"], "current_season", literal=True)
@@ -699,13 +728,17 @@ def file_stats(spark, sf):
 
 @query
 def layout_compare(spark, sf):
+    """Rows and quantity under each layout; bytes and seconds are left to the benchmarks."""
     lines = tables.read_table(spark, sf, "lineitem").withColumn("ship_year", F.year("l_shipdate"))
-    return tables.compare_layouts(
-        lines,
-        {
-            "unsorted": lambda d: tables.clustered(d, "ship_year"),
-            "sorted": lambda d: tables.sorted_layout(d, "ship_year", "l_shipdate", "l_suppkey"),
-        },
+    base = src.scratch(spark, "layouts")
+    layouts = {
+        "unsorted": lambda d: tables.clustered(d, "ship_year"),
+        "sorted": lambda d: tables.sorted_layout(d, "ship_year", "l_shipdate", "l_suppkey"),
+    }
+    tables.compare_layouts(lines, layouts, base)
+    written = [spark.read.schema(lines.schema).parquet(f"{base}/{name}").withColumn("layout", F.lit(name)) for name in layouts]
+    return written[0].unionByName(written[1]).groupBy("layout", "ship_year").agg(
+        F.count(F.lit(1)).alias("num_rows"), F.sum(F.col("l_quantity").cast("long")).alias("quantity")
     )
 
 
@@ -731,6 +764,22 @@ def stream_tumbling_2d(spark, sf):
     return _windowed(spark, sf, ["host", "referrer"])
 
 
+@query
+def stream_parsed(spark, sf):
+    """ISO event times as text in several files, read one file per micro-batch, parsed and counted per host.
+
+    The watermark is wider than the log, so no row is late whatever the order of the files.
+    """
+    base = src.scratch(spark, "stream")
+    text = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("event_time")
+    src.web_events(spark, sf).select("host", text).repartition(3).write.json(f"{base}/in")
+    raw = spark.readStream.schema("host string, event_time string").option("maxFilesPerTrigger", 1).json(f"{base}/in")
+    hits = streaming.tumbling_hits(streaming.parse_events(raw, watermark="4000 days"), ["host"])
+    with settings(spark, streaming.stream_conf()):
+        run.update_available(hits, f"{base}/out", f"{base}/checkpoint")
+    return as_text(run.latest_updates(spark, f"{base}/out", ["event_hour", "host"], ["num_hits"]))
+
+
 @query
 def stream_sessions(spark, sf):
     """Sessions that the watermark has closed; the open ones stay in the stream's state."""

@@ -14,7 +14,7 @@ from modelkit.plans import jobs
 DAYS = [dt.date(2024, 1, d) for d in (1, 2, 3)]
 TABLES = [
     "events", "devices", "users_cumulated", "user_devices_cumulated", "hosts_cumulated", "users_growth_accounting",
-    "players", "players_scd", "teams", "vertices",
+    "players", "players_scd", "teams", "vertices", "actor_films", "actors", "actors_history_scd",
 ]
 
 
@@ -102,3 +102,16 @@ def test_masks_equal_the_cross_join_form(spark):
     )
     folded = users.select("user_id", bits.datelist_int(F.col("days"), F.col("date")).alias("mask"))
     assertDataFrameEqual(folded, crossed)
+
+
+def test_yearly_actor_jobs(catalog):
+    films = [("Ann", "a", "f1", 2001, 5, 9.0, "1"), ("Ann", "a", "f2", 2001, 5, 8.0, "2"), ("Bo", "b", "f3", 2002, 5, 6.5, "3")]
+    catalog.createDataFrame(films, schemas.table_schema("actor_films")).write.insertInto("actor_films")
+    for year in (2001, 2002, 2002):
+        jobs.actors(catalog, year)
+    rows = {(r["actorid"], r["current_year"]): (r["films"], r["quality_class"], r["is_active"]) for r in catalog.table("actors").collect()}
+    assert rows == {("a", 2001): (2, "star", True), ("a", 2002): (2, "star", False), ("b", 2002): (1, "average", True)}
+    for _ in range(2):
+        jobs.actors_history(catalog, 2002)
+    ranges = sorted((r["actorid"], r["start_date"], r["end_date"], r["is_active"]) for r in catalog.table("actors_history_scd").collect())
+    assert ranges == [("a", 2001, 2001, True), ("a", 2002, 2002, False), ("b", 2002, 2002, True)]

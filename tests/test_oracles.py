@@ -7,6 +7,7 @@ from compare import connect, difference
 
 from modelkit.plans.oracles import ORACLES
 from modelkit.plans.queries import QUERIES
+from modelkit.sources import tables
 
 ROOT = os.environ.get("TESTDATA", "/root/testdata")
 # The smallest tables leave these reports empty.
@@ -22,7 +23,7 @@ def databases():
 
 def test_every_statement_belongs_to_a_query():
     assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {"file_stats", "layout_compare"}
+    assert set(QUERIES) - set(ORACLES) == {"file_stats"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -35,7 +36,16 @@ def test_file_statistics(spark):
     folder = f"{ROOT}/sf0.001"
     row = QUERIES["file_stats"](spark, folder).first()
     assert (row["size"], row["num_files"]) == (os.path.getsize(f"{folder}/lineitem.parquet"), 1)
-    layouts = {r["layout"]: r for r in QUERIES["layout_compare"](spark, folder).collect()}
+
+
+def test_layouts(spark, tmp_path):
+    lines = spark.read.parquet(f"{ROOT}/sf0.001/lineitem.parquet")
+    made = tables.compare_layouts(
+        lines,
+        {"unsorted": lambda d: tables.clustered(d, "l_returnflag"), "sorted": lambda d: tables.sorted_layout(d, "l_returnflag", "l_shipdate")},
+        str(tmp_path),
+    )
+    layouts = {r["layout"]: r for r in made.collect()}
     assert set(layouts) == {"sorted", "unsorted"}
     assert 0 < layouts["sorted"]["size"] < layouts["unsorted"]["size"]
 
