@@ -123,9 +123,13 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> D
     at_source = asked.join(texts, "doc_id")
     edges = _windows(at_source.select("doc_id", "text", "paths"), window)
     edges = stored(edges, "edges")
-    least = edges.groupBy("window_a", "window_b").agg(F.min("first").alias("least"))
+    # Windows of more than one source. They are stored, so that the join deals them out anew and a window that
+    # very many paths share can be split.
+    least = edges.groupBy("window_a", "window_b").agg(F.min("first").alias("least"), F.max("first").alias("most"))
+    least = stored(least.where("least < most").drop("most"), "least")
     ways = (
-        edges.join(least, ["window_a", "window_b"])
+        edges.join(least, ["window_a", "window_b"], "left")
+        .withColumn("least", F.coalesce("least", "first"))
         .groupBy(*path)
         .agg(F.array_sort(F.collect_set(F.struct("place", "least"))).alias("firsts"))
         .select(*path, F.col("firsts.least").alias("firsts"))
