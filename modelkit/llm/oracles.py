@@ -23,7 +23,31 @@ def _secret_rule(rank: int, kind: str, pattern: str, group: int, least: int) ->
                      regexp_split_to_array(t, '{pattern}') AS gs FROM d))) WHERE length(v) >= {least}"""
 
 
+_WORDS = r"'[^\x20\x09-\x0D]+'"
+
 ORACLES: dict[str, str] = {
+    "op1_substring_dedup": f"""
+WITH w AS (SELECT doc_id, coalesce(regexp_extract_all(text, {_WORDS}), []) AS ws FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(ws[i:i + 49], ' ') AS s FROM w, unnest(range(1, len(ws) - 48)) t (i)),
+firsts AS (SELECT s, min(doc_id) AS d FROM windows GROUP BY s),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM windows JOIN firsts USING (s) WHERE d < doc_id),
+kept AS (SELECT doc_id, string_agg(ws[p], ' ' ORDER BY p) AS text, count(*) AS n
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS p FROM w) ANTI JOIN gone USING (doc_id, p) GROUP BY 1)
+SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)""",
+    "op5_jaccard_join": f"""
+WITH RECURSIVE w AS (SELECT doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {_WORDS}), []) AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 3
+    THEN list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' '))
+    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS g FROM w),
+sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM met JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * k >= 90 * (x.n + y.n - k)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id, doc_id AS root FROM documents UNION SELECT r.doc_id, e.b FROM reach r JOIN ways e ON e.a = r.root)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(root) AS component_id
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY 1""",
     "op6_secret_scan": f"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS n, coalesce(text, '') AS t FROM documents),
 spans AS ({" UNION ALL ".join(_secret_rule(i, *rule) for i, rule in enumerate(_RULES))}),
