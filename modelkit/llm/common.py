@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modelkit.session import scratch_dir
+from modelkit.session import scratch_dir, settings
 
 WORD = r"[^\x20\x09-\x0D]+"
 # Text bytes handled at once by a task; a longer text is handled alone.
@@ -144,7 +144,9 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write a frame to the shared scratch folder and read it back: cuts lineage, survives lost executors."""
     path = scratch_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
+    # The shuffles behind a written table are of no more use, so their files go with the job.
+    with settings(df.sparkSession, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

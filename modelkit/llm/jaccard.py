@@ -5,12 +5,14 @@
    must have equal parts, and a key is the digest of a part. Sets without a common key cannot be linked.
 3. Grouping: under each key, sets are compared with the one set there that shares most with others. Links
    found put similar sets into groups, so that thousands of near copies become one group after a comparison each.
-4. Matrix: the union of the shingles of each group, as rows (group, shingle). A set that shares a key with
-   another group is held against that union: its overlap with any member is at most its overlap with the union.
-   Only groups whose bound reaches the threshold are opened, and their members with a common key are compared.
+4. Matrix: sets that share a key with other groups meet under that key, as rows of bits, one bit per cell of
+   shingles. A group's row is the union of its members' rows. Bits of a set that are not in the union of another
+   group are shingles that no member has; if they are too many, the group stays closed. In groups that qualify,
+   pairs are bounded in the same way by the bits they do not share, and those within the bound are compared.
 5. Classes that are linked, directly or through others, are one component.
 
-All comparisons are of whole sets. The threshold is a fraction, so no rounding decides.
+Bounds never leave out a link, and all comparisons are of whole sets. The threshold is a fraction, so no
+rounding decides. Keys of very many sets are cut into blocks that meet in cells of bounded size.
 """
 
 from __future__ import annotations
@@ -25,8 +27,8 @@ from pyspark.sql import functions as F
 
 from modelkit.llm.common import Words, chunks, components, mix, segment_hashes, signed, stored, window_hashes, words_of
 
-# A part of fewer shingles is a weak key, which many unlike sets may share.
-WEAK = 3
+# Bits of a set's row in the matrix, and sets that one cell compares with as many others.
+BITS, BLOCK = 4096, 1500
 
 
 @dataclass(frozen=True)
@@ -41,6 +43,11 @@ class Rule:
         """Most shingles that two linked sets of a and b can have in one of them only."""
         return (self.below - self.above) * (a + b) // (self.below + self.above)
 
+    @property
+    def weak(self) -> int:
+        """Parts of fewer shingles are weak keys, which many unlike sets may share; with small parts only empty ones are."""
+        return 3 if (self.below + self.above) >= 16 * (self.below - self.above) else 1
+
     def largest(self, n: int) -> int:
         """Size of the largest set that one of n can be linked with."""
         return n * self.below // self.above
@@ -82,7 +89,7 @@ def _keys(rule: Rule, size: np.ndarray, row: np.ndarray, value: np.ndarray) -> t
         use = (size > 0) & ((up == 0) | (size * rule.below // rule.above > tops[own]))
         top = tops[level]
         apart = (rule.below - rule.above) * 2 * top // (rule.below + rule.above)
-        spare = 3 + apart // 16
+        spare = 3 + apart // (16 if rule.weak > 1 else 10)
         parts = apart + 1 + spare
         mine = use[row]
         r, v = row[mine], value[mine]
@@ -95,7 +102,7 @@ def _keys(rule: Rule, size: np.ndarray, row: np.ndarray, value: np.ndarray) -> t
         held = np.diff(np.r_[begin, len(r)])
         total = np.add.reduceat(mix(v), begin)
         r, part = r[begin], part[begin]
-        strong = held >= WEAK
+        strong = held >= rule.weak
         # Parts without a shingle are weak ones too.
         weak = parts - np.bincount(r[strong], minlength=len(size))
         every = weak > spare
@@ -162,15 +169,107 @@ def verified(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long")
 
 
-def _shingles(texts: DataFrame, rule: Rule) -> DataFrame:
-    """(rep, shingle) of every text."""
+def _rows(texts: DataFrame, rule: Rule) -> DataFrame:
+    """(rep, size, bits): the matrix row of every text, one bit per cell of shingle hashes."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
             row, value = shingle_sets(words_of(batch.column("text"), lower=True), rule.size)
-            yield pa.RecordBatch.from_arrays([batch.column("rep").take(pa.array(row)), pa.array(signed(value))], ["rep", "shingle"])
+            marks = np.zeros((batch.num_rows, BITS), bool)
+            marks[row, (value & np.uint64(BITS - 1)).astype(np.int64)] = True
+            bits = [r.tobytes() for r in np.packbits(marks, axis=1)]
+            size = np.bincount(row, minlength=batch.num_rows).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(size), pa.array(bits, pa.binary())], ["rep", "size", "bits"])
+
+    return texts.select("rep", "text").mapInArrow(find, "rep long, size long, bits binary")
+
+
+def _cell_pairs(rule: Rule, rep: np.ndarray, group: np.ndarray, size: np.ndarray, bits: np.ndarray, half: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of one cell that may be linked and are in different groups. Rows of a cell are of one block, or of two (half 0 and 1)."""
+    count = lambda x: np.bitwise_count(x).sum(-1, dtype=np.int64)
+    total = rule.below + rule.above
+    starts = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]) | (half[1:] != half[:-1])])
+    ends = np.r_[starts[1:], len(group)]
+    unions = np.bitwise_or.reduceat(bits, starts, axis=0)
+    smallest = np.minimum.reduceat(size, starts)
+    left, right = [], []
+    two = half[0] != half[-1]
+    for q in range(len(rep)):
+        # Every pair once: a set asks the groups after it, or those of the other block.
+        ask = np.flatnonzero((group[starts] != group[q]) & ((half[starts] > half[q]) if two else (starts > q)))
+        if len(ask) == 0:
+            continue
+        # A member d shares at least above / (above + below) of |q| + |d| with q.
+        lacking = count(bits[q] & ~unions[ask])
+        allowed = size[q] - -(-rule.above * (size[q] + smallest[ask]) // total)
+        for g in ask[lacking <= allowed].tolist():
+            members = slice(starts[g], ends[g])
+            apart = count(bits[q] ^ bits[members])
+            near = np.flatnonzero(total * apart <= (rule.below - rule.above) * (size[q] + size[members])) + starts[g]
+            left.append(np.full(len(near), rep[q]))
+            right.append(rep[near])
+    none = np.zeros(0, np.int64)
+    return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
+
+
+def qualifying(open_: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs (a, b) of different groups that the matrix does not rule out, from (key, rep, group, size, bits)."""
+    counts = open_.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
+    placed = open_.join(counts, "key").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    # Block i meets block j in the cell (i, j) with i <= j; a key of one block has one cell.
+    cells = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "key",
+        F.least("own", "with").alias("i"),
+        F.greatest("own", "with").alias("j"),
+        (F.col("own") > F.col("with")).cast("int").alias("half"),
+        "group",
+        "rep",
+        "size",
+        "bits",
+    )
+    dealt = cells.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "half", "group", "rep")
 
-    return texts.select("rep", "text").mapInArrow(find, "rep long, shingle long")
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def done(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            column = {c: table.column(c).to_numpy() for c in ("key", "i", "j", "half", "group", "rep", "size")}
+            raw = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(-1, BITS // 64)
+            new = np.r_[True, (np.diff(column["key"]) != 0) | (np.diff(column["i"]) != 0) | (np.diff(column["j"]) != 0)]
+            cuts = np.r_[np.flatnonzero(new), len(new)]
+            found = []
+            for s, e in zip(cuts[:-1], cuts[1:], strict=True):
+                if e - s > 1:
+                    part = slice(s, e)
+                    found.append(_cell_pairs(rule, *(column[c][part] for c in ("rep", "group", "size")), raw[part], column["half"][part]))
+            if found:
+                a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+        def last_cell(batch: pa.RecordBatch) -> int:
+            """Where the last cell of a batch begins."""
+            same = np.ones(batch.num_rows, bool)
+            for c in ("key", "i", "j"):
+                values = batch.column(c).to_numpy()
+                same &= values == values[-1]
+            return int(np.flatnonzero(same)[0])
+
+        for whole in batches:
+            for at in range(0, whole.num_rows, 2000):
+                batch = whole.slice(at, 2000)
+                begin = last_cell(batch)
+                joined = bool(held) and all(held[-1].column(c)[-1] == batch.column(c)[0] for c in ("key", "i", "j"))
+                if held and not joined:
+                    yield from done(pa.Table.from_batches(held))
+                    held = []
+                if begin:
+                    yield from done(pa.Table.from_batches([*held, batch.slice(0, begin)]))
+                    held = []
+                held.append(batch.slice(begin))
+        if held:
+            yield from done(pa.Table.from_batches(held))
+
+    return dealt.mapInArrow(compare, "a long, b long").distinct()
 
 
 def join_groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
@@ -188,6 +287,7 @@ def join_groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     # Keys that more than one class has; a class is told by one half of its digest here, its copies fall together.
     keyed = sets.where("n_shingles > 0").select(F.explode("keys").alias("key"), "set_a")
     common = keyed.groupBy("key").agg(F.min("set_a").alias("low"), F.max("set_a").alias("high")).where("low < high").select("key")
+    common = stored(common, "common")
     members = keyed.join(common, "key", "left_semi").distinct().join(classes.where("rep is not null").select("set_a", "rep"), "set_a")
     members = stored(members.select("key", "rep"), "members")
 
@@ -204,7 +304,7 @@ def join_groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         .select("key", (-F.col("best.minus")).alias("a"))
     )
     first = members.withColumnRenamed("rep", "b").join(hubs, "key").where("a <> b")
-    first = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    first = stored(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "first")
     links = stored(verified(first, texts, rule), "links")
     grouped = components(links)
 
@@ -214,22 +314,8 @@ def join_groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     )
     mixed = placed.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("key")
     open_ = stored(placed.join(mixed, "key", "left_semi"), "open")
-    held = open_.select("key", F.col("group").alias("other")).distinct()
-    asks = stored(open_.join(held, "key").where(F.col("group") != F.col("other")).select("rep", "other").distinct(), "asks")
-    left = texts.join(open_.select("rep").distinct(), "rep", "left_semi")
-    shingles = stored(_shingles(left, rule), "shingles")
-    union = open_.select("rep", F.col("group").alias("other")).distinct().join(shingles, "rep").select("other", "shingle").distinct()
-    sizes = shingles.groupBy("rep").agg(F.count(F.lit(1)).alias("size"))
-    bound = asks.join(shingles, "rep").join(union, ["other", "shingle"]).groupBy("rep", "other").agg(F.count(F.lit(1)).alias("overlap"))
-    qualify = bound.join(sizes, "rep").where(F.col("overlap") * rule.below >= F.col("size") * rule.above).select(F.col("rep").alias("a"), "other")
-    opened = (
-        open_.select("key", F.col("rep").alias("a"))
-        .join(qualify, "a")
-        .join(open_.select("key", F.col("rep").alias("b"), F.col("group").alias("other")), ["key", "other"])
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
-    )
-    more = verified(opened, texts, rule)
+    pairs = stored(qualifying(open_.join(_rows(texts, rule), "rep"), rule), "pairs")
+    more = verified(pairs, texts, rule)
     # Groups stand for their links from here on.
     contracted = grouped.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)
     final = components(contracted).withColumnRenamed("node", "rep")

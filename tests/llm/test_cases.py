@@ -327,3 +327,19 @@ def test_revisits(spark):
     merged = next(r["headers"] for r in got if r["capture_id"] == 2)
     assert merged == {"etag": 'W/"1"', "last-modified": "mon", "content-type": "text/html", "date": "d1"}
     assert warc.resolve(captures.limit(0)).count() == 0
+
+
+def test_jaccard_blocks_meet_in_cells(spark, monkeypatch):
+    """Keys of many sets are cut into blocks; the result stays the same."""
+    monkeypatch.setattr(jaccard, "BLOCK", 3)
+    rng = random.Random(9)
+    base = prose(77, 60, 3000).split()
+    rows = []
+    for k in range(40):
+        t = list(base)
+        for _ in range(rng.randint(1, 4)):
+            t[rng.randrange(len(t))] = f"v{rng.randrange(3000)}"
+        rows.append((1000 - k, " ".join(t), "a"))
+    for rule in (jaccard.Rule(), jaccard.Rule(3, 8, 10)):
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join_groups(table(spark, rows), rule).collect()}
+        assert got == brute.near(unique(rows), rule.size, rule.above, rule.below)
