@@ -281,11 +281,12 @@ def join_groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     as a-z. Other columns are ignored; an empty table gives an empty result.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = stored(described(docs, rule), "sets")
+    # Keys are many times larger than the rest and are made anew where they are read, instead of being stored.
+    sets = stored(described(docs, rule).drop("keys"), "sets")
     equal = ["n_shingles", "set_a", "set_b"]
     classes = stored(sets.where("n_shingles > 0").groupBy(*equal).agg(F.min("doc_id").alias("rep")), "classes")
     # Keys that more than one class has; a class is told by one half of its digest here, its copies fall together.
-    keyed = sets.where("n_shingles > 0").select(F.explode("keys").alias("key"), "set_a")
+    keyed = described(docs, rule).select(F.explode("keys").alias("key"), "set_a")
     common = keyed.groupBy("key").agg(F.min("set_a").alias("low"), F.max("set_a").alias("high")).where("low < high").select("key")
     common = stored(common, "common")
     members = keyed.join(common, "key", "left_semi").distinct().join(classes.where("rep is not null").select("set_a", "rep"), "set_a")
@@ -320,6 +321,6 @@ def join_groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     contracted = grouped.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)
     final = components(contracted).withColumnRenamed("node", "rep")
     named = classes.join(final, "rep", "left").select(*equal, F.coalesce("root", "rep").alias("component"))
-    return sets.drop("keys").join(named, equal, "left").select(
+    return sets.join(named, equal, "left").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id")
     )
