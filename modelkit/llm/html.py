@@ -3,8 +3,9 @@
 Each page is read into blocks of text, every block with the hashes of the element subtrees around it.
 Spark counts, per host, on how many different pages a subtree occurs; blocks below a recurring subtree are
 deleted. Elements that are never main text (navigation, forms, scripts, reader comments and so on) are
-left out by tag and by class, role or id. Inside an ``article`` or ``main`` element only its side
-elements can be templates, since articles themselves may be copied.
+left out by tag and by class, role or id. Any block element can be a template; inside an ``article`` or ``main``
+element only containers can, and never the whole of it, since articles themselves may be copied. Text beside
+such an element is kept unless the counts delete it.
 """
 
 from __future__ import annotations
@@ -48,6 +49,8 @@ CLOSES = {
 }
 CONTAINERS = frozenset("div section ul ol table dl figure details center fieldset nav header footer aside form".split())
 ROOTS = ("article", "main")
+# Block elements that may be templates outside of articles.
+SUBTREES = BLOCKS - {"html", "body", *ROOTS}
 SIDE = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?|banner|cookies?|consent|gdpr|notice|alert|"
     r"popup|modal|overlay|comments?|commentlist|disqus|replies|respond|sidebar|side|widget|menu|menubar|nav|navbar|navigation|"
@@ -77,12 +80,11 @@ def _is_side(tag: str, attributes: str) -> bool:
 
 
 class Page:
-    """Blocks of one page: text, whether it is furniture, whether it is in the root, and the subtrees around it."""
+    """Blocks of one page: text, whether it is furniture, and the subtrees around it that may be templates."""
 
     def __init__(self, source: str):
-        self.blocks: list[tuple[str, bool, bool, tuple[int, ...]]] = []
-        self.subtrees: list[tuple[int, bool]] = []
-        # Open elements: name, furniture, in root, hash of what it holds (containers only), its number.
+        self.blocks: list[tuple[str, bool, tuple[int, ...]]] = []
+        # Open elements: name, furniture, in root, hash of what it holds (if it may be a template), its number.
         self.open: list[tuple[str, bool, bool, object, int]] = []
         self.words: list[str] = []
         self.number = 0
@@ -98,28 +100,28 @@ class Page:
             self.words = []
             if text:
                 side, root = (self.open[-1][1], self.open[-1][2]) if self.open else (False, False)
-                around = tuple(o[4] for o in self.open if o[3] is not None)
+                around = tuple(o[4] for o in self.open if o[3] is not None and o[2] == root)
                 for o in self.open:
                     if o[3] is not None:
                         o[3].update(f"{self.open[-1][0]}\n{text}\n")
-                self.blocks.append((text, side, root, around))
+                self.blocks.append((text, side, around))
 
     def _open(self, tag: str, attributes: str) -> None:
         side, root = (self.open[-1][1], self.open[-1][2]) if self.open else (False, False)
-        holds = None
-        if tag in CONTAINERS:
+        side, root, holds = side or _is_side(tag, attributes), root or tag in ROOTS, None
+        # Containers count wherever they are, other elements where they may hold text that is kept.
+        if tag in CONTAINERS or tag in SUBTREES and not root and not side:
             self.number += 1
             holds = xxhash.xxh64(tag)
-        self.open.append((tag, side or _is_side(tag, attributes), root or tag in ROOTS, holds, self.number))
+        self.open.append((tag, side, root, holds, self.number))
 
     def _close_last(self) -> None:
         if self.open[-1][0] in BLOCKS:
             self._flush()
-        tag, _, root, holds, number = self.open.pop()
+        _, _, _, holds, number = self.open.pop()
         if holds is not None:
             value = holds.intdigest()
             self.hashes[number] = value - (1 << 64) if value >= 1 << 63 else value
-            self.subtrees.append((number, root))
 
     def _close(self, tag: str) -> None:
         """Close the last open element of this name and all inside it; an end tag without a start is nothing."""
@@ -185,17 +187,10 @@ class Page:
 def page_blocks(source: str | None) -> tuple[list[tuple[str, list[int]]], list[int]]:
     """(text, hashes of the subtrees around it) of each block that may be main text, and the page's candidate subtrees.
 
-    If the page has an article or main element with text, only blocks in it count, and only subtrees in it
-    that are not the whole of it are held against its blocks.
+    Blocks inside an article or main element are held against subtrees inside it only.
     """
     page = Page(source or "")
-    blocks = [b for b in page.blocks if not b[1]]
-    rooted = any(b[2] for b in blocks)
-    inside = {number for number, root in page.subtrees if root}
-    kept = []
-    for text, _, root, around in blocks:
-        if root or not rooted:
-            kept.append((text, [page.hashes[n] for n in around if not rooted or n in inside]))
+    kept = [(text, [page.hashes[n] for n in around]) for text, side, around in page.blocks if not side]
     return kept, sorted(set(page.hashes.values()))
 
 

@@ -298,6 +298,15 @@ def test_templates_recur_on_one_host(spark):
     assert (40, "copied page") in got and (50, "") in got and (None, "y") in got
 
 
+def test_text_beside_an_article_stays(spark):
+    def page(k):
+        cards = f"<article><h2>card {k}</h2></article>"
+        return (k, f"http://one.example/p{k}", f"<body><p>the same line</p><div><p>main text of page {k}, long enough to stay</p></div>{cards}</body>")
+
+    got = html.extract(spark.createDataFrame([page(k) for k in range(12)], "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == {k: f"main text of page {k}, long enough to stay\ncard {k}" for k in range(12)}
+
+
 def test_revisits(spark):
     full = {"etag": '"1"', "last-modified": "mon", "content-type": "text/html", "date": "d0"}
     rows = [
