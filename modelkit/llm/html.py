@@ -1,8 +1,8 @@
 """Main text of web pages: site templates are element subtrees that recur on many pages of one host.
 
 Each page is read into blocks of text, every block with the hashes of the element subtrees around it.
-Spark counts, per host, on how many different pages a subtree occurs; blocks below a recurring subtree are
-deleted. Elements that are never main text (navigation, forms, scripts, reader comments and so on) are
+Spark counts, per host, in how many different contents a subtree occurs; blocks below a recurring subtree are
+deleted. Text that lies mostly in recurring subtrees is a copy: it makes no template and loses nothing. Elements that are never main text (navigation, forms, scripts, reader comments and so on) are
 left out by tag and by class, role or id. Any block element can be a template; inside an ``article`` or ``main``
 element only containers can, and never the whole of it, since articles themselves may be copied. Text beside
 such an element is kept unless the counts delete it.
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from modelkit.llm.common import chunks, stored
 
-# A subtree is a template if it is on at least this many different pages of its host.
+# A subtree is a template if it is among at least this many different contents of its host.
 RECURS = 10
 
 # Element names as HTML defines them.
@@ -80,10 +80,10 @@ def _is_side(tag: str, attributes: str) -> bool:
 
 
 class Page:
-    """Blocks of one page: text, whether it is furniture, and the subtrees around it that may be templates."""
+    """Blocks of one page: text, whether it is furniture, whether it is in a root, and the subtrees around it that may be templates."""
 
     def __init__(self, source: str):
-        self.blocks: list[tuple[str, bool, tuple[int, ...]]] = []
+        self.blocks: list[tuple[str, bool, bool, tuple[int, ...]]] = []
         # Open elements: name, furniture, in root, hash of what it holds (if it may be a template), its number.
         self.open: list[tuple[str, bool, bool, object, int]] = []
         self.words: list[str] = []
@@ -104,7 +104,7 @@ class Page:
                 for o in self.open:
                     if o[3] is not None:
                         o[3].update(f"{self.open[-1][0]}\n{text}\n")
-                self.blocks.append((text, side, around))
+                self.blocks.append((text, side, root, around))
 
     def _open(self, tag: str, attributes: str) -> None:
         side, root = (self.open[-1][1], self.open[-1][2]) if self.open else (False, False)
@@ -184,14 +184,55 @@ class Page:
                     self._open(name, tag[3])
 
 
-def page_blocks(source: str | None) -> tuple[list[tuple[str, list[int]]], list[int]]:
-    """(text, hashes of the subtrees around it) of each block that may be main text, and the page's candidate subtrees.
+def page_blocks(source: str | None) -> tuple[list[tuple[str, list[int]]], list[int], list[bool]]:
+    """(text, hashes of the subtrees around it) of each block that may be main text, the page's candidate subtrees,
+    and whether each of the blocks is inside an article or main element.
 
-    Blocks inside an article or main element are held against subtrees inside it only.
+    Blocks inside such an element are held against subtrees inside it only.
     """
     page = Page(source or "")
-    kept = [(text, [page.hashes[n] for n in around]) for text, side, around in page.blocks if not side]
-    return kept, sorted(set(page.hashes.values()))
+    blocks = [b for b in page.blocks if not b[1]]
+    kept = [(text, [page.hashes[n] for n in around]) for text, _, _, around in blocks]
+    return kept, sorted(set(page.hashes.values())), [b[2] for b in blocks]
+
+
+def copied(sizes: list[int], roots: list[bool], marked: list[bool]) -> tuple[bool, bool]:
+    """Whether the text in the roots, and that beside them, is a copy of other pages and not a page in a template.
+
+    It is if over half of the roots' text, or over two thirds of the page's, lies in ``marked`` blocks.
+    """
+    inside = sum(n for n, r in zip(sizes, roots, strict=True) if r)
+    marked_inside = sum(n for n, r, m in zip(sizes, roots, marked, strict=True) if r and m)
+    return 2 * marked_inside > inside, 3 * sum(n for n, m in zip(sizes, marked, strict=True) if m) > 2 * sum(sizes)
+
+
+def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per page and place (roots or beside them): the recurring subtrees, and a digest of the text outside of them. Copies give none."""
+    for batch in batches:
+        rows = []
+        for host, blocks, marks in zip(*(batch.column(c).to_pylist() for c in ("host", "blocks", "marks")), strict=True):
+            marks, around = set(marks), [set(b["around"]) for b in blocks]
+            marked, roots = [not a.isdisjoint(marks) for a in around], [b["root"] for b in blocks]
+            for root, copy in zip((True, False), copied([b["size"] for b in blocks], roots, marked), strict=True):
+                held = set().union(*(a for a, r in zip(around, roots, strict=True) if r == root))
+                other = set().union(*(a for a, r in zip(around, roots, strict=True) if r != root))
+                found = marks & held if root else marks - (other - held)
+                if found and not copy:
+                    text = ",".join(str(b["hash"]) for b, m in zip(blocks, marked, strict=True) if not m and (b["root"] or not root))
+                    rows.append({"host": host, "content": xxhash.xxh64(text).intdigest() >> 1, "subtrees": sorted(found)})
+        yield pa.RecordBatch.from_pylist(rows, pa.schema([("host", pa.string()), ("content", pa.int64()), ("subtrees", pa.list_(pa.int64()))]))
+
+
+def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The text of each page without its templates; copies stay whole."""
+    for batch in batches:
+        texts = []
+        for blocks, deleted in zip(batch.column("blocks").to_pylist(), batch.column("deleted").to_pylist(), strict=True):
+            gone = set(deleted or ())
+            marked, roots = [not gone.isdisjoint(b["around"]) for b in blocks], [b["root"] for b in blocks]
+            beside, inside = (not c for c in reversed(copied([len(b["text"]) for b in blocks], roots, marked)))
+            texts.append("\n".join(b["text"] for b, m in zip(blocks, marked, strict=True) if not (m and (inside if b["root"] else beside))))
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("page_id", "url")), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
 
 def host_of(url: Column) -> Column:
@@ -202,12 +243,13 @@ def extract(pages: DataFrame, recurs: int = RECURS) -> DataFrame:
     """(page_id, url, text) for every row of ``pages`` (page_id, url, html).
 
     Null or empty html gives an empty text. Pages without a host share the empty one. Rows are told apart by
-    their place in the input, so repeated rows and null ids are kept; page copies count once when subtrees
-    are counted, so a copied page is no template. Other columns are ignored; an empty table stays empty.
+    their place in the input, so repeated rows and null ids are kept. A subtree counts once for each different
+    text around it, without the subtrees that recur themselves; pages that are mostly such subtrees are copies and
+    do not count. Other columns are ignored; an empty table stays empty.
     """
     source = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), "html")
     id_type = pages.schema["page_id"].dataType.simpleString()
-    shape = pa.list_(pa.struct([("text", pa.string()), ("around", pa.list_(pa.int64()))]))
+    shape = pa.list_(pa.struct([("text", pa.string()), ("root", pa.bool_()), ("around", pa.list_(pa.int64()))]))
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         next_row = TaskContext.get().partitionId() << 40
@@ -215,33 +257,64 @@ def extract(pages: DataFrame, recurs: int = RECURS) -> DataFrame:
             read = [page_blocks(s) for s in batch.column("html").to_pylist()]
             number = pa.array(range(next_row, next_row + len(read)), pa.int64())
             next_row += len(read)
-            digests = [xxhash.xxh64("\n".join(t for t, _ in blocks)).intdigest() >> 1 for blocks, _ in read]
-            rows = [[{"text": t, "around": a} for t, a in blocks] for blocks, _ in read]
-            new = [pa.array(digests, pa.int64()), pa.array(rows, shape), pa.array([s for _, s in read], pa.list_(pa.int64()))]
+            digests = [xxhash.xxh64("\n".join(t for t, _ in blocks)).intdigest() >> 1 for blocks, _, _ in read]
+            rows = [[{"text": t, "root": r, "around": a} for (t, a), r in zip(blocks, roots, strict=True)] for blocks, _, roots in read]
+            around = [sorted({n for _, a in blocks for n in a}) for blocks, _, _ in read]
+            aside = [sorted(set(s).difference(a)) for (_, s, _), a in zip(read, around, strict=True)]
+            new = [pa.array(digests, pa.int64()), pa.array(rows, shape), *(pa.array(c, pa.list_(pa.int64())) for c in (around, aside))]
             old = [batch.column(c) for c in ("page_id", "url", "host")]
-            yield pa.RecordBatch.from_arrays([number, *old, *new], ["row", "page_id", "url", "host", "digest", "blocks", "subtrees"])
+            names = ["row", "page_id", "url", "host", "digest", "blocks", "around", "aside"]
+            yield pa.RecordBatch.from_arrays([number, *old, *new], names)
 
-    schema = f"row long, page_id {id_type}, url string, host string, digest long, blocks array<struct<text:string,around:array<long>>>, subtrees array<long>"
+    block = "struct<text:string,root:boolean,around:array<long>>"
+    schema = f"row long, page_id {id_type}, url string, host string, digest long, blocks array<{block}>, around array<long>, aside array<long>"
     parsed = stored(source.mapInArrow(parse, schema), "pages")
+    found = F.concat(
+        F.transform("around", lambda s: F.struct(s.alias("subtree"), F.lit(True).alias("kept"))),
+        F.transform("aside", lambda s: F.struct(s.alias("subtree"), F.lit(False).alias("kept"))),
+    )
+    # Subtrees around kept text that are on enough different pages; then those among enough different contents.
+    recurring = (
+        parsed.select("host", "digest", F.inline(found))
+        .groupBy("host", "subtree", "digest")
+        .agg(F.max("kept").alias("kept"))
+        .groupBy("host", "subtree")
+        .agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("kept"))
+        .where((F.col("n") >= recurs) & F.col("kept"))
+        .select("host", "subtree")
+    )
+    marks = (
+        parsed.select("row", "host", F.explode(F.concat("around", "aside")).alias("subtree"))
+        .join(recurring, ["host", "subtree"])
+        .groupBy("row")
+        .agg(F.collect_set("subtree").alias("marks"))
+    )
+    sizes = F.transform(
+        "blocks", lambda b: F.struct(F.length(b["text"]).alias("size"), F.xxhash64(b["text"]).alias("hash"), b["root"].alias("root"), b["around"].alias("around"))
+    )
     templates = (
-        parsed.select("host", "digest", F.explode("subtrees").alias("subtree"))
+        parsed.select("row", "host", sizes.alias("blocks"))
+        .join(marks, "row")
+        .select("host", "blocks", "marks")
+        .mapInArrow(_contents, "host string, content long, subtrees array<long>")
+        .select("host", "content", F.explode("subtrees").alias("subtree"))
         .distinct()
         .groupBy("host", "subtree")
         .agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") >= recurs)
         .select("host", "subtree")
     )
-    around = F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["around"])))
-    whole = parsed.where(F.size(around) == 0).select("page_id", "url", F.array_join("blocks.text", "\n").alias("text"))
-    doubtful = parsed.where(F.size(around) > 0)
+    whole = parsed.where(F.size("around") == 0).select("page_id", "url", F.array_join("blocks.text", "\n").alias("text"))
+    doubtful = parsed.where(F.size("around") > 0)
     deleted = (
-        doubtful.select("row", "host", F.explode(around).alias("subtree"))
+        doubtful.select("row", "host", F.explode("around").alias("subtree"))
         .join(templates, ["host", "subtree"])
         .groupBy("row")
         .agg(F.collect_set("subtree").alias("deleted"))
     )
-    left = F.filter("blocks", lambda b: ~F.arrays_overlap(b["around"], F.coalesce("deleted", F.array().cast("array<long>"))))
-    cleaned = doubtful.join(deleted, "row", "left").select(
-        "page_id", "url", F.array_join(F.transform(left, lambda b: b["text"]), "\n").alias("text")
+    cleaned = (
+        doubtful.join(deleted, "row", "left")
+        .select("page_id", "url", "blocks", "deleted")
+        .mapInArrow(_without, f"page_id {id_type}, url string, text string")
     )
     return whole.unionByName(cleaned)

@@ -307,6 +307,26 @@ def test_text_beside_an_article_stays(spark):
     assert {r["page_id"]: r["text"] for r in got} == {k: f"main text of page {k}, long enough to stay\ncard {k}" for k in range(12)}
 
 
+def test_near_copies_are_no_templates(spark):
+    parts = "".join(f"<section><p>part {i} of the copied story, which goes on for a while</p></section>" for i in range(4))
+    box = "<div>the same box</div>"
+
+    def page(k, source):
+        return (k, f"http://one.example/p{k}", source)
+
+    whole = [page(k, f"<div>Title {k}</div><div class=body>{parts}</div>") for k in range(15)]
+    rooted = [page(k, f"<p>Day {k}</p><article><h1>Title {k}</h1><div><p>a</p>{parts}</div></article>{box}") for k in range(20, 35)]
+    flat = [page(k, f"<p>Title {k}<p>first copied line of the text<p>second copied line of the text") for k in range(40, 55)]
+    own = [page(k, f"{box}<p>a text of its own in page {k}</p>") for k in range(60, 75)]
+    frame = spark.createDataFrame([*whole, *rooted, *flat, *own], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html.extract(frame).collect()}
+    story = "\n".join(f"part {i} of the copied story, which goes on for a while" for i in range(4))
+    assert all(got[k] == f"Title {k}\n{story}" for k in range(15))
+    assert all(got[k].startswith(f"Day {k}\nTitle {k}\na\n{story}") for k in range(20, 35))
+    assert all(got[k] == f"Title {k}\nfirst copied line of the text\nsecond copied line of the text" for k in range(40, 55))
+    assert all(got[k] == f"a text of its own in page {k}" for k in range(60, 75))
+
+
 def test_revisits(spark):
     full = {"etag": '"1"', "last-modified": "mon", "content-type": "text/html", "date": "d0"}
     rows = [
