@@ -61,7 +61,8 @@ SIDE = re.compile(
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar toolbar".split())
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+|[^>]*)>""", re.S)
-ATTR = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+# One attribute: a name, and its value with any quotes around it.
+ATTR = re.compile(r"""([^\s/>=][^\s/>=]*+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 RAW_END = {name: re.compile(rf"</{name}[\s/>]", re.I) for name in RAW}
 
 
@@ -71,8 +72,9 @@ def _is_side(tag: str, attributes: str) -> bool:
         return True
     if attributes and tag not in ("html", "body", *ROOTS):
         for name, value in ATTR.findall(attributes):
-            name, value = name.lower(), value.strip("\"'")
-            if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value.lower() in ROLES:
+            name = name.lower()
+            value = value[1:-1] if value[:1] in ("'", '"') and value[-1:] == value[:1] else value
+            if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "role" and value.lower() in ROLES:
                 return True
             if name in ("class", "id") and SIDE.search(value):
                 return True

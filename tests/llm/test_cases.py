@@ -287,6 +287,16 @@ def test_page_cases(spark):
         assert [t for t, _ in html.page_blocks(source)[0]] == want
 
 
+def test_attributes_are_told_by_whole_names():
+    plain = ['style="overflow:hidden"', 'data-hidden="false"', 'data-id="menu"', "title='a hidden id=menu'", "href=/x?id=menu", 'href="/hidden-gems"', "x-class=ad"]
+    for attributes in plain:
+        for tag in ("div", "a"):
+            source = f"<section><{tag} {attributes}><h2>kept</h2></{tag}></section>"
+            assert [t for t, _ in html.page_blocks(source)[0]] == ["kept"], source
+    for attributes in ("hidden", "HIDDEN=''", 'x="1"id="menu"', "class = 'big ad'", "id=menu", 'aria-hidden="TRUE"', "role=search", 'title="a>b" hidden'):
+        assert html.page_blocks(f"<div {attributes}>gone</div><p>kept")[0][0][0] == "kept", attributes
+
+
 def test_templates_recur_on_one_host(spark):
     def page(k, host, box):
         return (k, f"http://{host}/p{k}", f"<html><body><div><b>{box}</b></div><div><p>text {k}</p></div></body></html>")
