@@ -12,7 +12,8 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -34,7 +35,7 @@ NEVER = frozenset(
 )
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
-    "footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table "
+    "footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table "
     "tbody td tfoot th thead title tr ul".split()
 )
 # An opening tag ends an open element of these names, unless one of the second set is in between.
@@ -46,6 +47,8 @@ CLOSES = {
     "td": ({"td", "th"}, {"tr", "table"}),
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select", "datalist"}),
+    "a": ({"a"}, BLOCKS),
+    "button": ({"button"}, BLOCKS),
 }
 CONTAINERS = frozenset("div section ul ol table dl figure details center fieldset nav header footer aside form".split())
 ROOTS = ("article", "main")
@@ -81,14 +84,21 @@ def _is_side(tag: str, attributes: str) -> bool:
     return False
 
 
+def _spaced(words: Iterable[str]) -> str:
+    return " ".join(html.unescape("".join(words)).split())
+
+
 class Page:
-    """Blocks of one page: text, whether it is furniture, whether it is in a root, and the subtrees around it that may be templates."""
+    """Blocks of one page without furniture: text, whether it is in a root, and the subtrees around it that may be templates."""
 
     def __init__(self, source: str):
-        self.blocks: list[tuple[str, bool, bool, tuple[int, ...]]] = []
+        self.blocks: list[tuple[str, bool, tuple[int, ...]]] = []
         # Open elements: name, furniture, in root, hash of what it holds (if it may be a template), its number.
         self.open: list[tuple[str, bool, bool, object, int]] = []
-        self.words: list[str] = []
+        # Pieces of text of the block being read, and whether each is furniture.
+        self.words: list[tuple[str, bool]] = []
+        # How many elements of each name are open that are no blocks; all of them are furniture.
+        self.inline: Counter[str] = Counter()
         self.number = 0
         self.hashes: dict[int, int] = {}
         self._read(source)
@@ -96,17 +106,23 @@ class Page:
             self._close_last()
         self._flush()
 
+    def _read_words(self, text: str) -> None:
+        self.words.append((text, bool(self.open) and self.open[-1][1]))
+
     def _flush(self) -> None:
         if self.words:
-            text = " ".join(html.unescape("".join(self.words)).split())
-            self.words = []
+            words, self.words = self.words, []
+            text = _spaced(w for w, _ in words)
             if text:
-                side, root = (self.open[-1][1], self.open[-1][2]) if self.open else (False, False)
+                block = next((o for o in reversed(self.open) if o[0] in BLOCKS), None)
+                root = bool(block) and block[2]
                 around = tuple(o[4] for o in self.open if o[3] is not None and o[2] == root)
                 for o in self.open:
                     if o[3] is not None:
-                        o[3].update(f"{self.open[-1][0]}\n{text}\n")
-                self.blocks.append((text, side, root, around))
+                        o[3].update(f"{block[0]}\n{text}\n")
+                kept = text if not any(s for _, s in words) else _spaced(w for w, s in words if not s)
+                if kept:
+                    self.blocks.append((kept, root, around))
 
     def _open(self, tag: str, attributes: str) -> None:
         side, root = (self.open[-1][1], self.open[-1][2]) if self.open else (False, False)
@@ -116,11 +132,15 @@ class Page:
             self.number += 1
             holds = xxhash.xxh64(tag)
         self.open.append((tag, side, root, holds, self.number))
+        if tag not in BLOCKS:
+            self.inline[tag] += 1
 
     def _close_last(self) -> None:
         if self.open[-1][0] in BLOCKS:
             self._flush()
-        _, _, _, holds, number = self.open.pop()
+        tag, _, _, holds, number = self.open.pop()
+        if tag not in BLOCKS:
+            self.inline[tag] -= 1
         if holds is not None:
             value = holds.intdigest()
             self.hashes[number] = value - (1 << 64) if value >= 1 << 63 else value
@@ -140,13 +160,13 @@ class Page:
         while at < size:
             mark = source.find("<", at)
             if mark < 0:
-                self.words.append(source[at:])
+                self._read_words(source[at:])
                 break
             if mark > at:
-                self.words.append(source[at:mark])
+                self._read_words(source[at:mark])
             tag = TAG.match(source, mark)
             if tag is None:
-                self.words.append("<")
+                self._read_words("<")
                 at = mark + 1
                 continue
             at = tag.end()
@@ -155,7 +175,7 @@ class Page:
                 continue
             block = name in BLOCKS
             if name == "br":
-                self.words.append(" ")
+                self._read_words(" ")
             elif tag[1]:
                 if block:
                     self._flush()
@@ -167,7 +187,7 @@ class Page:
                         if self.open[i][0] == "p":
                             self._close("p")
                             break
-                        if self.open[i][0] in BLOCKS:
+                        if self.open[i][0] in BLOCKS or self.open[i][0] in NEVER:
                             break
                 if name in CLOSES:
                     ends, within = CLOSES[name]
@@ -182,7 +202,10 @@ class Page:
                     end = RAW_END[name].search(source, at)
                     at = source.find(">", end.end() - 1) + 1 if end else size
                     at = at or size
-                elif name not in VOID and (block or name in NEVER or _is_side(name, tag[3])):
+                elif name not in VOID and (block or self.inline[name] or _is_side(name, tag[3])):
+                    if name in NEVER and not block:
+                        # Buttons, players and the like stand between words.
+                        self.words.append((" ", False))
                     self._open(name, tag[3])
 
 
@@ -193,9 +216,8 @@ def page_blocks(source: str | None) -> tuple[list[tuple[str, list[int]]], list[i
     Blocks inside such an element are held against subtrees inside it only.
     """
     page = Page(source or "")
-    blocks = [b for b in page.blocks if not b[1]]
-    kept = [(text, [page.hashes[n] for n in around]) for text, _, _, around in blocks]
-    return kept, sorted(set(page.hashes.values())), [b[2] for b in blocks]
+    kept = [(text, [page.hashes[n] for n in around]) for text, _, around in page.blocks]
+    return kept, sorted(set(page.hashes.values())), [root for _, root, _ in page.blocks]
 
 
 def copied(sizes: list[int], roots: list[bool], marked: list[bool]) -> tuple[bool, bool]:

@@ -297,6 +297,24 @@ def test_attributes_are_told_by_whole_names():
         assert html.page_blocks(f"<div {attributes}>gone</div><p>kept")[0][0][0] == "kept", attributes
 
 
+def test_furniture_inside_a_block():
+    cases = {
+        "<p>Hello <span class=ad>Buy</span></p>": ["Hello"],
+        "<article><button>Subscribe</button></article>": [],
+        "<p>Hello <span class=ad><span>Buy</span> now</span> there</p>": ["Hello there"],
+        "<div>Intro <span class=ad><div>Buy</div></span> rest</div>": ["Intro", "rest"],
+        "<p>One<button>x</button>two <a class=share>Share</a>!</p>": ["One two !"],
+        "<p>Pick <select><option>a<option>b</select> now</p><p>Next": ["Pick now", "Next"],
+        "<p>Pick <input list=d><datalist id=d><option>a</option></datalist> now</p>": ["Pick now"],
+        "<p>See <video><p>No player</p></video> this</p>": ["See", "this"],
+        "<p>Hello <span class=ad>Buy<p>Next": ["Hello", "Next"],
+        "<p>Hello <a class=share>Share<a href=x>link</a> there": ["Hello link there"],
+        "<span class=ad>Buy</span>loose <canvas>c</canvas><object>o</object><audio>a</audio>text": ["loose text"],
+    }
+    for source, want in cases.items():
+        assert [t for t, _ in html.page_blocks(source)[0]] == want, source
+
+
 def test_templates_recur_on_one_host(spark):
     def page(k, host, box):
         return (k, f"http://{host}/p{k}", f"<html><body><div><b>{box}</b></div><div><p>text {k}</p></div></body></html>")
