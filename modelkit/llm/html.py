@@ -25,6 +25,8 @@ from modelkit.llm.common import chunks, stored
 
 # A subtree is a template if it is among at least this many different contents of its host.
 RECURS = 10
+# Fewer are enough on a small host: nine of ten of its different pages, three at least.
+SMALL, SHARE = 3, 0.9
 
 # Element names as HTML defines them.
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
@@ -297,6 +299,16 @@ def extract(pages: DataFrame, recurs: int = RECURS) -> DataFrame:
         F.transform("around", lambda s: F.struct(s.alias("subtree"), F.lit(True).alias("kept"))),
         F.transform("aside", lambda s: F.struct(s.alias("subtree"), F.lit(False).alias("kept"))),
     )
+    needed = (
+        parsed.where(F.size("blocks") > 0)
+        .select("host", "digest")
+        .distinct()
+        .groupBy("host")
+        .agg(F.count(F.lit(1)).alias("pages"))
+        .select("host", F.least(F.lit(recurs), F.greatest(F.lit(SMALL), F.ceil(F.col("pages") * F.lit(SHARE)))).alias("need"))
+        .where(F.col("need") < recurs)
+    )
+    enough = F.col("n") >= F.coalesce("need", F.lit(recurs))
     # Subtrees around kept text that are on enough different pages; then those among enough different contents.
     recurring = (
         parsed.select("host", "digest", F.inline(found))
@@ -304,7 +316,9 @@ def extract(pages: DataFrame, recurs: int = RECURS) -> DataFrame:
         .agg(F.max("kept").alias("kept"))
         .groupBy("host", "subtree")
         .agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("kept"))
-        .where((F.col("n") >= recurs) & F.col("kept"))
+        .where(F.col("kept") & (F.col("n") >= min(recurs, SMALL)))
+        .join(needed, "host", "left")
+        .where(enough)
         .select("host", "subtree")
     )
     marks = (
@@ -325,7 +339,8 @@ def extract(pages: DataFrame, recurs: int = RECURS) -> DataFrame:
         .distinct()
         .groupBy("host", "subtree")
         .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= recurs)
+        .join(needed, "host", "left")
+        .where(enough)
         .select("host", "subtree")
     )
     whole = parsed.where(F.size("around") == 0).select("page_id", "url", F.array_join("blocks.text", "\n").alias("text"))

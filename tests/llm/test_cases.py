@@ -326,6 +326,19 @@ def test_templates_recur_on_one_host(spark):
     assert (40, "copied page") in got and (50, "") in got and (None, "y") in got
 
 
+def test_small_hosts_have_templates(spark):
+    def page(k, host, box=True):
+        return (k, f"http://{host}/p{k}", f"<body><div>{'menu of all pages' if box else 'x'}</div><p>a text of its own in page {k}</p></body>")
+
+    rows = [page(k, "three.example") for k in range(3)] + [page(k, "two.example") for k in range(10, 12)]
+    rows += [page(k, "part.example", k < 25) for k in range(20, 29)] + [page(k, "nine.example") for k in range(30, 39)]
+    got = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k, text in got.items():
+        stays = "menu of all pages\n" if k in (10, 11) or 20 <= k < 25 else "x\n" if 25 <= k < 29 else ""
+        assert text == f"{stays}a text of its own in page {k}"
+    assert len(got) == len(rows)
+
+
 def test_text_beside_an_article_stays(spark):
     def page(k):
         cards = f"<article><h2>card {k}</h2></article>"
