@@ -184,8 +184,10 @@ def training_table(docs: DataFrame, docs_at_most: int = TRAIN_DOCS) -> DataFrame
 
 
 def train(table: DataFrame, lines_at_most: int = TRAIN_LINES) -> crf.Chain | None:
-    """Fit the field on at most ``lines_at_most`` labelled lines; None if the table has none."""
-    rows = sorted((r["line"], tuple(r["labels"])) for r in table.limit(lines_at_most).collect() if r["line"] and r["labels"])
+    """Fit the field on at most ``lines_at_most`` labelled lines, those with the smallest hash; None if the table has none."""
+    usable = table.select("line", "labels").where("line != '' and size(labels) > 0")
+    least = usable.orderBy(F.xxhash64("line", "labels"), "line", "labels").limit(lines_at_most)
+    rows = sorted((r["line"], tuple(r["labels"])) for r in least.collect())
     if not rows:
         return None
     w = words_of(pa.array([line for line, _ in rows], pa.string()))

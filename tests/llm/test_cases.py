@@ -164,6 +164,14 @@ def test_field_finds_held_out_spans(spark):
     assert right >= 0.98 * total
 
 
+def test_training_lines_do_not_depend_on_partitions(spark):
+    lines = [(f"call {i} or mail x{i}@y.example {prose(i, 3)}", [0, 3 * (i % 2), 0, 0, 1, 0, 0, 0]) for i in range(300)]
+    one = spark.createDataFrame(lines, "line string, labels array<long>").coalesce(1)
+    two = spark.createDataFrame(lines[::-1], "line string, labels array<long>").repartition(5)
+    a, b = pii.train(one, 40), pii.train(two, 40)
+    assert all(np.array_equal(getattr(a, part), getattr(b, part)) for part in ("emit", "move", "start"))
+
+
 def test_skipped_chains_are_decoded_the_same():
     rng = np.random.default_rng(1)
     model = crf.Chain(rng.normal(size=(7, 3)), rng.normal(size=(3, 3)), rng.normal(size=3))
