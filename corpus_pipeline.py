@@ -1,4 +1,4 @@
-"""The corpus pipeline: documents in, a mixed corpus out, one table per stage."""
+"""The corpus pipeline: documents in, clean texts and the counts of a mix out, one table per stage."""
 
 from __future__ import annotations
 
