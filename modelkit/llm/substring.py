@@ -1,12 +1,13 @@
-"""Substring dedup by compacting a De Bruijn graph of token k-mers.
+"""Substring dedup by minimizer-dealt paths of token k-mers.
 
-The graph's edges are all windows of ``window`` words. Edges are dealt out by their minimizer, the smallest
-hash among the shorter k-mers of a window, so equal windows meet wherever they stand. Windows that follow
-each other in a text and share the minimizer form a path. Spark joins keep the minimizers that occur in
-more than one document and compact paths: where all documents take the same way through a
-minimizer (a nonbranching path) one row with its digest and its first document stands for all windows
+The windows of ``window`` words are the edges of a De Bruijn graph, whose nodes are not built. Edges are dealt
+out by their minimizer, the smallest hash among the shorter k-mers of a window, so equal windows meet wherever
+they stand. Windows that follow each other in a text and share the minimizer form a path. A join keeps the
+minimizers that occur in more than one document, and paths are grouped by their digest: where all documents take
+the same way through a minimizer (one digest) one row with its digest and its first document stands for all windows
 of it. Where ways differ, one copy of every path is opened into its windows at its source coordinates,
-and the windows themselves are joined. Digests have 128 bits of the words at those coordinates. Last,
+and the windows themselves are joined. Digests have 128 bits of the words at those coordinates, from two
+independent hashes of each word. Last,
 each document's repeated windows are laid over its words.
 """
 
@@ -55,6 +56,11 @@ def paths_of(w: Words, hashes: np.ndarray, window: int, kmer: int) -> dict[str,
     return {"row": row[begin], "minimizer": least[begin], "start": start[begin], "windows": size}
 
 
+def digests_of(w: Words, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[pa.Array]:
+    """Both halves of the digests of runs of words; ``hashes`` are those of seed 0. Each half has word hashes of its own."""
+    return [pa.array(signed(segment_hashes(h, starts, ends, seed))) for seed, h in enumerate((hashes, w.hashes(1)))]
+
+
 def _paths(docs: DataFrame, window: int, kmer: int, digests: bool) -> DataFrame:
     """Paths of all documents; only (minimizer, doc_id) without ``digests``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -69,7 +75,7 @@ def _paths(docs: DataFrame, window: int, kmer: int, digests: bool) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(signed(p["minimizer"])), ids], ["minimizer", "doc_id"])
                 continue
             ends = p["start"] + p["windows"] + window - 1
-            both = [pa.array(signed(segment_hashes(hashes, p["start"], ends, seed))) for seed in (0, 1)]
+            both = digests_of(w, hashes, p["start"], ends)
             place = [pa.array((p["start"] - w.first[p["row"]]).astype(np.int32)), pa.array(p["windows"].astype(np.int32))]
             yield pa.RecordBatch.from_arrays([pa.array(signed(p["minimizer"])), *both, ids, *place], list(NAMES))
 
@@ -91,7 +97,7 @@ def _windows(paths: DataFrame, window: int) -> DataFrame:
             which = np.repeat(np.arange(len(size)), size)
             place = np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size)
             first = w.first[owner[which]] + start[which] + place
-            both = [pa.array(signed(segment_hashes(hashes, first, first + window, seed))) for seed in (0, 1)]
+            both = digests_of(w, hashes, first, first + window)
             index = pa.array(which)
             own = [flat.field(c).take(index) for c in ("minimizer", "digest_a", "digest_b")]
             ids = batch.column("doc_id").take(pa.array(owner[which]))

@@ -96,6 +96,13 @@ def test_substring_overlaps(spark, seed):
     assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["sha"]) for r in got} == brute.substrings(unique(rows))
 
 
+def test_digest_halves_hash_words_apart():
+    w = words_of(pa.array(["a b c x y z"]))
+    alike = np.zeros(6, np.uint64)  # as if all words had one hash of seed 0
+    first, second = substring.digests_of(w, alike, np.array([0, 3]), np.array([3, 6]))
+    assert first[0] == first[1] and second[0] != second[1]
+
+
 def test_quality_cases(spark, messy):
     got = quality.score(table(spark, messy), None).collect()
     for r in got:
