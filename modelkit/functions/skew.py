@@ -88,6 +88,9 @@ def salted_join(
     shard, so the lookup grows by at most total_rows / hot_rows rows. NULL keys join nothing. All other keys join as usual.
     """
     keys = list(keys)
+    lacking = [k for k in keys if counted is not None and k not in counted.columns]
+    if lacking:
+        raise ValueError(f"hot keys cannot be counted in a frame without {lacking}")
     if max_bytes and measured_bytes(lookup) <= max_bytes:
         return rows.join(F.broadcast(lookup), keys, how)
     hot = hot_keys(rows if counted is None else counted, keys, hot_rows)

@@ -74,7 +74,7 @@ def edges(
     )
 
 
-def tie_totals(members: DataFrame, group: str, member: str, same: str, points: str, counted: DataFrame | None = None) -> DataFrame:
+def tie_totals(members: DataFrame, group: str, member: str, same: str, points: str) -> DataFrame:
     """Per member: how often it met others of its side and of other sides, and the points they made then.
 
     The totals of all pairs without the pairs: in a group a member meets all others of its side and
@@ -86,7 +86,7 @@ def tie_totals(members: DataFrame, group: str, member: str, same: str, points: s
     sides = rows.groupBy(group, "__side").agg(F.count(F.lit(1)).alias("__n"), F.sum("__points").alias("__sum"))
     whole = sides.groupBy(group).agg(F.sum("__n").alias("__all_n"), F.sum("__sum").alias("__all_sum"))
     lookup = sides.join(whole, group)
-    met = salted_join(rows, lookup, [group, "__side"], [member], counted=counted)
+    met = salted_join(rows, lookup, [group, "__side"], [member])
     nil = F.lit(0).cast("long")
     return met.groupBy(member).agg(
         F.sum(F.col("__n") - 1).alias("teammates_met"),

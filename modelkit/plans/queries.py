@@ -263,9 +263,7 @@ def graph_plays_for(spark, sf):
 
 @query
 def graph_tie_totals(spark, sf):
-    return graph.tie_totals(
-        _players_in_games(spark, sf), "game_id", "player_id", "team_abbreviation", "pts", counted=src.details(spark, sf)
-    )
+    return graph.tie_totals(_players_in_games(spark, sf), "game_id", "player_id", "team_abbreviation", "pts")
 
 
 @query

@@ -5,6 +5,7 @@ import os
 import pytest
 from compare import connect, difference
 
+from modelkit.functions import skew
 from modelkit.plans.oracles import ORACLES
 from modelkit.plans.queries import QUERIES
 from modelkit.sources import tables
@@ -54,3 +55,26 @@ def test_entry(spark):
     from __spark_entry__ import entry
 
     assert entry(spark).limit(1).count() == 1
+
+
+# Queries that join a large table to a lookup of its keys.
+SALTED = (
+    "best_stretch device_users fact_dedupe fact_quality funnel_conversion graph_edges_pair graph_tie_totals graph_traverse "
+    "leaders longest_streak user_devices"
+).split()
+
+
+@pytest.mark.parametrize("name", SALTED)
+def test_query_without_broadcasts(spark, databases, monkeypatch, name):
+    """The way that large tables take: no lookup fits a broadcast and every key of three rows is hot."""
+    split = []
+
+    def hot_keys(rows, keys, hot_rows):
+        split.append(keys)
+        return counted(rows, keys, 2)
+
+    counted = skew.hot_keys
+    monkeypatch.setattr(skew, "hot_keys", hot_keys)
+    monkeypatch.setattr(skew, "measured_bytes", lambda df: 1 << 60)
+    assert difference(QUERIES[name](spark, f"{ROOT}/sf0.001"), databases["sf0.001"], ORACLES[name]) is None
+    assert split

@@ -202,3 +202,9 @@ def test_devices_and_users_are_rows(spark):
     assert sorted(r["user_id"] for r in users) == list(range(70)) and {r["device_type"] for r in users} == {"phone"}
     own = facts.user_devices(activity).where("user_id = 3").collect()
     assert sorted((r["device_id"], r["event_counts"], r["total_hits"]) for r in own) == [(1, 1, 4), (2, 4, 4)]
+
+
+def test_hot_keys_need_their_columns(spark):
+    df = spark.createDataFrame([(1, 2)], "a int, b int")
+    with pytest.raises(ValueError):
+        skew.salted_join(df, df, ["a"], ["b"], counted=df.select("b"))
