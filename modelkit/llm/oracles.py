@@ -92,3 +92,38 @@ SELECT capture_id, canonical, ts, status::BIGINT AS status,
     WHEN ask = 'v3' THEN 'etag=' || etag ELSE 'date=before' END AS headers,
   sha256(CASE outcome WHEN 'full' THEN body WHEN 'resolved' THEN fbody END) AS body_sha256 FROM j""",
 }
+
+# Alternatives of the pattern that cuts texts into units for the fill-in-the-middle query.
+_UNITS = r"'[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+'"
+_TERMS = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+
+
+def _terms(table: str, key: str) -> str:
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"SELECT {key}, unnest(regexp_extract_all({lower}, {_TERMS})) AS term FROM {table}"
+
+
+def _draw(i: int) -> str:
+    return f"CAST('0x' || substr(sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')), {8 * i + 1}, 8) AS UBIGINT) AS h{i + 1}"
+
+
+ORACLES["op11_ranked_search"] = f"""
+WITH d AS ({_terms("documents", "doc_id")}), tfs AS (SELECT doc_id, term, count(*) AS tf FROM d GROUP BY ALL),
+sizes AS (SELECT doc_id, sum(tf) AS n FROM tfs GROUP BY 1), total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM sizes),
+ms AS (SELECT doc_id, 75 + (25 * n::BIGINT * docs) // terms AS m FROM sizes, total),
+weights AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tfs, total GROUP BY 1),
+q AS (SELECT item_id, term, count(*) AS times FROM ({_terms("benchmark", "item_id")}) GROUP BY ALL),
+scored AS (SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM q JOIN weights USING (term) JOIN tfs USING (term) JOIN ms USING (doc_id) GROUP BY 1, 2),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS r, doc_id, score FROM scored WHERE score > 0)
+SELECT item_id, r::INTEGER AS rank, doc_id, score FROM ranked WHERE r <= 20"""
+
+ORACLES["op12_fill_in_middle"] = f"""
+WITH u AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), {_UNITS}) AS us, {", ".join(map(_draw, range(4)))} FROM documents),
+cuts AS (SELECT *, len(us) AS n, least(h1 % (len(us) + 1), h2 % (len(us) + 1)) AS a, greatest(h1 % (len(us) + 1), h2 % (len(us) + 1)) AS b,
+  CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR h3 % 100 >= 50 THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u),
+parts AS (SELECT *, array_to_string(us[1:a], '') AS p, array_to_string(us[a + 1:b], '') AS m, array_to_string(us[b + 1:], '') AS s FROM cuts)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts"""

@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modelkit.llm import decontaminate, html, jaccard, mixing, pii, quality, secrets, substring, tokens, warc
+from modelkit.llm import bpe, decontaminate, fim, html, jaccard, lexical, mixing, pii, quality, secrets, substring, tokens, warc
 from modelkit.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 1024
+RANKS = "byte_bpe_50k.tiktoken"
 
 
 def query(fn: Query) -> Query:
@@ -90,3 +91,38 @@ def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(headers, ";").alias("headers"),
         F.sha2("body", 256).alias("body_sha256"),
     )
+
+
+@query
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.top_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.transform(read(spark, sf_dir, "documents"))
+    whole = fim.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(whole, 256).alias("restored_sha256"),
+    )
+
+
+@query
+def op13_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = bpe.read_ranks(public_tokenizers.path(RANKS))
+    encoded = bpe.encode(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    decoded = bpe.decode(encoded, ranks)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -115,3 +116,42 @@ def tiling(doc, item, least=5):
         covered += n
         used_b |= set(range(i, i + n))
         used_a |= set(range(d, d + n))
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def ranked(docs, items, k=20):
+    """{item: [(rank, doc_id, score)]}; docs are (doc_id, text) rows, each a document of its own."""
+    counts = [(i, Counter(TERM.findall((t or "").translate(LOWER)))) for i, t in docs]
+    sizes = [sum(c.values()) for _, c in counts]
+    n_docs, total = sum(s > 0 for s in sizes), sum(sizes)
+    df = Counter(term for _, c in counts for term in c)
+    found = {}
+    for item, text in items:
+        scores = []
+        asked = Counter(TERM.findall((text or "").translate(LOWER)))
+        for (i, c), n in zip(counts, sizes, strict=True):
+            m = 75 + (25 * n * n_docs) // max(total, 1)
+            score = 0
+            for term, times in asked.items():
+                if c[term]:
+                    weight = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[term] + 1)))
+                    score += times * weight * ((10**9 * c[term]) // (1000 * c[term] + 12 * m))
+            if score > 0:
+                scores.append((-score, i is None, i or 0))
+        found[item] = [(r + 1, None if none else i, -s) for r, (s, none, i) in enumerate(sorted(scores)[:k])]
+    return found
+
+
+def middle(i, text):
+    text = text or ""
+    units = re.findall(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+", text)
+    digest = sha(f"42:{'' if i is None else i}")
+    h = [int(digest[8 * k : 8 * k + 8], 16) for k in range(4)]
+    a, b = sorted(x % (len(units) + 1) for x in h[:2])
+    p, m, s = ("".join(u) for u in (units[:a], units[a:b], units[b:]))
+    if not text or re.search("<[PSM]>", text) or h[2] % 100 >= 50:
+        return i, len(units), "plain", None, None, sha(text), sha(text)
+    form, out = ("spm", f"<S>{s}<P>{p}<M>{m}") if h[3] % 100 < 80 else ("psm", f"<P>{p}<S>{s}<M>{m}")
+    return i, len(units), form, len(p), len(m), sha(out), sha(text)

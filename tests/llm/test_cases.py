@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from modelkit.llm import boost, crf, decontaminate, html, jaccard, mixing, pii, quality, secrets, substring, tokens, warc
+from modelkit.llm import boost, bpe, crf, decontaminate, fim, html, jaccard, lexical, mixing, pii, quality, secrets, substring, tokens, warc
 from modelkit.llm.common import components, words_of
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept string, findings string, n long, row long, key string, spans string, seed string, rep string"
@@ -59,6 +59,8 @@ OPERATORS = {
     "jaccard": lambda d: jaccard.join_groups(d),
     "secrets": lambda d: secrets.digest(secrets.scan(d)),
     "tokens": lambda d: tokens.count_tokens(d, _tokenizer()),
+    "middle": lambda d: fim.transform(d),
+    "bpe": lambda d: bpe.decode(bpe.encode(d, *_ranks()), _ranks()[0]),
     "pages": lambda d: html.extract(d.select(F.col("doc_id").alias("page_id"), F.col("source").alias("url"), F.col("text").alias("html"), "row", "key")),
 }
 
@@ -69,6 +71,12 @@ def _tokenizer():
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _ranks():
+    import public_tokenizers
+
+    return bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN
+
+
 @pytest.mark.parametrize("name", sorted(OPERATORS))
 def test_empty_table(spark, name):
     assert OPERATORS[name](table(spark, [])).count() == 0
@@ -428,3 +436,108 @@ def test_jaccard_blocks_meet_in_cells(spark, monkeypatch):
     for rule in (jaccard.Rule(), jaccard.Rule(3, 8, 10)):
         got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join_groups(table(spark, rows), rule).collect()}
         assert got == brute.near(unique(rows), rule.size, rule.above, rule.below)
+
+
+ODD_TEXTS = [
+    "a\x1cb  \x1d c", "x\u2003 y\u00a0 z\u3000\u3000q", " 's don't 'LL", "<|endoftext|>hi", "a   b \n c\n d ", "\u0085k \x00", "ab1\uff12\u00b2\u216b",
+    "\U0001f600\U0001f600 \u00e9\u00e9\u00e9 \u4e2d\u6587", "a" * 5000, " " * 700, "<P> in it", "<<S", "\u00e9 " * 300, "\n", "x\t", "  lead and tail  ",
+]
+
+
+def test_fill_in_middle_cases(spark, messy):
+    rows = [*messy, *((400 + 20 * j + i, t, "a") for j in range(6) for i, t in enumerate(ODD_TEXTS))]
+    made = fim.transform(table(spark, rows).repartition(3)).withColumn("back", fim.restored(F.col("output"), F.col("form")))
+    got = [(r["doc_id"], r["n"], r["form"], r["prefix_chars"], r["middle_chars"], brute.sha(r["output"]), brute.sha(r["back"])) for r in made.collect()]
+    assert sorted(map(str, got)) == sorted(str(brute.middle(i, t)) for i, t, _ in rows)
+    assert {g[2] for g in got} == {"plain", "spm", "psm"}
+
+
+def test_exceptions_convert_both_ways():
+    for text in [*ODD_TEXTS, "", "plain ascii", "\u00e9a\u4e2d\U0001f600b" * 50]:
+        data = text.encode()
+        index = fim.Exceptions.of(np.frombuffer(data, np.uint8))
+        chars = np.arange(len(text) + 1)
+        places = np.array([len(text[:c].encode()) for c in chars])
+        assert index.to_bytes(chars).tolist() == places.tolist() and index.to_chars(places).tolist() == chars.tolist()
+        assert len(index.byte_at) == sum(ord(c) > 127 for c in text)
+
+
+def test_bpe_cases(spark, messy):
+    import tiktoken
+
+    tokens_, pattern = _ranks()
+    model = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks={t: r for r, t in enumerate(tokens_)}, special_tokens={})
+    rows = [*messy, *((300 + i, t, "a") for i, t in enumerate(ODD_TEXTS))]
+    for common in (1, 200_000):
+        got = bpe.decode(bpe.encode(table(spark, rows), tokens_, pattern, common=common), tokens_).collect()
+        want = [(i, model.encode_ordinary(t or ""), (t or "").encode()) for i, t, _ in rows]
+        assert sorted(str((r["doc_id"], list(r["ids"]), bytes(r["decoded"]))) for r in got) == sorted(map(str, want))
+    other = r"\p{L}+|[^\s\p{L}]|\s"
+    model = tiktoken.Encoding("other", pat_str=other, mergeable_ranks={t: r for r, t in enumerate(tokens_)}, special_tokens={})
+    got = {r["doc_id"]: list(r["ids"]) for r in bpe.encode(table(spark, rows[-16:]), tokens_, other).collect()}
+    assert got == {i: model.encode_ordinary(t) for i, t, _ in rows[-16:]}
+
+
+def _merged_alone(word, rank):
+    """The rule itself: always the lowest rank, the leftmost of equal ones."""
+    parts = [bytes([b]) for b in word]
+    while True:
+        found = [(rank[x + y], i) for i, (x, y) in enumerate(zip(parts, parts[1:], strict=False)) if x + y in rank]
+        if not found:
+            return [rank[p] for p in parts]
+        i = min(found)[1]
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_replay_follows_any_ranks(seed):
+    """Ranks in any order, so that merges give pairs of lower rank than their own."""
+    rng = random.Random(seed)
+    longer = list({bytes(rng.choice(b"abc") for _ in range(rng.randint(2, 5))) for _ in range(60)})
+    vocabulary = [bytes([b]) for b in range(256)] + longer
+    rng.shuffle(vocabulary)
+    words = [bytes(rng.choice(b"abc") for _ in range(rng.randint(0, 12))) for _ in range(400)] + [b"a" * 200, b""]
+    merges = bpe.Merges(vocabulary)
+    ids, sizes = merges.replay(words)
+    ends = np.cumsum(sizes).tolist()
+    got = [ids[e - s : e].tolist() for e, s in zip(ends, sizes.tolist(), strict=True)]
+    assert got == [_merged_alone(w, merges.rank) for w in words]
+
+
+def test_search_cases(spark, messy):
+    items = [(1, "w1 w2 w2 same"), (2, None), (3, ""), (4, "W3, \u00e9! nothere"), (4, "W3, \u00e9! nothere"), (None, "w5 word"), (5, prose(2, 40))]
+    bench = spark.createDataFrame([(i, t, "x", 1) for i, t in items], "item_id long, text string, doc_id string, rank int")
+    rows = [*messy, *((500 + i, prose(900 + i % 40, 60, 50), "a") for i in range(300))]
+    want = brute.ranked([(i, t) for i, t, _ in rows], items, 7)
+    for query_bytes in (1 << 20, 20):
+        got = {}
+        for r in lexical.top_documents(table(spark, rows).repartition(3), bench, 7, query_bytes=query_bytes).collect():
+            got.setdefault(r["item_id"], []).append((r["rank"], r["doc_id"], r["score"]))
+        assert {i: sorted(f) for i, f in got.items()} == {i: f for i, f in want.items() if f}
+    assert lexical.top_documents(table(spark, []), bench).count() == 0
+    assert lexical.top_documents(table(spark, rows), bench.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_block_maxima_reject_blocks(seed):
+    """Exact for any threshold, and most blocks of a frequent list stay packed."""
+    rng = np.random.default_rng(seed)
+    n = 40_000
+    lens = rng.integers(5, 400, n)
+    lists = [np.flatnonzero(rng.random(n) < p) for p in (0.9, 0.5, 0.02, 0.005, 0.6)]
+    term = np.concatenate([np.full(len(d), t) for t, d in enumerate(lists)])
+    doc = np.concatenate(lists)
+    tf = rng.integers(1, 6, len(doc)) * np.where(rng.random(len(doc)) < 0.001, 100, 1)
+    row = {"ids": list(range(n)), "lens": lens, **lexical._packed(term, doc, tf, lens)}
+    total = int(lens.sum())
+    factors = np.array([30, 400, 6000, 9000, 200])
+    exact = np.zeros(n, np.int64)
+    m = lexical.lengths_scaled(lens, n, total)
+    np.add.at(exact, doc, factors[term] * lexical.impact(tf, m[doc]))
+    for least in (0, int(np.sort(exact)[-20]), int(np.sort(exact)[-1]), int(exact.max()) + 1):
+        shard = lexical.Shard(row, n, total)
+        found, score = shard.candidates(np.arange(5), factors, least)
+        want = np.flatnonzero((exact >= least) & (exact > 0))
+        assert found.tolist() == want.tolist() and score.tolist() == exact[want].tolist()
+        if least:
+            assert shard.opened < 0.6 * shard.blocks[-1]

@@ -112,3 +112,31 @@ def test_page_text(spark):
     got = rows(spark, "op9_html_extraction")
     assert {r["page_id"]: r["text"] for r in got} == want
     assert all(r["n_chars"] == len(r["text"]) for r in got)
+
+
+def test_ranked_search(spark, docs):
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    got = {}
+    for r in rows(spark, "op11_ranked_search"):
+        got.setdefault(r["item_id"], []).append((r["rank"], r["doc_id"], r["score"]))
+    assert {i: sorted(found) for i, found in got.items()} == {i: f for i, f in brute.ranked(docs, items).items() if f}
+
+
+def test_fill_in_middle(spark, docs):
+    assert {tuple(r) for r in rows(spark, "op12_fill_in_middle")} == {brute.middle(i, t) for i, t in docs}
+
+
+def test_bpe_round_trip(spark, docs):
+    import hashlib
+
+    import public_tokenizers
+    import tiktoken
+    from modelkit.llm import bpe
+
+    ranks = {t: r for r, t in enumerate(bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")))}
+    model = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = set()
+    for i, t in docs:
+        ids = model.encode_ordinary(t or "")
+        want.add((i, len(ids), brute.sha(" ".join(map(str, ids))), hashlib.sha256((t or "").encode()).hexdigest()))
+    assert {tuple(r) for r in rows(spark, "op13_bpe_round_trip")} == want
