@@ -11,8 +11,7 @@ from __future__ import annotations
 
 import base64
 import heapq
-from bisect import bisect_right
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,9 +24,11 @@ from modelkit.llm.common import chunks, stored
 from modelkit.llm.tokens import PATTERN, SPACES, cutter
 
 # Pre-tokens that a task replays together or remembers, and the most that are handed to all tasks.
-HELD, COMMON = 200_000, 200_000
-# Token pairs whose rank a task remembers.
-PAIRS = 500_000
+HELD, COMMON = 400_000, 200_000
+# Bytes of texts whose words are replayed together.
+REPLAY_BYTES = 8 << 20
+# Places of a merge up to which they are handled one by one instead of as arrays.
+FEW = 60
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -40,106 +41,169 @@ def read_ranks(path: str) -> list[bytes]:
     return tokens
 
 
+def _distinct(places: np.ndarray) -> np.ndarray:
+    """Distinct places in order."""
+    places = np.sort(places)
+    return places[np.r_[True, places[1:] != places[:-1]]] if len(places) else places
+
+
 class Merges:
     """The ranks of a vocabulary, ready for replay."""
 
     def __init__(self, tokens: list[bytes]):
         self.tokens = tokens
-        self.rank = {t: r for r, t in enumerate(tokens) if t}
-        lacking = [b for b in range(256) if bytes([b]) not in self.rank]
+        rank = {t: r for r, t in enumerate(tokens) if t}
+        self.rank = rank
+        lacking = [b for b in range(256) if bytes([b]) not in rank]
         if lacking:
             raise ValueError(f"no token for the bytes {lacking}")
-        self.of_byte = np.array([self.rank[bytes([b])] for b in range(256)], np.int64)
-        # Rank of what two bytes merge to, -1 if nothing.
-        self.of_pair = np.array([self.rank.get(bytes([a, b]), -1) for a in range(256) for b in range(256)], np.int64)
-        self.known: dict[int, int] = {}
-
-    def merged(self, a: int, b: int) -> int:
+        self.of_byte = np.array([rank[bytes([b])] for b in range(256)], np.int64)
+        # All pairs that merge: first token << 32 | second, in order, and the rank of what they merge to.
+        found = {}
+        for t, r in rank.items():
+            for i in range(1, len(t)):
+                a, b = rank.get(t[:i]), rank.get(t[i:])
+                if a is not None and b is not None:
+                    found[(a << 32) | b] = r
+        self.found = found
+        self.pairs = np.array(sorted(found), np.int64)
+        self.ranks = np.array([found[k] for k in self.pairs.tolist()], np.int64)
+
+    def merged(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank of what each two tokens merge to, -1 if nothing."""
+        if len(self.pairs) == 0:
+            return np.full(len(a), -1)
         key = (a << 32) | b
-        found = self.known.get(key)
-        if found is None:
-            found = self.known[key] = self.rank.get(self.tokens[a] + self.tokens[b], -1)
-        return found
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == key, self.ranks[at], -1)
 
     def replay(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of all words end to end, and how many each has.
 
-        Every word is merged as by itself: always its pair of the lowest rank, the leftmost of equal ones. A
-        word whose merge gives a pair of lower rank than the merge itself takes that one before it goes on.
+        Every word is merged as by itself: always its pair of the lowest rank, the leftmost of equal ones.
         """
         if not words:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        if len(self.known) > PAIRS:
-            self.known.clear()
+        return _Replay(self, words).run()
+
+
+class _Replay:
+    """Words end to end. A live place holds a token, its neighbours in the word and the rank of the pair it begins."""
+
+    def __init__(self, merges: Merges, words: list[bytes]):
+        self.merges = merges
         data = np.frombuffer(b"".join(words), np.uint8)
-        size = np.array([len(w) for w in words])
-        starts = np.r_[0, np.cumsum(size)]
+        self.starts = np.r_[0, np.cumsum([len(w) for w in words])]
         n = len(data)
-        token = self.of_byte[data].tolist()
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        for s, e in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
-            if e > s:
-                after[e - 1], before[s] = -1, -1
-        index: dict[int, list[int]] = defaultdict(list)
-        if n > 1:
-            rank = self.of_pair[data[:-1].astype(np.int64) * 256 + data[1:]]
-            inner = starts[1:-1][(starts[1:-1] > 0) & (starts[1:-1] < n)]
-            rank[inner - 1] = -1
-            at = np.flatnonzero(rank >= 0)
-            at = at[np.argsort(rank[at], kind="stable")]
-            values, begin = np.unique(rank[at], return_index=True)
-            for value, places in zip(values.tolist(), np.split(at, begin[1:]), strict=True):
-                index[value] = places.tolist()
-        heap, begins = sorted(index), starts.tolist()
-        known, merged = self.known, self.merged
-        while heap:
-            rank = heapq.heappop(heap)
-            places = index.pop(rank)
-            places.sort()
-            waiting: set[int] = set()
-            held: list[int] = []
-            for p in places:
-                q = after[p]
-                if token[p] < 0 or q < 0:
-                    continue
-                found = known.get((token[p] << 32) | token[q])
-                if (merged(token[p], token[q]) if found is None else found) != rank:
-                    continue
-                if waiting and bisect_right(begins, p) in waiting:
-                    held.append(p)
-                    continue
-                token[p], token[q] = rank, -1
-                r, left = after[q], before[p]
-                after[p] = r
-                if r >= 0:
-                    before[r] = p
-                    new = known.get((rank << 32) | token[r])
-                    if new is None:
-                        new = merged(rank, token[r])
-                    if new >= 0:
-                        if new not in index:
-                            heapq.heappush(heap, new)
-                        index[new].append(p)
-                        if new < rank:
-                            waiting.add(bisect_right(begins, p))
-                if left >= 0:
-                    new = known.get((token[left] << 32) | rank)
-                    if new is None:
-                        new = merged(token[left], rank)
-                    if new >= 0:
-                        if new not in index:
-                            heapq.heappush(heap, new)
-                        index[new].append(left)
-                        if new < rank:
-                            waiting.add(bisect_right(begins, p))
-            if held:
-                if rank not in index:
-                    heapq.heappush(heap, rank)
-                index[rank] += held
-        ids = np.array(token, np.int64)
-        alive = ids >= 0
+        self.token = merges.of_byte[data]
+        self.after, self.before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        filled = self.starts[:-1] < self.starts[1:]
+        self.after[self.starts[1:][filled] - 1] = -1
+        self.before[self.starts[:-1][filled]] = -1
+        self.pair = np.full(n, -1)
+        inner = np.flatnonzero(self.after >= 0)
+        self.pair[inner] = merges.merged(self.token[inner], self.token[inner + 1])
+        # The inverted index: rank of a pair's merge to the places where such a pair was seen, by ones and by arrays.
+        self.ones: dict[int, list[int]] = {}
+        self.many: dict[int, list[np.ndarray]] = {}
+        self.heap: list[int] = []
+        self.post(inner)
+
+    def post(self, places: np.ndarray) -> None:
+        """Enter the pairs that begin at these places into the index."""
+        rank = self.pair[places]
+        places, rank = places[rank >= 0], rank[rank >= 0]
+        if len(places) == 0:
+            return
+        order = np.argsort(rank, kind="stable")
+        places, rank = places[order], rank[order]
+        begin = np.flatnonzero(np.r_[True, rank[1:] != rank[:-1]])
+        ends = [*begin[1:].tolist(), len(rank)]
+        for value, s, e in zip(rank[begin].tolist(), begin.tolist(), ends, strict=True):
+            if value not in self.many and value not in self.ones:
+                heapq.heappush(self.heap, value)
+            self.many.setdefault(value, []).append(places[s:e])
+
+    def run(self) -> tuple[np.ndarray, np.ndarray]:
+        while self.heap:
+            rank = heapq.heappop(self.heap)
+            ones, many = self.ones.pop(rank, []), self.many.pop(rank, [])
+            if len(ones) + sum(map(len, many)) <= FEW:
+                self.apply_each(rank, sorted({*ones, *(p for a in many for p in a.tolist())}))
+            else:
+                self.apply_all(rank, _distinct(np.concatenate([np.array(ones, np.int64), *many])))
+        alive = self.token >= 0
         total = np.r_[0, np.cumsum(alive)]
-        return ids[alive], total[starts[1:]] - total[starts[:-1]]
+        return self.token[alive], total[self.starts[1:]] - total[self.starts[:-1]]
+
+    def apply_all(self, rank: int, p: np.ndarray) -> None:
+        """Apply a merge at all places at once. Words in which it would give a pair of lower rank go step by step."""
+        merges, token, after, before, pair = self.merges, self.token, self.after, self.before, self.pair
+        p = p[pair[p] == rank]
+        q = after[p]
+        right, left = after[q], before[p]
+        new = np.where(right >= 0, merges.merged(np.full(len(p), rank), token[right]), -1)
+        old = np.where(left >= 0, merges.merged(token[left], np.full(len(p), rank)), -1)
+        lower = ((new >= 0) & (new < rank)) | ((old >= 0) & (old < rank))
+        twice = merges.found.get((rank << 32) | rank, -1)
+        if 0 <= twice < rank:
+            lower[:] = True
+        if lower.any():
+            word = np.searchsorted(self.starts, p, side="right")
+            slow = np.isin(word, word[lower])
+            self.apply_each(rank, p[slow].tolist())
+            p, q = p[~slow], q[~slow]
+        if len(p) == 0:
+            return
+        # Of places that follow each other directly every other one is merged, from the left.
+        chained = np.r_[False, q[:-1] == p[1:]]
+        if chained.any():
+            at = np.arange(len(p))
+            run = np.maximum.accumulate(np.where(chained, 0, at))
+            keep = (at - run) % 2 == 0
+            p, q = p[keep], q[keep]
+        right = after[q]
+        token[p], token[q], pair[q], after[p] = rank, -1, -1, right
+        has = right >= 0
+        before[right[has]] = p[has]
+        pair[p] = -1
+        left = before[p]
+        first = _distinct(np.r_[p[has], left[left >= 0]])
+        pair[first] = merges.merged(token[first], token[after[first]])
+        self.post(first)
+
+    def apply_each(self, rank: int, places: list[int]) -> None:
+        """Apply a merge place by place, from the left. A word that gets a pair of lower rank takes that one first."""
+        token, after, before, pair = map(memoryview, (self.token, self.after, self.before, self.pair))
+        found, ones, many = self.merges.found, self.ones, self.many
+        waiting: set[int] = set()
+
+        def enter(p: int, value: int) -> None:
+            pair[p] = value
+            if value >= 0:
+                if value not in ones and value not in many:
+                    heapq.heappush(self.heap, value)
+                ones.setdefault(value, []).append(p)
+
+        for p in places:
+            if pair[p] != rank:
+                continue
+            if waiting and int(np.searchsorted(self.starts, p, side="right")) in waiting:
+                enter(p, rank)
+                continue
+            q, left = after[p], before[p]
+            right = after[q]
+            token[p], token[q], pair[q], after[p] = rank, -1, -1, right
+            new = old = -1
+            if right >= 0:
+                before[right] = p
+                new = found.get((rank << 32) | token[right], -1)
+            enter(p, new)
+            if left >= 0:
+                old = found.get((token[left] << 32) | rank, -1)
+                enter(left, old)
+            if 0 <= new < rank or 0 <= old < rank:
+                waiting.add(int(np.searchsorted(self.starts, p, side="right")))
 
 
 def unicode_spaces(pattern: str) -> str:
@@ -180,19 +244,25 @@ def cutters(pattern: str):
 
 
 def common_words(docs: DataFrame, merges: Merges, pattern: str, common: int) -> DataFrame:
-    """(piece, ids) of the pre-tokens with at least 1 / ``common`` of all occurrences, so ``common`` of them at most."""
+    """(piece, ids) of the pre-tokens with at least 1 / ``common`` of the units, so ``common`` times the pre-tokens of a unit at most.
 
-    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    A pre-token of that share has it in some stretch of texts as well, so tasks count what has the share in
+    the stretch at hand and leave out the long rest. Some that barely have it may be missed; they are replayed
+    where they stand.
+    """
+
+    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units, find = cutters(pattern)
         held: Counter[str] = Counter()
 
         def rows() -> pa.RecordBatch:
-            seen: Counter[str] = Counter()
+            total, seen = sum(held.values()), Counter()
             for unit, n in held.items():
-                for piece in find(unit):
-                    seen[piece] += n
+                if n * common >= total:
+                    for piece in find(unit):
+                        seen[piece] += n
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], ["piece", "n"])
+            return pa.RecordBatch.from_arrays([pa.array([None, *seen], pa.string()), pa.array([total, *seen.values()], pa.int64())], ["piece", "n"])
 
         for batch in chunks(batches):
             for text in batch.column("text").to_pylist():
@@ -202,9 +272,9 @@ def common_words(docs: DataFrame, merges: Merges, pattern: str, common: int) ->
                 yield rows()
         yield rows()
 
-    pieces = docs.select("text").mapInArrow(distinct, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
-    counted = stored(pieces, "pieces")
-    total = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    # The row without a piece holds the number of units, of which every one has a pre-token at least, an empty first one aside.
+    counted = stored(docs.select("text").mapInArrow(frequent, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n")), "pieces")
+    total = counted.where("piece is null").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
     def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -214,7 +284,7 @@ def common_words(docs: DataFrame, merges: Merges, pattern: str, common: int) ->
                 ends = pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32))
                 yield pa.RecordBatch.from_arrays([pieces, pa.ListArray.from_arrays(ends, pa.array(ids.astype(np.int32)))], ["piece", "ids"])
 
-    often = counted.where(F.col("n") * common >= total).select("piece").repartition("piece")
+    often = counted.where(F.col("piece").isNotNull() & (F.col("n") * common >= total)).select("piece").repartition("piece")
     return often.mapInArrow(encode_words, "piece string, ids array<int>")
 
 
@@ -271,7 +341,7 @@ def encode(docs: DataFrame, tokens: list[bytes], pattern: str, key: str = "doc_i
             ends = np.cumsum([len(f) for f in found])
             whole.add(new, ids, total[ends] - total[np.r_[0, ends[:-1]]])
 
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=REPLAY_BYTES):
             parts = [units(t) if t else [] for t in batch.column("text").to_pylist()]
             new = list({u for p in parts for u in p if u not in whole.code})
             if new:

@@ -489,9 +489,11 @@ def _merged_alone(word, rank):
         parts[i : i + 2] = [parts[i] + parts[i + 1]]
 
 
+@pytest.mark.parametrize("few", [0, 3, 10**6])
 @pytest.mark.parametrize("seed", range(4))
-def test_replay_follows_any_ranks(seed):
+def test_replay_follows_any_ranks(seed, few, monkeypatch):
     """Ranks in any order, so that merges give pairs of lower rank than their own."""
+    monkeypatch.setattr(bpe, "FEW", few)
     rng = random.Random(seed)
     longer = list({bytes(rng.choice(b"abc") for _ in range(rng.randint(2, 5))) for _ in range(60)})
     vocabulary = [bytes([b]) for b in range(256)] + longer
