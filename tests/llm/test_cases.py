@@ -543,3 +543,61 @@ def test_block_maxima_reject_blocks(seed):
         assert found.tolist() == want.tolist() and score.tolist() == exact[want].tolist()
         if least:
             assert shard.opened < 0.6 * shard.blocks[-1]
+
+
+def texts_of(source):
+    return [t for t, _ in html.page_blocks(source)[0]]
+
+
+def test_wrappers_are_no_furniture():
+    body = "<h1>Title</h1><p>First paragraph of the text.</p><p>Second one.</p>"
+    want = ["Title", "First paragraph of the text.", "Second one."]
+    for source in (
+        f'<div class="layout has-sidebar"><article>{body}</article></div>',
+        f'<div id="content" class="content no-sidebar">{body}</div>',
+        f'<div class="site menu-open"><main>{body}</main></div>',
+        f'<div class="side-by-side">{body}</div>',
+        f'<div class="search-results">{body}</div>',
+        f'<section id="share-prices">{body}</section>',
+        f'<form id="aspnetForm"><div class="menu"><a href=x>Home</a></div>{body}</form>',
+        f'<form id="aspnetForm"><article>{body}</article></form>',
+        f'<nav><ul><li>Home</li></ul><article>{body}</article>',
+        f'<header class="page"><main>{body}<form><input> Send</form></main></header>',
+        f'<body class="menu"><aside>x</aside><div class="sidebar">y</div>{body}<footer>z</footer>',
+    ):
+        assert texts_of(source) == want, source
+    assert texts_of('<p class="tags-explained">About tags</p>') == ["About tags"]
+    for source in (
+        "<nav>Home</nav>", '<div class="cookie-notice"><p>We use cookies</p></div>', "<form><input>Send</form>",
+        '<div class="site-header">Top</div>', '<ul class="share-buttons"><li>Share</ul>', '<section id="comments"><article>nice</article></section>',
+    ):
+        assert texts_of(f"<main><p>text</p></main>{source}") == ["text"], source
+
+
+def test_deep_pages_take_linear_time():
+    import time
+
+    def seconds(source):
+        begin = time.perf_counter()
+        blocks = html.page_blocks(source)[0]
+        return time.perf_counter() - begin, blocks
+
+    n = 50_000
+    html.page_blocks("<div>" * 100)
+    for piece, count in (("<div><p>x", n), ("<span class=ad>x", 0), ("<div></section>x", n), ("<li><div>x", n), ("<span class=ad><p>x", 0)):
+        took, blocks = seconds(piece * n)
+        assert took < 5 and len(blocks) in (count, 1, n), (piece, took, len(blocks))
+
+
+def test_only_counts_delete_a_menu(spark):
+    """Menus without a telling name on several hosts go where they recur on their host, not elsewhere."""
+
+    def page(k, host, menu):
+        box = f"<div class=x1><ul><li><a href=/>{menu}</a><li>more of {menu}</ul></div>" if menu else ""
+        return (k, f"https://{host}/p{k}", f"<body>{box}<div class=x2><p>story {k} as told on {host}, a text of some length</p><p>the end of {k}</p></div>")
+
+    rows = [page(k, f"host{k % 3}.example", f"menu {k % 3}" if k % 3 < 2 else None) for k in range(60)] + [page(99, "host2.example", "menu 0")]
+    got = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k in range(60):
+        assert got[k] == f"story {k} as told on host{k % 3}.example, a text of some length\nthe end of {k}"
+    assert got[99].startswith("menu 0\nmore of menu 0\nstory 99")
