@@ -23,10 +23,10 @@ from pyspark.sql import functions as F
 from modelkit.llm.common import chunks, stored
 from modelkit.llm.tokens import PATTERN, SPACES, cutter
 
-# Pre-tokens that a task replays together or remembers, and the most that are handed to all tasks.
-HELD, COMMON = 400_000, 200_000
+# Units that a task counts or remembers, and the share of pre-tokens that are handed to all tasks.
+HELD, COMMON = 200_000, 200_000
 # Bytes of texts whose words are replayed together.
-REPLAY_BYTES = 8 << 20
+REPLAY_BYTES = 4 << 20
 # Places of a merge up to which they are handled one by one instead of as arrays.
 FEW = 60
 
@@ -288,25 +288,12 @@ def common_words(docs: DataFrame, merges: Merges, pattern: str, common: int) ->
     return often.mapInArrow(encode_words, "piece string, ids array<int>")
 
 
-class Known:
-    """Units whose ids are known, as places in one growing array of ids."""
-
-    def __init__(self):
-        self.code: dict[str, int] = {}
-        self.ids, self.sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
-
-    def add(self, units: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
-        self.code.update(zip(units, range(len(self.code), len(self.code) + len(units)), strict=True))
-        self.ids.append(ids.astype(np.int32))
-        self.sizes.append(sizes)
-
-    def gather(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the units with these codes end to end, and how many each has."""
-        self.ids, self.sizes = [np.concatenate(self.ids)], [np.concatenate(self.sizes)]
-        begin = np.cumsum(self.sizes[0]) - self.sizes[0]
-        size = self.sizes[0][codes]
-        at = np.repeat(begin[codes] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        return self.ids[0][at], size
+def gathered(ids: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of runs of ids laid end to end, those with these numbers end to end, and how many each has."""
+    begin = np.cumsum(sizes) - sizes
+    size = sizes[codes]
+    at = np.repeat(begin[codes] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+    return ids[at], size
 
 
 def encode(docs: DataFrame, tokens: list[bytes], pattern: str, key: str = "doc_id", common: int = COMMON) -> DataFrame:
@@ -328,35 +315,38 @@ def encode(docs: DataFrame, tokens: list[bytes], pattern: str, key: str = "doc_i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merges, often, often_ids, often_sizes = shared.value
         units, find = cutters(pattern)
-        words, whole = Known(), Known()
-        words.add(often, often_ids, often_sizes)
+        known = {p: i for i, p in enumerate(often)}
+        # Units met so far, and their ids laid end to end.
+        code: dict[str, int] = {}
+        ids, sizes = np.zeros(0, np.int32), np.zeros(0, np.int64)
 
-        def learn(new: list[str]) -> None:
-            """Ids of units not met before, from those of their pre-tokens."""
+        def learn(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            """Ids of units from those of their pre-tokens; what is not common is replayed here."""
             found = [find(u) for u in new]
-            unseen = list({p for f in found for p in f if p not in words.code})
-            words.add(unseen, *merges.replay([p.encode() for p in unseen]))
-            ids, sizes = words.gather(np.array([words.code[p] for f in found for p in f], np.int64))
-            total = np.r_[0, np.cumsum(sizes)]
+            rare = {p: 0 for f in found for p in f if p not in known}
+            rare.update(zip(rare, range(len(often), len(often) + len(rare)), strict=True))
+            made, counts = merges.replay([p.encode() for p in rare])
+            numbers = np.array([known[p] if p in known else rare[p] for f in found for p in f], np.int64)
+            made, counts = gathered(np.r_[often_ids, made.astype(np.int32)], np.r_[often_sizes, counts], numbers)
+            total = np.r_[0, np.cumsum(counts)]
             ends = np.cumsum([len(f) for f in found])
-            whole.add(new, ids, total[ends] - total[np.r_[0, ends[:-1]]])
+            return made, total[ends] - total[np.r_[0, ends[:-1]]]
 
         for batch in chunks(batches, limit=REPLAY_BYTES):
             parts = [units(t) if t else [] for t in batch.column("text").to_pylist()]
-            new = list({u for p in parts for u in p if u not in whole.code})
+            new = list({u for p in parts for u in p if u not in code})
             if new:
-                learn(new)
-            code = whole.code
-            codes = np.array([code[u] for p in parts for u in p], np.int64)
-            ids, sizes = whole.gather(codes)
-            total = np.r_[0, np.cumsum(sizes)]
+                code.update(zip(new, range(len(code), len(code) + len(new)), strict=True))
+                more, counts = learn(new)
+                ids, sizes = np.r_[ids, more], np.r_[sizes, counts]
+            out, counts = gathered(ids, sizes, np.array([code[u] for p in parts for u in p], np.int64))
+            total = np.r_[0, np.cumsum(counts)]
             ends = total[np.r_[0, np.cumsum([len(p) for p in parts])]].astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))], ["key", "ids"])
-            if len(whole.code) > HELD:
-                whole = Known()
-            if len(words.code) > len(often) + HELD:
-                words = Known()
-                words.add(often, often_ids, often_sizes)
+            del parts, new
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.ListArray.from_arrays(pa.array(ends), pa.array(out))], ["key", "ids"])
+            if len(code) > HELD:
+                code = {}
+                ids, sizes = np.zeros(0, np.int32), np.zeros(0, np.int64)
 
     made = docs.select(F.col(key).alias("key"), "text").mapInArrow(run, f"key {kind}, ids array<int>")
     return made.withColumnRenamed("key", key)
@@ -371,10 +361,10 @@ def decode(encoded: DataFrame, tokens: list[bytes], ids: str = "ids", name: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            # Pieces of bounded size: about a million ids, or one row.
+            # Pieces of bounded size: about half a million ids, or one row.
             lists = whole.column(ids)
             counts = np.array(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), np.int64)
-            part = np.cumsum(counts) >> 20
+            part = np.cumsum(counts) >> 19
             cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), whole.num_rows]
             for s, e in zip(cuts, cuts[1:], strict=False):
                 if e <= s:
