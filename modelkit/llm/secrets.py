@@ -8,11 +8,12 @@ current rule version the ledger lacks, appends them, and joins the findings back
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from modelkit.session import scratch_dir
 
-RULE_VERSION = "2"
+RULE_VERSION = "3"
 
 # The base patterns. Where a shortest length is asked of a run that a match takes whole, the
 # pattern holds it; the value of an assignment is measured after the match, as a short one uses up its text.
@@ -27,46 +28,48 @@ MORE = {
     "jwt": r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}",
     "prefixed": r"\b(gh[opsu]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,})",
 }
-FINDINGS = "array<struct<start:int,rank:int,kind:string,end:int>>"
+# ``done`` is where the findings before a finding end: a finding that starts earlier lies over one of them.
+FINDINGS = "array<struct<start:int,rank:int,kind:string,end:int,done:int>>"
 LEDGER_SCHEMA = f"blob string, rule_version string, findings {FINDINGS}"
+# Code points of the segments that a text is cut into before it is redacted.
+SEGMENT = 4096
 
 
-def spans_of(text: Column, kind: str, rank: int, pattern: str) -> Column:
-    """Matches of a pattern as (start, rank, kind, end) in code points.
+def steps_of(text: Column, kind: str, rank: int, pattern: str) -> Column:
+    """Matches of a pattern in order, each as the length of the text before it and its own."""
+    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    gaps = F.slice(F.split(text, pattern, -1), 1, F.size(matches))
+    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(2 if kind == "assign" else 0))
+    # The value of an assignment has six characters at least; shorter ones still use up their text.
+    kept = F.transform(values, lambda v: F.length(v) >= 6 if kind == "assign" else F.lit(True))
+    steps = F.zip_with(
+        F.zip_with(gaps, matches, lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("size"))),
+        kept,
+        lambda x, k: F.struct(F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), x["gap"].alias("gap"), x["size"].alias("size"), k.alias("kept")),
+    )
+    return F.when(text.rlike(pattern), steps).otherwise(F.array().cast("array<struct<rank:int,kind:string,gap:int,size:int,kept:boolean>>"))
+
 
-    The text between matches comes from splitting at the pattern, so a match begins after all texts and
-    matches before it. One fold carries the position along.
+def findings_of(blobs: DataFrame) -> DataFrame:
+    """(blob, findings) of every row of (blob, content), one row per blob; findings by start, then rule.
+
+    The matches of a blob become rows; running sums over its gaps and matches give the positions, so the
+    work follows the number of matches. Null content has no findings.
     """
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    empty = F.array().cast(FINDINGS)
-    steps = F.zip_with(F.slice(gaps, 1, F.size(matches)), matches, lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("size")))
-    folded = F.aggregate(
-        steps,
-        F.struct(F.lit(0).alias("at"), empty.alias("found")),
-        lambda have, x: F.struct(
-            (have["at"] + x["gap"] + x["size"]).alias("at"),
-            F.array_append(
-                have["found"],
-                F.struct(
-                    (have["at"] + x["gap"]).alias("start"),
-                    F.lit(rank).alias("rank"),
-                    F.lit(kind).alias("kind"),
-                    (have["at"] + x["gap"] + x["size"]).alias("end"),
-                ),
-            ).alias("found"),
-        ),
-    )["found"]
-    if kind == "assign":
-        values = F.regexp_extract_all(text, F.lit(pattern), F.lit(2))
-        folded = F.filter(folded, lambda s, i: F.length(F.get(values, i)) >= 6)
-    return F.when(text.rlike(pattern), folded).otherwise(empty)
-
-
-def findings_of(text: Column) -> Column:
-    """All findings of a text by start, then rule."""
-    rules = [spans_of(text, kind, rank, pattern) for rank, (kind, pattern) in enumerate({**BASE, **MORE}.items())]
-    return F.array_sort(F.concat(*rules))
+    steps = F.concat(*(steps_of(F.col("content"), kind, rank, p) for rank, (kind, p) in enumerate({**BASE, **MORE}.items())))
+    steps = F.when(F.col("content").isNotNull(), steps)
+    rows = blobs.select("blob", F.posexplode_outer(steps).alias("place", "step")).select("blob", "place", "step.*")
+    # All windows run inside a blob, so the rows stay where the blobs are.
+    along = W.partitionBy("blob", "rank").orderBy("place").rowsBetween(W.unboundedPreceding, 0)
+    ends = rows.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(along).cast("int")).withColumn("start", F.col("end") - F.col("size"))
+    shown = ends.where(F.col("kept") | F.col("place").isNull() | (F.col("place") == 0))
+    # The first row of a blob stays even if its match does not count, so that every blob has a row.
+    counts = F.coalesce("kept", F.lit(False))
+    before = W.partitionBy("blob").orderBy("start", "rank").rowsBetween(W.unboundedPreceding, -1)
+    done = F.coalesce(F.max(F.when(counts, F.col("end"))).over(before), F.lit(0))
+    finding = F.struct("start", "rank", "kind", "end", F.col("done"))
+    found = shown.withColumn("done", done).groupBy("blob").agg(F.collect_list(F.when(counts, finding)).alias("findings"))
+    return found.withColumn("findings", F.array_sort("findings").cast(FINDINGS))
 
 
 def blob_of(text: Column) -> Column:
@@ -97,9 +100,8 @@ def scan(versions: DataFrame, ledger: str | None = None, text: str = "text", rul
     # One test tells the blobs without findings, whose text need not be moved.
     risky = F.col("content").rlike("|".join(f"(?:{p})" for p in {**BASE, **MORE}.values()))
     new = unseen.select("blob", F.when(risky, F.col("content")).alias("content")).groupBy("blob").agg(F.first("content").alias("content"))
-    none = F.array().cast(FINDINGS)
-    findings = F.when(F.col("content").isNull(), none).otherwise(findings_of(F.col("content")))
-    new.select("blob", F.lit(rule_version).alias("rule_version"), findings.alias("findings")).write.mode("append").parquet(path)
+    made = findings_of(new).select("blob", F.lit(rule_version).alias("rule_version"), "findings")
+    made.write.mode("append").parquet(path)
     rows = versions.sparkSession.read.schema(LEDGER_SCHEMA).parquet(path)
     # Runs that overlap may both append a pair; it counts once.
     found = (
@@ -107,7 +109,7 @@ def scan(versions: DataFrame, ledger: str | None = None, text: str = "text", rul
         .groupBy("blob")
         .agg(F.first("findings").alias("findings"))
     )
-    return addressed.join(found, "blob", "left").withColumn("findings", F.coalesce("findings", none))
+    return addressed.join(found, "blob", "left").withColumn("findings", F.coalesce("findings", F.array().cast(FINDINGS)))
 
 
 def digest(found: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -124,19 +126,28 @@ def digest(found: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def redacted(text: Column, findings: Column, mark: str = "[SECRET]") -> Column:
-    """The text with every finding replaced by ``mark``; findings that overlap are replaced together."""
-    folded = F.aggregate(
-        findings,
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda have, s: F.struct(
-            F.greatest(have["at"], s["end"]).alias("at"),
-            F.when(
-                s["start"] >= have["at"],
-                F.concat(have["out"], F.substr(text, have["at"] + 1, s["start"] - have["at"]), F.lit(mark)),
+    """The text with every finding replaced by ``mark``; findings that overlap are replaced together.
+
+    What is kept between findings is taken from segments of bounded size, so no finding costs a walk through the text.
+    """
+
+    def piece(segments: Column, begin: Column, end: Column) -> Column:
+        first, last = F.floor(begin / SEGMENT).cast("int"), F.floor(end / SEGMENT).cast("int")
+        inside, beyond = begin % SEGMENT, end % SEGMENT
+        head, tail = F.coalesce(F.get(segments, first), F.lit("")), F.coalesce(F.get(segments, last), F.lit(""))
+        return F.when(first == last, F.substr(head, inside + 1, end - begin)).otherwise(
+            F.concat(
+                F.substr(head, inside + 1, F.lit(SEGMENT)),
+                F.array_join(F.slice(segments, first + 2, last - first - 1), ""),
+                F.substr(tail, F.lit(1), beyond),
             )
-            .otherwise(have["out"])
-            .alias("out"),
-        ),
-        lambda have: F.concat(have["out"], F.substr(text, have["at"] + 1)),
-    )
-    return F.when(F.size(findings) > 0, folded).otherwise(text)
+        )
+
+    def whole(segments: Column) -> Column:
+        kept = F.transform(F.filter(findings, lambda s: s["start"] >= s["done"]), lambda s: F.concat(piece(segments, s["done"], s["start"]), F.lit(mark)))
+        rest = piece(segments, F.array_max(F.transform(findings, lambda s: s["end"])), F.length(text))
+        return F.concat(F.array_join(kept, ""), rest)
+
+    # A one-element array binds the segments to a name, so that they are made once.
+    segments = F.array(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{SEGMENT}}}"), F.lit(0)))
+    return F.when(F.size(findings) > 0, F.get(F.transform(segments, whole), F.lit(0))).otherwise(text)

@@ -601,3 +601,22 @@ def test_only_counts_delete_a_menu(spark):
     for k in range(60):
         assert got[k] == f"story {k} as told on host{k % 3}.example, a text of some length\nthe end of {k}"
     assert got[99].startswith("menu 0\nmore of menu 0\nstory 99")
+
+
+def test_many_findings_in_one_text(spark):
+    n = 200_000
+    many = " ".join(["token=abcdef \u00e9"] * n)
+    rows = [(1, many, "a"), (2, "x" * 9000 + " token=abcdef " + "y" * 9000 + "\U0001f600 AKIA" + "B" * 20 + "TOKEN=abcdefgh z", "a"), (3, "plain", "a")]
+    found = secrets.scan(table(spark, rows))
+    out = {
+        r["doc_id"]: r
+        for r in found.select("doc_id", F.size("findings").alias("n"), F.try_element_at("findings", F.lit(-1))["end"].alias("last"), F.md5(secrets.redacted(F.col("text"), F.col("findings"))).alias("t")).collect()
+    }
+    import hashlib
+
+    def md5(t):
+        return hashlib.md5(t.encode()).hexdigest()
+
+    assert out[1]["n"] == n and out[1]["last"] == len(many) - 2 and out[1]["t"] == md5(" ".join(["[SECRET] \u00e9"] * n))
+    assert out[2]["t"] == md5("x" * 9000 + " [SECRET] " + "y" * 9000 + "\U0001f600 [SECRET] z")
+    assert out[3]["n"] == 0 and out[3]["t"] == md5("plain")
