@@ -2,7 +2,10 @@
 
 1. Documents with equal shingle sets form one class; a class is compared once.
 2. Every set gets keys: its shingles are dealt by hash into so many parts that two sets within the threshold
-   must have equal parts, and a key is the digest of a part. Sets without a common key cannot be linked.
+   must have equal parts, and a key is the digest of a part with enough shingles. A set with too few such parts is
+   loose and gets its rarest shingles as keys besides, so many that a linked set has one of them among its own.
+   Sets that can only be linked with equal ones get none. Sets without a common key cannot be linked, and a
+   common key is a common shingle.
 3. Grouping: under each key, sets are compared with the one set there that shares most with others. Links
    found put similar sets into groups, so that thousands of near copies become one group after a comparison each.
 4. Matrix: sets that share a key with other groups meet under that key, as rows of bits, one bit per cell of
@@ -22,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modelkit.llm.common import Words, chunks, components, mix, segment_hashes, signed, stored, window_hashes, words_of
@@ -45,9 +48,13 @@ class Rule:
 
     @property
     def weak(self) -> int:
-        """Parts of fewer shingles are weak keys, which many unlike sets may share; with small parts only empty ones are."""
+        """Parts of fewer shingles are weak ones and make no key; with small parts only empty ones are weak."""
         return 3 if (self.below + self.above) >= 16 * (self.below - self.above) else 1
 
+    def rarest(self, n: Column) -> Column:
+        """How many of a set's n shingles, in any fixed order, suffice to share one with every set it is linked with."""
+        return n - F.floor((n * self.above + self.below - 1) / self.below).cast("int") + 1
+
     def largest(self, n: int) -> int:
         """Size of the largest set that one of n can be linked with."""
         return n * self.below // self.above
@@ -75,18 +82,24 @@ def shingle_sets(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     return row[new], value[new]
 
 
-def _keys(rule: Rule, size: np.ndarray, row: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key) of all keys. With m parts and at most h shingles apart, m - h parts are equal; a set with fewer
-    weak parts than that leaves them out, and so does every set that it can be linked with."""
+def _keys(rule: Rule, size: np.ndarray, row: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, key) of all keys, and which rows are loose.
+
+    With m parts and at most h shingles apart, m - h parts of two linked sets are equal. A set with fewer weak
+    parts than that has a key among them, whatever the other set is; of two loose sets all of them may be weak.
+    """
+    loose = np.zeros(len(size), bool)
     if len(row) == 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), loose
     tops = size_classes(rule, int(rule.largest(int(size.max()))) + 1)
     own = np.searchsorted(tops, size)
+    # Sets that may differ from a linked one; others are linked with equal sets only, which are one class anyway.
+    differ = (rule.below - rule.above) * (size + size * rule.below // rule.above) >= rule.below + rule.above
     rows, keys = [], []
     for up in (0, 1):
         level = own + up
         level = np.minimum(level, len(tops) - 1)
-        use = (size > 0) & ((up == 0) | (size * rule.below // rule.above > tops[own]))
+        use = differ & ((up == 0) | (size * rule.below // rule.above > tops[own]))
         top = tops[level]
         apart = (rule.below - rule.above) * 2 * top // (rule.below + rule.above)
         spare = 3 + apart // (16 if rule.weak > 1 else 10)
@@ -105,21 +118,18 @@ def _keys(rule: Rule, size: np.ndarray, row: np.ndarray, value: np.ndarray) -> t
         strong = held >= rule.weak
         # Parts without a shingle are weak ones too.
         weak = parts - np.bincount(r[strong], minlength=len(size))
-        every = weak > spare
+        loose |= use & (weak > spare)
         made = mix(total + mix((level[r].astype(np.uint64) << np.uint64(32)) + part.astype(np.uint64)))
-        take = strong | every[r]
-        rows.append(r[take])
-        keys.append(made[take])
-        # Sets that need their weak parts need the empty ones as well.
-        for i in np.flatnonzero(every & use).tolist():
-            gone = np.setdiff1d(np.arange(parts[i]), part[r == i])
-            rows.append(np.full(len(gone), i))
-            keys.append(mix(mix((level[[i]].astype(np.uint64) << np.uint64(32)) + gone.astype(np.uint64))))
-    return np.concatenate(rows), np.concatenate(keys)
+        rows.append(r[strong])
+        keys.append(made[strong])
+    if not rows:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), loose
+    return np.concatenate(rows), np.concatenate(keys), loose
 
 
 def described(docs: DataFrame, rule: Rule) -> DataFrame:
-    """(doc_id, n_shingles, set_a, set_b, keys): size, 128-bit digest and keys of every document's set."""
+    """(doc_id, n_shingles, set_a, set_b, keys, loose): size, 128-bit digest and keys of every document's set, and all
+    shingles of the loose ones."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,15 +145,33 @@ def described(docs: DataFrame, rule: Rule) -> DataFrame:
                 if len(full):
                     total[full] = np.add.reduceat(mix(value ^ mix(np.array([salt], np.uint64))), np.searchsorted(row, full))
                 digests.append(pa.array(signed(total)))
-            owner, key = _keys(rule, size, row, value)
+            owner, key, loose = _keys(rule, size, row, value)
             order = np.argsort(owner, kind="stable")
             ends = np.searchsorted(owner[order], np.arange(n + 1)).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(signed(key[order])))
+            bare = loose[row]
+            ends = np.searchsorted(row[bare], np.arange(n + 1)).astype(np.int32)
+            shingles = pa.ListArray.from_arrays(pa.array(ends), pa.array(signed(value[bare])))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(size.astype(np.int64)), *digests, lists], ["doc_id", "n_shingles", "set_a", "set_b", "keys"]
+                [batch.column("doc_id"), pa.array(size.astype(np.int64)), *digests, lists, shingles],
+                ["doc_id", "n_shingles", "set_a", "set_b", "keys", "loose"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(describe, f"doc_id {kind}, n_shingles long, set_a long, set_b long, keys array<long>")
+    schema = f"doc_id {kind}, n_shingles long, set_a long, set_b long, keys array<long>, loose array<long>"
+    return docs.select("doc_id", "text").mapInArrow(describe, schema)
+
+
+def rarest_keys(loose: DataFrame, rule: Rule) -> DataFrame:
+    """(key, set_a): the rarest shingles of every loose set (set_a, loose), one row per set.
+
+    Shingles are ordered by how many loose sets have them, then by hash: one order for all sets.
+    """
+    shingles = loose.select("set_a", F.size("loose").alias("size"), F.explode("loose").alias("shingle"))
+    often = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("often"))
+    # A shingle of one set links nothing; it still takes its place in the order.
+    ordered = shingles.join(often, "shingle").groupBy("set_a", "size").agg(F.array_sort(F.collect_list(F.struct("often", "shingle"))).alias("order"))
+    first = ordered.select("set_a", F.explode(F.slice("order", F.lit(1), rule.rarest(F.col("size")))).alias("s"))
+    return first.where(F.col("s.often") > 1).select(F.xxhash64("s.shingle").alias("key"), "set_a")
 
 
 def _sets_of(texts: list[str | None], rule: Rule) -> list[np.ndarray]:
@@ -282,11 +310,13 @@ def join_groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     # Keys are many times larger than the rest and are made anew where they are read, instead of being stored.
-    sets = stored(described(docs, rule).drop("keys"), "sets")
+    sets = stored(described(docs, rule).drop("keys", "loose"), "sets")
     equal = ["n_shingles", "set_a", "set_b"]
     classes = stored(sets.where("n_shingles > 0").groupBy(*equal).agg(F.min("doc_id").alias("rep")), "classes")
     # Keys that more than one class has; a class is told by one half of its digest here, its copies fall together.
-    keyed = described(docs, rule).select(F.explode("keys").alias("key"), "set_a")
+    loose = described(docs, rule).where(F.size("loose") > 0).groupBy("set_a").agg(F.first("loose").alias("loose"))
+    rare = stored(rarest_keys(stored(loose, "loose"), rule), "rare")
+    keyed = described(docs, rule).select(F.explode("keys").alias("key"), "set_a").unionByName(rare)
     common = keyed.groupBy("key").agg(F.min("set_a").alias("low"), F.max("set_a").alias("high")).where("low < high").select("key")
     common = stored(common, "common")
     members = keyed.join(common, "key", "left_semi").distinct().join(classes.where("rep is not null").select("set_a", "rep"), "set_a")

@@ -620,3 +620,33 @@ def test_many_findings_in_one_text(spark):
     assert out[1]["n"] == n and out[1]["last"] == len(many) - 2 and out[1]["t"] == md5(" ".join(["[SECRET] \u00e9"] * n))
     assert out[2]["t"] == md5("x" * 9000 + " [SECRET] " + "y" * 9000 + "\U0001f600 [SECRET] z")
     assert out[3]["n"] == 0 and out[3]["t"] == md5("plain")
+
+
+@pytest.mark.parametrize(("size", "above"), [(3, 9), (5, 8)])
+def test_jaccard_keys_are_shingles(spark, size, above):
+    """Tiny documents without a common shingle share no key, so nothing is compared."""
+    rng = random.Random(3)
+    rule = jaccard.Rule(size, above, 10)
+    texts = [" ".join(f"{i}x{k}" for k in range(rng.randint(1, 40))) for i in range(6000)]
+    sets = jaccard.described(table(spark, [(i, t, "a") for i, t in enumerate(texts)]), rule)
+    keyed = sets.select(F.explode("keys").alias("key"), "set_a")
+    loose = sets.where(F.size("loose") > 0).select("set_a", "loose")
+    assert keyed.groupBy("key").count().where("count > 1").count() == 0
+    assert loose.count() > 100 and jaccard.rarest_keys(loose, rule).count() == 0
+
+
+@pytest.mark.parametrize(("size", "above"), [(3, 9), (5, 8), (2, 6)])
+def test_jaccard_of_small_sets(spark, size, above):
+    """All sizes at which sets become loose, with many near copies that share frequent shingles."""
+    rng = random.Random(size)
+    rows = []
+    for g in range(60):
+        base = ["the", "same", "start", "of", "all", "texts"][: rng.randint(0, 6)] + [f"{g}w{k}" for k in range(rng.randint(1, 30))]
+        for _ in range(6):
+            t = list(base)
+            if rng.random() < 0.7:
+                t[rng.randrange(len(t)) if rng.random() < 0.5 else -1] = rng.choice(["x", "y", "z"])
+            rows.append((len(rows), " ".join(t), "a"))
+    rule = jaccard.Rule(size, above, 10)
+    got = jaccard.join_groups(table(spark, rows), rule).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute.near(unique(rows), size, above, 10)
