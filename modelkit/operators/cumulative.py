@@ -106,6 +106,35 @@ def cumulate_backfill(src: DataFrame, spec: Cumulative, last: int | None = None,
     )
 
 
+def snapshot_at(base: DataFrame | None, changes: DataFrame, spec: Cumulative, at: int) -> DataFrame:
+    """The snapshot of period ``at`` from an earlier snapshot and the changes since then.
+
+    ``changes`` holds one row per entity and period in which something happened (the columns of ``src`` of
+    ``cumulate_backfill``), so a history stores each element once instead of once per later period. ``base`` is a snapshot
+    of any earlier period (its ``spec.current``), or None. Entities without a change since then are carried on.
+    """
+    if base is None:
+        return cumulate_backfill(changes, spec, at, snapshot_only=True)
+    since_base = base.agg(F.max(spec.current)).scalar()
+    later = changes.withColumn("__base", since_base).where((F.col(spec.period) > F.col("__base")) & (F.col(spec.period) <= at)).drop("__base")
+    new = cumulate_backfill(later, spec, at, snapshot_only=True)
+    new = new.select(*spec.keys, *[F.col(c).alias(f"t_{c}") for c in spec.columns if c not in spec.keys])
+    old = base.select(*spec.keys, *[F.col(c).alias(f"p_{c}") for c in spec.columns if c not in spec.keys])
+    changed = F.col(f"t_{spec.current}").isNotNull()
+    past, more = F.col(f"p_{spec.history}"), F.col(f"t_{spec.history}")
+    carried = F.col(f"p_{spec.since}") + F.lit(at) - F.col(f"p_{spec.current}")
+    still = F.col(f"p_{spec.current}") == at
+    return old.join(new, list(spec.keys), "full_outer").select(
+        *spec.keys,
+        *[F.coalesce(f"p_{c}", f"t_{c}").alias(c) for c in spec.attrs],
+        F.when(past.isNull(), more).when(changed, F.concat(past, more)).otherwise(past).alias(spec.history),
+        F.when(changed, F.col(f"t_{spec.label}")).otherwise(F.col(f"p_{spec.label}")).alias(spec.label),
+        F.when(changed, F.col(f"t_{spec.since}")).otherwise(carried).cast("int").alias(spec.since),
+        F.lit(at).cast("int").alias(spec.current),
+        F.when(changed, F.col("t_is_active")).otherwise(still & F.col("p_is_active")).alias("is_active"),
+    )
+
+
 def detail_totals(detail: DataFrame, keys: Sequence[str], attrs: Sequence[str], period: str, measure: str) -> DataFrame:
     """Detail rows reduced to one row per entity and period: attributes, sum and count of ``measure``.
 

@@ -748,3 +748,43 @@ ORACLES |= {
                CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity
         FROM lineitem, (VALUES ('sorted'), ('unsorted')) v (layout) GROUP BY 1, 2""",
 }
+
+_RUNS = "max(run{0}) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+ORACLES["funnel_steps"] = f"""
+    WITH {WEB}, s1 AS (
+      SELECT user_id, ts, bool_or(url = '/view') AS is1, bool_or(url = '/click') AS is2, bool_or(url = '/signup') AS is3,
+             bool_or(url = '/purchase') AS is4, CASE WHEN is1 THEN ts END AS run1 FROM web WHERE url <> '/error' GROUP BY 1, 2),
+    s2 AS (SELECT *, {_RUNS.format(1)} AS b2, CASE WHEN is2 AND b2 >= ts - INTERVAL 1 DAY THEN b2 END AS run2 FROM s1),
+    s3 AS (SELECT *, {_RUNS.format(2)} AS b3, CASE WHEN is3 AND b3 >= ts - INTERVAL 1 DAY THEN b3 END AS run3 FROM s2),
+    s4 AS (SELECT *, {_RUNS.format(3)} AS b4, CASE WHEN is4 AND b4 >= ts - INTERVAL 1 DAY THEN b4 END AS run4 FROM s3),
+    furthest AS (
+      SELECT user_id, CASE WHEN count(run4) > 0 THEN 4 WHEN count(run3) > 0 THEN 3 WHEN count(run2) > 0 THEN 2
+        WHEN count(run1) > 0 THEN 1 END AS step FROM s4 GROUP BY 1),
+    steps (step, name) AS (VALUES (1, 'view'), (2, 'click'), (3, 'signup'), (4, 'purchase')),
+    reached AS (SELECT s.step, name, count(*) AS users FROM steps s JOIN furthest f ON f.step >= s.step GROUP BY 1, 2)
+    SELECT step, name, users, users / CAST((SELECT users FROM reached WHERE step = 1) AS DOUBLE) AS share FROM reached"""
+ORACLES["point_in_time"] = f"""
+    WITH scd AS ({SCD})
+    SELECT o_orderkey AS order_id, o_custkey AS player, CAST(year(o_orderdate) AS INTEGER) AS season, scoring_class, is_active
+    FROM orders LEFT JOIN scd ON player = o_custkey AND year(o_orderdate) BETWEEN start_season AND end_season"""
+ORACLES["history_deltas"] = PLAYER_TABLE
+ORACLES["actives_merged"] = f"""
+    WITH {WEB}
+    SELECT CAST(CAST(date_trunc('month', ts) AS DATE) AS VARCHAR) AS month, url, count(DISTINCT user_id) AS users FROM web GROUP BY 1, 2"""
+ORACLES["actives_trailing"] = f"""
+    WITH {WEB}, days AS (SELECT DISTINCT day + CAST(n AS INTEGER) AS day FROM web, range(7) t (n))
+    SELECT CAST(d.day AS VARCHAR) AS day, host, count(DISTINCT user_id) AS users
+    FROM days d JOIN web w ON w.day BETWEEN d.day - 6 AND d.day WHERE d.day <= (SELECT max(day) FROM web) GROUP BY 1, 2"""
+ORACLES["keyed_upsert"] = f"""
+    WITH {SEASONS} SELECT player, season, gp, pts, c_name AS player_name FROM seasons JOIN customer ON c_custkey = player"""
+_ARRIVED = """
+parts AS (SELECT *, least((day(ts) - 1) // 8, 3) + CASE WHEN event_id % 10 = 0 THEN 1 ELSE 0 END AS part FROM web),
+marks AS (SELECT part, max(max(ts)) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mark FROM parts GROUP BY 1),
+judged AS (SELECT p.*, coalesce(ts < mark - INTERVAL 15 SECOND, false) AS late FROM parts p JOIN marks USING (part))"""
+ORACLES["stream_late_rows"] = f"""
+    WITH {WEB}, {_ARRIVED}
+    SELECT event_id, user_id, host, {STAMP.format("ts")} AS event_timestamp FROM judged WHERE late"""
+ORACLES["stream_all_sessions"] = f"""
+    WITH {WEB}, {_ARRIVED}, {SESSIONS.replace(WEB + ",", "").replace("FROM web)", "FROM judged WHERE NOT late)")}
+    SELECT {SESSION_COLUMNS}, session_end >= (SELECT max(ts) - INTERVAL 15 SECOND FROM web) AS is_open FROM sessions"""
+

@@ -15,7 +15,9 @@ from modelkit.functions import bits
 from modelkit.functions.scalars import band, first_token, mentions, minutes
 from modelkit.functions.skew import salted_join
 from modelkit.operators import (
+    actives,
     arraymetrics,
+    asof,
     cumulative,
     dashboards,
     datelist,
@@ -34,8 +36,8 @@ from modelkit.operators import (
 )
 from modelkit.plans import standins as src
 from modelkit.session import settings
-from modelkit.sources import tables
-from modelkit.streaming import enrich, run
+from modelkit.sources import keyed, tables
+from modelkit.streaming import enrich, run, sessions
 from modelkit.streaming import windows as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -917,3 +919,102 @@ def key_checks(spark, sf):
 @query
 def missing_periods(spark, sf):
     return quality.missing_periods(src.player_seasons(spark, sf), ["player"], "season")
+
+
+# --- steps, points in time, increments ------------------------------------------------------------------
+
+FUNNEL_STEPS = ("view", "click", "signup", "purchase")
+
+
+@query
+def funnel_steps(spark, sf):
+    """Four steps within a day, in order; users with many events are cut into hours."""
+    steps = {name: F.col("url") == f"/{name}" for name in FUNNEL_STEPS}
+    furthest = funnel.furthest_steps(src.web_events(spark, sf), steps, "1 day", block=F.date_trunc("hour", "event_time"))
+    return funnel.step_funnel(furthest, steps)
+
+
+@query
+def point_in_time(spark, sf):
+    """Orders with the class their customer had in the season of the order, from the type 2 rows."""
+    orders = tables.read_table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("player"), F.year("o_orderdate").alias("season")
+    )
+    ranges = scd2_backfill(spark, sf)
+    return asof.asof_join(
+        orders, ranges, ["player"], "season", "start_season", "end_season", ["scoring_class", "is_active"], block=lambda at: at
+    )
+
+
+@query
+def history_deltas(spark, sf):
+    """Every period of the player table, rebuilt from one change row per player and season and a few snapshots."""
+    base = src.scratch(spark, "history")
+    tables.write_period(src.player_seasons(spark, sf), f"{base}/changes", "season")
+    changes = spark.read.parquet(f"{base}/changes")
+    first, last = changes.agg(F.min("season"), F.max("season")).first()
+    out, snapshot = None, None
+    for at in range(first, last + 1):
+        period = cumulative.snapshot_at(snapshot, changes, PLAYER, at)
+        if (at - first) % 3 == 2:
+            period = snapshot = tables.stored(period, f"{base}/snapshot-{at}")
+        out = period if out is None else out.unionByName(period)
+    text = F.transform("season_stats", lambda s: F.concat_ws(":", s["season"], s["gp"]))
+    return as_text(out.withColumn("season_stats", text))
+
+
+@query
+def actives_merged(spark, sf):
+    """Distinct users per month and page from daily bitmaps that were filled in two loads."""
+    events = src.web_events(spark, sf)
+    half = F.dayofmonth("event_time") <= 15
+    days = actives.add_bitmaps(actives.daily_bitmaps(events.where(half), ["url", "host"]), actives.daily_bitmaps(events.where(~half), ["url", "host"]))
+    return as_text(actives.distinct_users(days, [F.to_date(F.trunc("day", "month")).alias("month"), "url"]))
+
+
+@query
+def actives_trailing(spark, sf):
+    """Distinct users of the seven days up to each day, per host."""
+    return as_text(actives.trailing_users(actives.daily_bitmaps(src.web_events(spark, sf), ["host"]), 7, ["host"]))
+
+
+@query
+def keyed_upsert(spark, sf):
+    """Player seasons in a keyed table: the first load without the last season, then that season with a correction of the one
+    before, which is brought in twice as a repeated batch would be."""
+    path = src.scratch(spark, "keyed")
+    seasons, last = src.player_seasons(spark, sf), last_season(spark, sf)
+    wrong = F.when(F.col("season") == last - 1, F.lit(0)).otherwise(F.col("gp"))
+    write = keyed.keyed_writer(path, ["player", "season"], file_rows=1000)
+    write(seasons.where(F.col("season") < last).withColumn("gp", wrong.cast("long")), 0)
+    for _ in range(2):
+        write(seasons.where(F.col("season") >= last - 1), 1)
+    return keyed.read_keyed(spark, path).select("player", "season", "gp", "pts", "player_name")
+
+
+def _arrivals(spark: SparkSession, sf: str) -> str:
+    """The event log run through the session writer as it arrives: a quarter of the month at a time, every tenth event a
+    quarter late."""
+    base = src.scratch(spark, "sessions")
+    log = src.web_events(spark, sf).withColumn("event_timestamp", F.col("event_time").cast("timestamp")).drop("event_time")
+    quarter = F.least(F.floor((F.dayofmonth("event_timestamp") - 1) / 8), F.lit(3))
+    arrives = F.when(F.col("event_id") % 10 == 0, quarter + 1).otherwise(quarter).cast("int")
+    part = log.withColumn("part", arrives)
+    write = sessions.session_writer(f"{base}/out", ["user_id", "host"], "30 minutes")
+    for number in range(5):
+        part.where(F.col("part") == number).drop("part").write.parquet(f"{base}/in/part={number}")
+        stream = spark.readStream.schema(log.schema).parquet(f"{base}/in/part=*")
+        run.finish(stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start(), 3600)
+    return f"{base}/out"
+
+
+@query
+def stream_all_sessions(spark, sf):
+    """Closed sessions of a stream and, flagged, those that are open when the input ends."""
+    return as_text(sessions.all_sessions(spark, _arrivals(spark, sf)))
+
+
+@query
+def stream_late_rows(spark, sf):
+    """Events that the watermark had passed when they arrived."""
+    return as_text(sessions.late_rows(spark, _arrivals(spark, sf)).select("event_id", "user_id", "host", "event_timestamp"))
