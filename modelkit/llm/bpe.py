@@ -223,7 +223,7 @@ def unicode_spaces(pattern: str) -> str:
 
 
 def cutters(pattern: str):
-    """Two functions: a text to its units in order, and a unit to its pre-tokens.
+    """Two functions: a text to its first unit and its later ones, which a space precedes, and a unit to its pre-tokens.
 
     Under the published pattern a single space between words begins a pre-token, so texts are cut there
     first and repeated units are matched once. Under others a text is one unit.
@@ -233,12 +233,12 @@ def cutters(pattern: str):
     if pattern != PATTERN:
         if regex.compile(pattern).groups:
             raise ValueError("the pattern must not capture groups")
-        return lambda text: [text], find
+        return lambda text: (text, []), find
     cut, _ = cutter([])
 
-    def units(text: str) -> list[str]:
+    def units(text: str) -> tuple[str, list[str]]:
         later, first, _ = cut(text)
-        return first + [" " + u for u in later]
+        return first[0], later
 
     return units, find
 
@@ -253,22 +253,25 @@ def common_words(docs: DataFrame, merges: Merges, pattern: str, common: int) ->
 
     def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units, find = cutters(pattern)
-        held: Counter[str] = Counter()
+        firsts, held = Counter(), Counter()
 
         def rows() -> pa.RecordBatch:
-            total, seen = sum(held.values()), Counter()
-            for unit, n in held.items():
-                if n * common >= total:
-                    for piece in find(unit):
-                        seen[piece] += n
-            held.clear()
+            total, seen = sum(held.values()) + sum(firsts.values()), Counter()
+            for lead, counts in ((" ", held), ("", firsts)):
+                for unit, n in counts.items():
+                    if n * common >= total:
+                        for piece in find(lead + unit):
+                            seen[piece] += n
+                counts.clear()
             return pa.RecordBatch.from_arrays([pa.array([None, *seen], pa.string()), pa.array([total, *seen.values()], pa.int64())], ["piece", "n"])
 
         for batch in chunks(batches):
             for text in batch.column("text").to_pylist():
                 if text:
-                    held.update(units(text))
-            if len(held) >= HELD:
+                    first, later = units(text)
+                    firsts[first] += 1
+                    held.update(later)
+            if len(held) + len(firsts) >= HELD:
                 yield rows()
         yield rows()
 
@@ -296,14 +299,40 @@ def gathered(ids: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> tuple[np.
     return ids[at], size
 
 
-def encode(docs: DataFrame, tokens: list[bytes], pattern: str, key: str = "doc_id", common: int = COMMON) -> DataFrame:
-    """(key, ids): the token ids of the whole text of every row of ``docs``.
+def flat_tokens(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all tokens end to end, where each begins, and how many it has."""
+    size = np.array([len(t) for t in tokens], np.int64)
+    return np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(size) - size, size
+
+
+def decode_runs(flat: tuple[np.ndarray, np.ndarray, np.ndarray], ids: np.ndarray, spans: np.ndarray) -> list[bytes]:
+    """The bytes of each of the runs of ids between neighbouring ``spans``, about half a million ids at a time."""
+    data, begin, size = flat
+    out: list[bytes] = []
+    cuts = np.flatnonzero(np.r_[True, np.diff(spans[:-1] >> 19) > 0, True]).tolist() if len(spans) > 1 else []
+    for s, e in zip(cuts, cuts[1:], strict=False):
+        run = ids[spans[s] : spans[e]]
+        sizes = size[run]
+        at = np.repeat(begin[run] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        made = data[at].tobytes()
+        total = np.r_[0, np.cumsum(sizes)]
+        ends = total[spans[s : e + 1] - spans[s]].tolist()
+        out += [made[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+    return out
+
+
+def encode(
+    docs: DataFrame, tokens: list[bytes], pattern: str, key: str = "doc_id", common: int = COMMON, decoded: bool = False
+) -> DataFrame:
+    """(key, ids): the token ids of the whole text of every row of ``docs``; with ``decoded`` also the bytes that these ids
+    stand for, made as ``decode`` does.
 
     Each match of the pattern is encoded by itself; special tokens do not exist. Null and empty texts have no ids.
     The key may be null or repeated; other columns are ignored; an empty table gives an empty result. What
     ``common`` is changes the work, not the ids.
     """
-    merges = Merges(tokens)
+    merges, flat_bytes = Merges(tokens), flat_tokens(tokens)
+    names = ["key", "ids", "decoded"][: 3 if decoded else 2]
     kind = docs.schema[key].dataType.simpleString()
     table = common_words(docs, merges, pattern, common).toArrow()
     pieces = table.column("piece").to_pylist()
@@ -316,7 +345,7 @@ def encode(docs: DataFrame, tokens: list[bytes], pattern: str, key: str = "doc_i
         merges, often, often_ids, often_sizes = shared.value
         units, find = cutters(pattern)
         known = {p: i for i, p in enumerate(often)}
-        # Units met so far, and their ids laid end to end.
+        # Later units met so far, and the ids of all units laid end to end.
         code: dict[str, int] = {}
         ids, sizes = np.zeros(0, np.int32), np.zeros(0, np.int64)
 
@@ -333,53 +362,61 @@ def encode(docs: DataFrame, tokens: list[bytes], pattern: str, key: str = "doc_i
             return made, total[ends] - total[np.r_[0, ends[:-1]]]
 
         for batch in chunks(batches, limit=REPLAY_BYTES):
-            parts = [units(t) if t else [] for t in batch.column("text").to_pylist()]
-            new = list({u for p in parts for u in p if u not in code})
-            if new:
-                code.update(zip(new, range(len(code), len(code) + len(new)), strict=True))
-                more, counts = learn(new)
-                ids, sizes = np.r_[ids, more], np.r_[sizes, counts]
-            out, counts = gathered(ids, sizes, np.array([code[u] for p in parts for u in p], np.int64))
+            firsts: list[str] = []
+            flat: list[str] = []
+            ends = [0]
+            for text in batch.column("text").to_pylist():
+                if text:
+                    first, later = units(text)
+                    firsts.append(first)
+                    # A text's first unit stands for itself: its number is filled in below.
+                    flat.append("")
+                    flat += later
+                ends.append(len(flat))
+            filled = np.array(ends[:-1], np.int64)[np.diff(ends) > 0]
+            found = list(map(code.get, flat))
+            found_at = np.array([-1 if c is None else c for c in found], np.int64)
+            found_at[filled] = 0
+            lacking = np.flatnonzero(found_at < 0).tolist()
+            new = list({flat[i] for i in lacking})
+            code.update(zip(new, range(len(sizes), len(sizes) + len(new)), strict=True))
+            for i in lacking:
+                found_at[i] = code[flat[i]]
+            found_at[filled] = np.arange(len(sizes) + len(new), len(sizes) + len(new) + len(firsts))
+            del found, flat
+            more, counts = learn([" " + u for u in new] + firsts)
+            all_ids, all_sizes = np.r_[ids, more], np.r_[sizes, counts]
+            out, counts = gathered(all_ids, all_sizes, found_at)
+            # First units are not remembered.
+            sizes = all_sizes[: len(sizes) + len(new)]
+            ids = all_ids[: int(sizes.sum())]
             total = np.r_[0, np.cumsum(counts)]
-            ends = total[np.r_[0, np.cumsum([len(p) for p in parts])]].astype(np.int32)
-            del parts, new
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.ListArray.from_arrays(pa.array(ends), pa.array(out))], ["key", "ids"])
+            spans = total[np.array(ends, np.int64)]
+            columns = [batch.column("key"), pa.ListArray.from_arrays(pa.array(spans.astype(np.int32)), pa.array(out))]
+            if decoded:
+                columns.append(pa.array(decode_runs(flat_bytes, out, spans), pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names)
             if len(code) > HELD:
                 code = {}
                 ids, sizes = np.zeros(0, np.int32), np.zeros(0, np.int64)
 
-    made = docs.select(F.col(key).alias("key"), "text").mapInArrow(run, f"key {kind}, ids array<int>")
+    schema = f"key {kind}, ids array<int>" + (", decoded binary" if decoded else "")
+    made = docs.select(F.col(key).alias("key"), "text").mapInArrow(run, schema)
     return made.withColumnRenamed("key", key)
 
 
 def decode(encoded: DataFrame, tokens: list[bytes], ids: str = "ids", name: str = "decoded") -> DataFrame:
     """Add the bytes that the token ids stand for; null ids give null. Other columns stay as they are."""
-    flat = np.frombuffer(b"".join(tokens), np.uint8)
-    size = np.array([len(t) for t in tokens], np.int64)
-    begin = np.cumsum(size) - size
+    flat = flat_tokens(tokens)
     rest = [c for c in encoded.columns if c != name]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            # Pieces of bounded size: about half a million ids, or one row.
-            lists = whole.column(ids)
+        for batch in batches:
+            lists = batch.column(ids)
             counts = np.array(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), np.int64)
-            part = np.cumsum(counts) >> 19
-            cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), whole.num_rows]
-            for s, e in zip(cuts, cuts[1:], strict=False):
-                if e <= s:
-                    continue
-                batch = whole.slice(s, e - s)
-                column = batch.column(ids)
-                values = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                sizes = size[values]
-                at = np.repeat(begin[values] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-                data = flat[at].tobytes()
-                total = np.r_[0, np.cumsum(sizes)]
-                ends = total[np.r_[0, np.cumsum(counts[s:e])]].tolist()
-                valid = column.is_valid().to_pylist()
-                out = [data[a:b] if ok else None for a, b, ok in zip(ends, ends[1:], valid, strict=False)]
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(out, pa.binary())], [*rest, name])
+            runs = decode_runs(flat, lists.flatten().to_numpy(zero_copy_only=False), np.r_[0, np.cumsum(counts)])
+            out = [r if ok else None for r, ok in zip(runs, lists.is_valid().to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(out, pa.binary())], [*rest, name])
 
     kinds = [f"`{c}` {encoded.schema[c].dataType.simpleString()}" for c in rest]
     return encoded.select(*rest).mapInArrow(run, ", ".join([*kinds, f"`{name}` binary"]))

@@ -118,9 +118,8 @@ def op13_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ranks = bpe.read_ranks(public_tokenizers.path(RANKS))
-    encoded = bpe.encode(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    decoded = bpe.decode(encoded, ranks)
-    return decoded.select(
+    made = bpe.encode(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, decoded=True)
+    return made.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

@@ -472,6 +472,10 @@ def test_bpe_cases(spark, messy):
         got = bpe.decode(bpe.encode(table(spark, rows), tokens_, pattern, common=common), tokens_).collect()
         want = [(i, model.encode_ordinary(t or ""), (t or "").encode()) for i, t, _ in rows]
         assert sorted(str((r["doc_id"], list(r["ids"]), bytes(r["decoded"]))) for r in got) == sorted(map(str, want))
+        both = bpe.encode(table(spark, rows), tokens_, pattern, common=common, decoded=True).collect()
+        assert sorted(map(str, both)) == sorted(map(str, got))
+    null = spark.createDataFrame([(1, None), (2, []), (3, [0, 1])], "doc_id long, ids array<int>")
+    assert [r["decoded"] for r in bpe.decode(null, tokens_).orderBy("doc_id").collect()] == [None, b"", tokens_[0] + tokens_[1]]
     other = r"\p{L}+|[^\s\p{L}]|\s"
     model = tiktoken.Encoding("other", pat_str=other, mergeable_ranks={t: r for r, t in enumerate(tokens_)}, special_tokens={})
     got = {r["doc_id"]: list(r["ids"]) for r in bpe.encode(table(spark, rows[-16:]), tokens_, other).collect()}
