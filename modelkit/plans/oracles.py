@@ -6,6 +6,8 @@ prefixes, calendars instead of array arithmetic, range conditions instead of buc
 
 from __future__ import annotations
 
+import math
+
 SEASONS = """
 seasons AS (
   SELECT o_custkey AS player, CAST(year(o_orderdate) AS INTEGER) AS season, count(*) AS gp,
@@ -331,7 +333,7 @@ FROM web GROUP BY ALL
 
 ACTIVES = """
 SELECT '{0}' AS dimension, {1} AS member, count(DISTINCT user_id) AS users
-FROM web WHERE ts >= TIMESTAMP '2024-01-08' AND referrer IS NOT NULL GROUP BY ALL HAVING count(DISTINCT user_id) <= 56083
+FROM web WHERE ts >= (SELECT max(day) FROM web) - 22 AND referrer IS NOT NULL GROUP BY ALL HAVING count(DISTINCT user_id) <= 56083
 """
 
 
@@ -700,7 +702,7 @@ ORACLES: dict[str, str] = {
         FROM kept GROUP BY 1, 2""",
     "freshness": f"""
         SELECT {STAMP.format("max(ts)")} AS latest, count(*) AS num_rows,
-               max(ts) < TIMESTAMP '2024-01-31' AS is_late, count(*) < 1000 AS is_short
+               max(ts) < (SELECT max(CAST(ts AS DATE)) FROM events) + 1 AS is_late, count(*) < 1000 AS is_short
         FROM events""",
     "schema_conformance": f"""
         WITH {WEB}
@@ -788,3 +790,43 @@ ORACLES["stream_all_sessions"] = f"""
     WITH {WEB}, {_ARRIVED}, {SESSIONS.replace(WEB + ",", "").replace("FROM web)", "FROM judged WHERE NOT late)")}
     SELECT {SESSION_COLUMNS}, session_end >= (SELECT max(ts) - INTERVAL 15 SECOND FROM web) AS is_open FROM sessions"""
 
+
+def _poisson(unit: str, replicate: str, seed: str) -> str:
+    """Sum of the steps at which the distribution function of Poisson(1) passes a uniform hash."""
+    uniform = f"CAST('0x' || substr(md5('{seed}:' || {replicate} || ':' || {unit}), 1, 8) AS UBIGINT)"
+    seen, term, steps = 0.0, math.exp(-1), []
+    for k in range(1, 10):
+        seen += term
+        steps.append(f"CASE WHEN {uniform} >= {int(seen * (1 << 32))} THEN 1 ELSE 0 END")
+        term /= k
+    return " + ".join(steps)
+
+
+ORACLES["prefix_lookup"] = f"""
+    WITH {WEB}, prefixes AS (
+      SELECT 167772160 + n_nationkey * 524288 AS low, 524288 AS size, n_name AS place FROM nation
+      UNION ALL SELECT 167772160 + (n_nationkey * 8 + n_nationkey % 8) * 65536, 65536, n_name || ' city' FROM nation
+      UNION ALL SELECT 167772160 + (n_nationkey * 8 + n_nationkey % 8) * 65536, 256, n_name || ' street' FROM nation WHERE n_nationkey % 2 = 0)
+    SELECT event_id, ip, arg_min(place, size) AS place FROM web LEFT JOIN prefixes ON ip_number >= low AND ip_number < low + size GROUP BY 1, 2"""
+ORACLES["layout_skipping"] = """
+    SELECT l_orderkey, l_linenumber, l_partkey, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS l_shipdate FROM lineitem
+    WHERE l_partkey BETWEEN (SELECT max(l_partkey) FROM lineitem) // 4 AND (SELECT max(l_partkey) FROM lineitem) // 2
+      AND CAST(l_shipdate AS DATE) BETWEEN (SELECT max(CAST(l_shipdate AS DATE)) FROM lineitem) - 400 AND (SELECT max(CAST(l_shipdate AS DATE)) FROM lineitem) - 200"""
+ORACLES["differing_keys"] = f"""
+    WITH {SEASONS}
+    SELECT player, season, CASE WHEN player % 50 = 7 THEN 'left' ELSE 'changed' END AS kind FROM seasons WHERE player % 50 = 7 OR player % 31 = 3
+    UNION ALL SELECT player, season + 100, 'right' FROM seasons WHERE player % 41 = 5"""
+ORACLES["bootstrap_readout"] = f"""
+    WITH {WEB}, users AS (
+      SELECT user_id, count(*) FILTER (url = '/purchase') AS y, count(*) FILTER (url = '/click') AS x, {ONBOARDING} AS variant
+      FROM web WHERE user_id IS NOT NULL GROUP BY user_id),
+    drawn AS (SELECT *, CASE WHEN r = 0 THEN 1 ELSE {_poisson("user_id", "r", "bootstrap")} END AS w FROM users, range(101) t (r)),
+    sums AS (SELECT variant, r, CAST(sum(w) AS DOUBLE) AS n, CAST(sum(w * y) AS DOUBLE) AS y, CAST(sum(w * x) AS DOUBLE) AS x,
+      CAST(sum(w * x * y) AS DOUBLE) AS xy, CAST(sum(w * x * x) AS DOUBLE) AS xx FROM drawn GROUP BY ALL),
+    slope AS (SELECT (sum(xy) - sum(x) * sum(y) / sum(n)) / (sum(xx) - sum(x) * sum(x) / sum(n)) AS b FROM sums WHERE r = 0),
+    apart AS (SELECT s.variant, s.r, s.n, s.y / s.n - c.y / c.n AS difference, s.y / s.n - c.y / c.n - b * (s.x / s.n - c.x / c.n) AS adjusted
+      FROM sums s JOIN sums c ON c.r = s.r AND c.variant = 'control' CROSS JOIN slope WHERE s.variant <> 'control')
+    SELECT 'onboarding' AS experiment, variant, CAST(max(n) FILTER (r = 0) AS BIGINT) AS units, round(max(difference) FILTER (r = 0), 8) AS difference,
+           round(max(adjusted) FILTER (r = 0), 8) AS adjusted, round(quantile_cont(adjusted, 0.025) FILTER (r > 0), 8) AS low,
+           round(quantile_cont(adjusted, 0.975) FILTER (r > 0), 8) AS high FROM apart GROUP BY variant"""
+

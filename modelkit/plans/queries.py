@@ -28,6 +28,7 @@ from modelkit.operators import (
     geo,
     graph,
     growth,
+    hashtree,
     matches,
     quality,
     rollup,
@@ -36,7 +37,7 @@ from modelkit.operators import (
 )
 from modelkit.plans import standins as src
 from modelkit.session import settings
-from modelkit.sources import keyed, tables
+from modelkit.sources import keyed, layout, tables
 from modelkit.streaming import enrich, run, sessions
 from modelkit.streaming import windows as streaming
 
@@ -568,7 +569,7 @@ def monthly_actives_by_referrer(spark, sf):
 @query
 def actives_by_dim(spark, sf):
     rows = src.web_augmented(spark, sf)
-    since = F.col("event_time") >= F.lit("2024-01-08").cast("timestamp_ntz")
+    since = F.col("event_time") >= F.lit(last_day(spark, sf) - dt.timedelta(days=22)).cast("timestamp_ntz")
     keep = since & F.col("referrer").isNotNull()
     dims = ["referrer", "os_type", "browser_type"]
     return dashboards.actives_by(rows, dims, where=keep, min_users=1, max_users=56_083)
@@ -693,8 +694,8 @@ def csv_round_trip(spark, sf):
     """Events written as CSV and read back with the declared types."""
     events = tables.read_table(spark, sf, "events").select("event_id", "user_id", "event_type", F.col("props"))
     path = f"{src.scratch(spark, 'csv')}/events"
-    events.write.option("header", True).option("escape", '"').csv(path)
-    return spark.read.schema(events.schema).option("header", True).option("escape", '"').csv(path)
+    tables.write_csv(events, path)
+    return tables.read_csv(spark, path, events.schema)
 
 
 @query
@@ -702,11 +703,9 @@ def partition_overwrite(spark, sf):
     """A table partitioned by season, appended to, and its last season overwritten by corrected rows."""
     seasons, last = src.player_seasons(spark, sf).select("player", "gp", "season"), last_season(spark, sf)
     path = f"{src.scratch(spark, 'partitions')}/seasons"
-    seasons.where(F.col("season") < last).write.partitionBy("season").parquet(path)
-    seasons.where(F.col("season") == last).write.mode("append").partitionBy("season").parquet(path)
-    corrected = seasons.where(F.col("season") == last).withColumn("gp", F.col("gp") * 2)
-    with settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
-        corrected.write.mode("overwrite").partitionBy("season").parquet(path)
+    for part in (seasons.where(F.col("season") < last), seasons.where(F.col("season") == last)):
+        tables.write_period(part, path, "season")
+    tables.write_period(seasons.where(F.col("season") == last).withColumn("gp", F.col("gp") * 2), path, "season")
     return spark.read.schema(seasons.schema).parquet(path)
 
 
@@ -871,7 +870,8 @@ def retention_readout(spark, sf):
 
 @query
 def freshness(spark, sf):
-    return as_text(quality.freshness(src.web_events(spark, sf), "event_time", "2024-01-31 00:00:00", 1000))
+    due = last_day(spark, sf) + dt.timedelta(days=1)
+    return as_text(quality.freshness(src.web_events(spark, sf), "event_time", f"{due} 00:00:00", 1000))
 
 
 @query
@@ -1018,3 +1018,53 @@ def stream_all_sessions(spark, sf):
 def stream_late_rows(spark, sf):
     """Events that the watermark had passed when they arrived."""
     return as_text(sessions.late_rows(spark, _arrivals(spark, sf)).select("event_id", "user_id", "host", "event_timestamp"))
+
+
+# --- lookups, layouts, comparisons --------------------------------------------------------------------
+
+
+@query
+def prefix_lookup(spark, sf):
+    """Events with the longest of the nested prefixes that hold their address: a /13 per nation, and /16 and /24 within some."""
+    n = F.col("n_nationkey")
+    of = lambda second, third, length: F.concat(F.lit("10."), second.cast("string"), F.lit("."), third.cast("string"), F.lit(f".0/{length}"))
+    nation = tables.read_table(spark, sf, "nation")
+    parts = [
+        nation.select(of(n * 8, F.lit(0), 13).alias("prefix"), F.col("n_name").alias("place")),
+        nation.select(of(n * 8 + n % 8, F.lit(0), 16).alias("prefix"), F.concat("n_name", F.lit(" city")).alias("place")),
+        nation.where(n % 2 == 0).select(of(n * 8 + n % 8, F.lit(0), 24).alias("prefix"), F.concat("n_name", F.lit(" street")).alias("place")),
+    ]
+    prefixes = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return geo.prefix_lookup(src.web_events(spark, sf).select("event_id", "ip"), prefixes, ["place"])
+
+
+@query
+def layout_skipping(spark, sf):
+    """Line items of a range of parts and ship dates, from a Morton layout, opening only files that may hold some."""
+    base = src.scratch(spark, "morton")
+    lines = tables.read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.to_date("l_shipdate").alias("l_shipdate"))
+    keys = ["l_partkey", "l_shipdate"]
+    layout.write_morton(lines, f"{base}/rows", keys, 16)
+    layout.write_file_ranges(spark, f"{base}/rows", keys, f"{base}/ranges")
+    top, day = lines.agg(F.max("l_partkey"), F.max("l_shipdate")).first()
+    bounds = {"l_partkey": (top // 4, top // 2), "l_shipdate": (day - dt.timedelta(days=400), day - dt.timedelta(days=200))}
+    return as_text(layout.read_within(spark, f"{base}/rows", spark.read.parquet(f"{base}/ranges"), bounds))
+
+
+@query
+def differing_keys(spark, sf):
+    """Player seasons against a copy in which some are missing, some are new and some have other points."""
+    seasons = src.player_seasons(spark, sf).select("player", "season", "gp")
+    other = seasons.where(F.col("player") % 50 != 7).withColumn("gp", F.when(F.col("player") % 31 == 3, F.col("gp") + 1).otherwise(F.col("gp")))
+    more = seasons.where(F.col("player") % 41 == 5).withColumn("season", F.col("season") + 100)
+    return hashtree.differing_keys(seasons, other.unionByName(more), ["player", "season"], bits=12)
+
+
+@query
+def bootstrap_readout(spark, sf):
+    """Purchases per user by variant, adjusted by the clicks of the user, with intervals from hashed Poisson weights."""
+    of = lambda url: F.count_if(F.col("url") == url)
+    users = src.web_events(spark, sf).where(F.col("user_id").isNotNull()).groupBy("user_id").agg(of("/purchase").alias("purchases"), of("/click").alias("clicks"))
+    assigned = experiments.assign_variants(users, "onboarding", experiments.THREE_WAY)
+    out = experiments.bootstrap_readout(assigned, "purchases", "clicks", replicates=100)
+    return out.select("experiment", "variant", "units", *[F.round(c, 8).alias(c) for c in ("difference", "adjusted", "low", "high")])

@@ -17,8 +17,13 @@ from modelkit.session import scratch_dir, settings
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header and a declared schema: one pass, no inference scan."""
-    return spark.read.schema(schema).csv(path, header=True)
+    """CSV with a header and a declared schema: one pass, no inference scan. Quotes inside values are doubled."""
+    return spark.read.schema(schema).csv(path, header=True, escape='"')
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """CSV as ``read_csv`` takes it."""
+    df.write.csv(path, header=True, escape='"')
 
 
 def read_csv_text(spark: SparkSession, path: str, day_of: str | None = None, day: str = "event_date") -> DataFrame:
