@@ -1,26 +1,30 @@
 """Personal data: exact base patterns, and a conditional random field over word shapes that adds spans.
 
-The field is trained on a small labelled table of lines (``training_table`` builds one from the texts, a
-caller may bring a hand-labelled one). Each task tags whole batches: sentences are the chains, every word
-is reduced to a few shape features, and Viterbi runs over all chains of a batch at once. Rows are tagged
+The field is trained on a small hand-labelled table of lines (``hand_labelled``; a caller may bring another, or have
+``training_table`` label lines of the texts by the base patterns). It adds what the patterns do not know: names, addresses, dates of
+birth, spaced and bracketed numbers, spelled-out mail. Each task tags whole batches: sentences are the chains, every word
+is reduced to a few shape features and those of its neighbours, and Viterbi runs over all chains of a batch at once. Rows are tagged
 one by one, so nothing is shuffled.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator, Sequence
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modelkit.llm import crf
+from modelkit.llm.pii_lines import CUES, LINES
 from modelkit.llm.common import Words, chunks, words_of
 
 KINDS = ("email", "ip", "card", "phone")
-LABELS = ("none", *KINDS)
+LABELS = ("none", *KINDS, "person", "address", "birth")
 # Documents with base spans, and lines of them, that the training table is built from at most.
 TRAIN_DOCS, TRAIN_LINES, TRAIN_WORDS = 400, 600, 60
 
@@ -112,6 +116,62 @@ def shape_features(codes: np.ndarray) -> np.ndarray:
     return np.concatenate([*blocks, np.stack(mixed, 1).astype(float)], 1)
 
 
+@cache
+def _cue_hashes() -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all spellings of the cues, in order, and the number of each one's kind."""
+    spelled = {}
+    for kind, words in enumerate(CUES.values(), 1):
+        for word in words.split():
+            for form in (word, word.capitalize(), word.upper()):
+                for mark in ("", ".", ",", ":", ";", ".:"):
+                    spelled.setdefault(form + mark, kind)
+    w = words_of(pa.array(list(spelled)))
+    order = np.argsort(w.hashes())
+    return w.hashes()[order], np.array(list(spelled.values()))[order]
+
+
+def cues(w: Words) -> np.ndarray:
+    """Number of the kind of cue that each word is, 0 for others."""
+    known, kind = _cue_hashes()
+    hashes = w.hashes()
+    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+    return np.where(known[at] == hashes, kind[at], 0)
+
+
+def contexts(w: Words, cue: np.ndarray) -> np.ndarray:
+    """A small number per word that says what its neighbours see: cue, digits, and whether it begins with a capital letter."""
+    lead, second = w.data[w.starts], w.data[np.minimum(w.starts + 1, max(len(w.data) - 1, 0))] if len(w.starts) else w.data[:0]
+    capital = (lead >= 65) & (lead <= 90) | (lead == 0xC3) & (second >= 0x80) & (second <= 0x9E)
+    total = np.concatenate([[0], np.cumsum(_CLASS["digit"][w.data])])
+    digits = total[w.ends] > total[w.starts]
+    return cue * 4 + digits * 2 + capital
+
+
+# Contexts are below this number; the next one stands for no neighbour in the line.
+CONTEXTS = 4 * (len(CUES) + 1)
+
+
+def neighbours(w: Words, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Contexts of the word before and after each word in its line."""
+    lines = np.concatenate([[0], np.cumsum(w.data == 10)])
+    before, after = np.full(len(context), CONTEXTS), np.full(len(context), CONTEXTS)
+    if len(context) > 1:
+        near = (w.row[1:] == w.row[:-1]) & (lines[w.starts[1:]] == lines[w.ends[:-1]])
+        before[1:][near], after[:-1][near] = context[:-1][near], context[1:][near]
+    return before, after
+
+
+def context_features() -> np.ndarray:
+    """Features of every context, the one for no neighbour last."""
+    numbers = np.arange(CONTEXTS)
+    out = np.zeros((CONTEXTS + 1, len(CUES) + 4))
+    out[numbers, numbers // 4] = 1
+    out[numbers, len(CUES) + 1] = numbers // 2 % 2
+    out[numbers, len(CUES) + 2] = numbers % 2
+    out[CONTEXTS, len(CUES) + 3] = 1
+    return out
+
+
 def sentences(w: Words) -> np.ndarray:
     """Words per chain: a chain ends with its line or text, or after a word that ends in . ! or ? and has letters or no digits."""
     if len(w.starts) == 0:
@@ -124,6 +184,17 @@ def sentences(w: Words) -> np.ndarray:
     return np.diff(np.r_[-1, np.flatnonzero(last)])
 
 
+def widths() -> list[int]:
+    """Features of a word's shape, and of the contexts of itself, the word before and the word after."""
+    return [shape_features(np.zeros(1, np.int64)).shape[1], *[context_features().shape[1]] * 3]
+
+
+def word_features(w: Words) -> np.ndarray:
+    context = contexts(w, cues(w))
+    of_context = context_features()
+    return np.concatenate([shape_features(shapes(w)), *(of_context[c] for c in (context, *neighbours(w, context)))], 1)
+
+
 def tag(chain: crf.Chain, w: Words) -> np.ndarray:
     """Label number of every word.
 
@@ -134,20 +205,45 @@ def tag(chain: crf.Chain, w: Words) -> np.ndarray:
     lengths = sentences(w)
     if len(lengths) == 0:
         return labels
+    context = contexts(w, cues(w))
+    before, after = neighbours(w, context)
     code, which = np.unique(shapes(w), return_inverse=True)
-    scores = shape_features(code) @ chain.emit
+    parts = np.split(chain.emit, np.cumsum(widths())[:-1])
+    of_context = context_features()
+    scores = (shape_features(code) @ parts[0])[which]
+    for part, seen in zip(parts[1:], (context, before, after), strict=True):
+        scores += (of_context @ part)[seen]
     margin = scores[:, 0] - scores[:, 1:].max(1)
     gain = 2 * max(0.0, chain.move.max() - chain.move[0, 0]) + max(0.0, chain.start.max() - chain.start[0])
     first = np.cumsum(lengths) - lengths
-    open_ = np.logical_or.reduceat((margin <= gain)[which], first)
+    open_ = np.logical_or.reduceat(margin <= gain, first)
     at = np.flatnonzero(np.repeat(open_, lengths))
-    labels[at] = chain.decode(scores[which[at]], lengths[open_])
+    labels[at] = chain.decode(scores[at], lengths[open_])
     return labels
 
 
 # --- training -----------------------------------------------------------------------------------------
 
 
+def labelled_lines(lines: Sequence[str]) -> list[tuple[str, list[int]]]:
+    """(line, labels) of lines in which spans are marked as [kind|words]; labels are one number per word."""
+    rows = []
+    for line in lines:
+        words: list[str] = []
+        labels: list[int] = []
+        for plain, kind, marked in re.findall(r"([^\[]*)(?:\[([a-z]+)\|([^\]]*)\])?", line):
+            for part, label in ((plain, 0), (marked, LABELS.index(kind) if kind else 0)):
+                words += part.split()
+                labels += [label] * len(part.split())
+        rows.append((" ".join(words), labels))
+    return rows
+
+
+def hand_labelled(spark: SparkSession) -> DataFrame:
+    """The labelled table that comes with the library: (line, labels)."""
+    return spark.createDataFrame(labelled_lines(LINES), "line string, labels array<long>")
+
+
 def training_table(docs: DataFrame, docs_at_most: int = TRAIN_DOCS) -> DataFrame:
     """A small labelled table (line, labels): up to ``docs_at_most`` texts with base spans, cut into lines.
 
@@ -163,10 +259,10 @@ def training_table(docs: DataFrame, docs_at_most: int = TRAIN_DOCS) -> DataFrame
                 for line in text.split("\n"):
                     words = list(re.finditer(r"[^\x20\x09-\x0D]+", line))
                     tags = [0] * len(words)
+                    begins, ends = [m.start() for m in words], [m.end() for m in words]
                     for s, kind, e in base_spans(line):
-                        for i, m in enumerate(words):
-                            if m.start() < e and m.end() > s:
-                                tags[i] = kind + 1
+                        for i in range(bisect_right(ends, s), bisect_left(begins, e)):
+                            tags[i] = kind + 1
                     near = [i for i, m in enumerate(words) if tags[i] or LOOKS_DIGITAL.search(m[0]) or "@" in m[0]]
                     if near:
                         begin = max(0, near[0] - TRAIN_WORDS // 2)
@@ -195,14 +291,25 @@ def train(table: DataFrame, lines_at_most: int = TRAIN_LINES) -> crf.Chain | Non
     if len(labels) != len(w.starts):
         raise ValueError("a line's labels must be as many as its words")
     lengths = sentences(w)
-    return crf.fit(shape_features(shapes(w)), labels, np.repeat(np.arange(len(lengths)), lengths), len(LABELS))
+    return crf.fit(word_features(w), labels, np.repeat(np.arange(len(lengths)), lengths), len(LABELS))
 
 
 # --- finding ------------------------------------------------------------------------------------------
 
 
+def plausible(kind: str, piece: str) -> bool:
+    """What a span of each kind has at least: runs of repeated words and the like are none."""
+    digits, words = sum(c.isdigit() for c in piece), piece.split()
+    if kind == "person":
+        return len(words) <= 5 and len(set(words)) == len(words) and all(c.isalpha() or c in " .'’-" for c in piece)
+    if kind == "email":
+        return "@" in piece or {"at", "dot"} <= {w.strip("()[]").lower() for w in words}
+    return digits >= {"ip": 4, "card": 12, "phone": 7, "birth": 4, "address": 1}[kind] and len(words) <= 10
+
+
 def added_spans(text: str, words: list[tuple[int, int, int]], base: list[tuple[int, int, int]]) -> list[tuple[int, str, int]]:
-    """Spans of tagged words (start byte, end byte, label): neighbours of one label are one span, free of edge marks and of base spans."""
+    """Spans of tagged words (start byte, end byte, label): neighbours of one label are one span, free of edge marks and of base spans,
+    if it has what its kind needs."""
     raw = text.encode()
     runs: list[list[int]] = []
     for start, end, label in words:
@@ -210,15 +317,20 @@ def added_spans(text: str, words: list[tuple[int, int, int]], base: list[tuple[i
             runs[-1][1] = end
         else:
             runs.append([start, end, label])
+    # Code points before each byte, and the furthest end of the base spans up to each one.
+    chars = np.concatenate([[0], np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)])
+    begins = [s for s, _, _ in base]
+    reach = np.maximum.accumulate([e for _, _, e in base]).tolist() if base else []
     found = []
     for start, end, label in runs:
         piece = raw[start:end].decode()
         inner = piece.strip(".,;:!?\"'<>[]{}|*#$%&")
-        if not inner:
+        if not inner or not plausible(LABELS[label], inner):
             continue
-        s = len(raw[:start].decode()) + piece.index(inner)
+        s = int(chars[start]) + piece.index(inner)
         e = s + len(inner)
-        if not any(s < be and bs < e for bs, _, be in base):
+        earlier = bisect_left(begins, e)
+        if not (earlier and reach[earlier - 1] > s):
             found.append((s, "crf_" + LABELS[label], e))
     return found
 

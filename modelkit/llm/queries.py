@@ -44,7 +44,7 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    return pii.digest(pii.find(docs, pii.train(pii.training_table(docs))))
+    return pii.digest(pii.find(docs, pii.train(pii.hand_labelled(spark))))
 
 
 @query

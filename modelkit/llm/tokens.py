@@ -34,6 +34,28 @@ PATTERN = (
 HELD = 200_000
 
 
+def check_supported(tokenizer_json: str) -> None:
+    """Raise ValueError unless a tokenizer file cuts texts as this module does: a byte-level BPE with the published pattern, without
+    normalizer, and with special strings that are taken as they stand."""
+    config = json.loads(tokenizer_json)
+    cut, model = config.get("pre_tokenizer") or {}, config.get("model") or {}
+    asked = {
+        "a BPE model": model.get("type", "BPE") == "BPE",
+        "no dropout, prefix, suffix or whole words taken without merges": not any(
+            model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges", "byte_fallback", "unk_token")
+        ),
+        "no normalizer": config.get("normalizer") is None,
+        "byte-level pre-tokens by its own pattern": cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space", True),
+        "no truncation or padding": config.get("truncation") is None and config.get("padding") is None,
+        "special strings taken as they stand": not any(
+            t.get(k) for t in config.get("added_tokens", []) for k in ("single_word", "lstrip", "rstrip", "normalized")
+        ),
+    }
+    lacking = [name for name, met in asked.items() if not met]
+    if lacking:
+        raise ValueError(f"token counts of this tokenizer are not supported; needed: {'; '.join(lacking)}")
+
+
 def special_strings(tokenizer_json: str) -> list[str]:
     """Strings that the tokenizer takes as one token wherever they stand in a text."""
     added = json.loads(tokenizer_json).get("added_tokens", [])
@@ -97,6 +119,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", comm
     """
     with open(tokenizer_path) as file:
         tokenizer_json = file.read()
+    check_supported(tokenizer_json)
     specials = special_strings(tokenizer_json)
     texts = docs.select(F.col(key).alias("key"), "text")
 

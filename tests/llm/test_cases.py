@@ -676,3 +676,78 @@ def test_repeated_tokens_are_tiled(spark):
     rows = [(1, "same " * n, "a"), (2, "ba ab " * n, "b"), (3, "same " * 1500, "c")]
     got = decontaminate.leaks(table(spark, rows), bench).collect()
     assert sorted((r["doc_id"], r["item_id"], r["covered"]) for r in got) == [(1, 1, 2000), (2, 2, 3000)]
+
+
+HELD_OUT = """
+Her name is [person|Julia Winter] and she sings .
+Please contact [person|Mark Sullivan] about the bill .
+Regards , [person|Nina Schulz]
+Mr. [person|Paul Granger] was born on [birth|19 June 1952] here .
+Date of birth: [birth|28/02/1966]
+DOB [birth|1981-12-05]
+Frau [person|Petra Lang] , geboren am [birth|11.10.1949]
+address: [address|5 Chestnut Avenue]
+He lives at [address|310 Harbour Road] now .
+Monsieur [person|Luc Garnier] habite [address|27 rue du Moulin] .
+Phone: [phone|(415) 555-0177]
+tel. [phone|555 014 2290]
+mobile [phone|555-019-3321] after nine
+Card [card|4222-2222-2222-2220] expired .
+visa [card|5105 1051 0510 5100]
+contact [email|amy (at) example (dot) org]
+Write to [email|lee@example.org] today .
+Server [ip|10.20.30.40] is down .
+The road was long and the street was wet .
+Chapter 7 has 210 pages and 14 pictures .
+In 1971 the town had 900 houses .
+Der Garten hinter dem Haus ist schön .
+La casa tiene 3 puertas y 8 ventanas .
+Licensed under the Public License , Version 3 .
+The name of the boat is not known .
+They call it a day at 5 .
+""".strip().splitlines()
+
+
+def test_hand_labelled_field_on_held_out_lines(spark):
+    chain = pii.train(pii.hand_labelled(spark))
+    right = found = total = 0
+    for line, labels in pii.labelled_lines(HELD_OUT):
+        got = pii.tag(chain, words_of(pa.array([line]))).tolist()
+        right += sum(g == t > 0 for g, t in zip(got, labels, strict=True))
+        found += sum(g > 0 for g in got)
+        total += sum(t > 0 for t in labels)
+    assert right >= 0.85 * total and right >= 0.9 * found, (right, found, total)
+    docs = spark.createDataFrame([(1, "Name: Julia Winter, phone (415) 555-0177. We sell 12 apples.")], "doc_id long, text string")
+    assert [tuple(s) for s in pii.find(docs, chain).first()["spans"]] == [("crf_person", 6, 18), ("crf_phone", 26, 40)]
+
+
+def test_long_lines_of_personal_data(spark):
+    import time
+
+    text = " ".join(f"x{k}@y.example phone (415) 555-01{k % 90 + 10} and" for k in range(50_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    begin = time.perf_counter()
+    chain = pii.train(pii.training_table(docs))
+    assert chain is not None
+    spans = pii.find(docs, pii.train(pii.hand_labelled(spark))).select(F.size(F.filter("spans", lambda s: s["kind"] == "email")), F.size("spans")).first()
+    assert spans[0] == 50_000 and spans[1] > 90_000 and time.perf_counter() - begin < 90
+
+
+def test_other_tokenizers_are_refused(tmp_path):
+    import json
+    import public_tokenizers
+
+    with open(_tokenizer()) as file:
+        good = json.load(file)
+    tokens.check_supported(json.dumps(good))
+    changes = [
+        {"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": {"type": "Whitespace"}}, {"pre_tokenizer": {**good["pre_tokenizer"], "add_prefix_space": True}},
+        {"pre_tokenizer": {**good["pre_tokenizer"], "use_regex": False}}, {"added_tokens": [{**good["added_tokens"][0], "lstrip": True}]},
+        {"model": {**good["model"], "end_of_word_suffix": "</w>"}}, {"truncation": {"max_length": 5}},
+    ]
+    for change in changes:
+        with pytest.raises(ValueError):
+            tokens.check_supported(json.dumps({**good, **change}))
+    with open(public_tokenizers.path("word_bpe_49k.json")) as file, pytest.raises(ValueError):
+        tokens.check_supported(file.read())
+
