@@ -7,6 +7,8 @@ import math
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {i: i + 32 for i in range(65, 91)}
 
@@ -155,3 +157,91 @@ def middle(i, text):
         return i, len(units), "plain", None, None, sha(text), sha(text)
     form, out = ("spm", f"<S>{s}<P>{p}<M>{m}") if h[3] % 100 < 80 else ("psm", f"<P>{p}<S>{s}<M>{m}")
     return i, len(units), form, len(p), len(m), sha(out), sha(text)
+
+
+def _spread(x):
+    """One 64-bit number mixed as SplitMix64 does."""
+    m = (1 << 64) - 1
+    x ^= x >> 30
+    x = x * 0xBF58476D1CE4E5B9 & m
+    x ^= x >> 27
+    x = x * 0x94D049BB133111EB & m
+    return x ^ x >> 31
+
+
+def permute(x, size, key):
+    """Place of x in a permutation of range(size): four Feistel rounds, repeated until the result is inside."""
+    half = max(1, (max(size - 1, 1).bit_length() + 1) // 2)
+    low = (1 << half) - 1
+    keys = [_spread((i + key % (1 << 63) * 4) % (1 << 64)) for i in range(1, 5)]
+    while True:
+        left, right = x >> half, x & low
+        for k in keys:
+            left, right = right, left ^ (_spread((right + k) % (1 << 64)) & low)
+        x = left << half | right
+        if x < size:
+            return x
+
+
+def mix_targets(sizes):
+    names = sorted(s for s in sizes if s is not None) + [None] * (None in sizes)
+    weight = {s: (1, 2, 3)[i % 3] for i, s in enumerate(names)}
+    capped = set()
+    while True:
+        left = sum(sizes.values()) - sum(3 * sizes[s] for s in capped)
+        level = left / max(sum(weight[s] for s in names if s not in capped), 1e-9)
+        more = {s for s in names if s not in capped and level * weight[s] > 3 * sizes[s]}
+        if not more:
+            return {s: 3.0 * sizes[s] if s in capped else level * weight[s] for s in names}
+        capped |= more
+
+
+def mix_taken(rows, buckets, block=128, shard_slots=8192, seed=0):
+    """Words taken of each row of (doc_id, source, size, place), in the order of the rows."""
+    sizes = {}
+    for _, s, n, _ in rows:
+        sizes[s] = sizes.get(s, 0) + n
+    want = mix_targets(sizes)
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    blocks, slots, trim = [], [], []
+    for s in names:
+        b, n = -(-sizes[s] // block), sizes[s]
+        passes = min(int(want[s] // n), 3) if n else 0
+        rest = int(want[s] - passes * n) if n and passes < 3 else 0
+        more = min(-(-rest // block), b)
+        last = rest - (more - 1) * block
+        blocks.append(b)
+        slots.append(passes * b + more)
+        trim.append(0 if more == 0 or last >= min(block, n) else last)
+    # Draws, numbered per source over the shards in order.
+    total, drawn = sum(slots), []
+    have = [0] * len(names)
+    for shard in range(-(-total // shard_slots)):
+        counts = np.random.default_rng([seed, shard]).multinomial(min(shard_slots, total - shard * shard_slots), np.array(slots) / max(total, 1))
+        for s, n in enumerate(counts.tolist()):
+            drawn += [(s, have[s] + k) for k in range(n)]
+            have[s] += n
+    # Draws beyond a source's slots, in order, fill the slots that others lack, in order.
+    lacking = [(s, number) for s in range(len(names)) for number in range(have[s], slots[s])]
+    surplus = {}
+    for s in range(len(names)):
+        for number in range(slots[s], have[s]):
+            surplus[s, number] = lacking[len(surplus)]
+    uses = {}
+    for s, number in drawn:
+        number = permute(number, have[s], seed * 1_000_003 + 7 * s + 1)
+        s, number = surplus.get((s, number), (s, number))
+        turn = number // blocks[s]
+        spot = permute(number - turn * blocks[s], blocks[s], seed * 1_000_003 + 7 * s + 1_009 * (turn + 2))
+        uses.setdefault((s, spot), []).append(trim[s] if trim[s] and number == slots[s] - 1 else block)
+    # Documents of a source end to end, by bucket of their hash, hash, id and size.
+    taken, at = {}, dict.fromkeys(names, 0)
+    for i in sorted(range(len(rows)), key=lambda i: (rows[i][3] % buckets, rows[i][3], rows[i][0] is not None, rows[i][0] or 0, rows[i][2])):
+        s, n = rows[i][1], rows[i][2]
+        words = 0
+        for place in range(at[s], at[s] + n):
+            words += sum(place % block < used for used in uses.get((names.index(s), place // block), ()))
+        taken[i] = words
+        at[s] += n
+    return [taken[i] for i in range(len(rows))]
+

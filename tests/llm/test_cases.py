@@ -751,3 +751,22 @@ def test_other_tokenizers_are_refused(tmp_path):
     with open(public_tokenizers.path("word_bpe_49k.json")) as file, pytest.raises(ValueError):
         tokens.check_supported(file.read())
 
+
+@pytest.mark.parametrize("shard_slots", [8, 8192])
+def test_mixing_equals_plain_version(spark, shard_slots, monkeypatch):
+    """Packing, draws, settlement and permutations, word by word."""
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 10)
+    rng = random.Random(shard_slots)
+    rows = [(i if i % 9 else None, prose(i, rng.choice([0, 1, 30, 200, 900])), rng.choice(["a", "a", "a", "b", "c", "d", None])) for i in range(90)]
+    docs = table(spark, rows).repartition(3)
+    for n in (1, 2, 5, 1000):
+        assert [brute.permute(k, n, 77) for k in range(n)] == mixing.permuted(np.arange(n), n, 77).tolist()
+    sized = [(r["doc_id"], r["source"], r["size"], r["place"]) for r in mixing.sized_documents(docs).collect()]
+    want = brute.mix_taken(sized, len(rows) // 10, shard_slots=shard_slots)
+    got = mixing.mixed(docs, shard_slots=shard_slots).taken().collect()
+    assert sorted(str((r["doc_id"], r["source"], r["size"], r["taken"])) for r in got) == sorted(
+        str((i, s, n, t)) for (i, s, n, _), t in zip(sized, want, strict=True)
+    )
+    for r in got:
+        assert r["target"] == pytest.approx(brute.mix_targets({s: sum(x[2] for x in sized if x[1] == s) for s in {x[1] for x in sized}})[r["source"]])
+
