@@ -135,6 +135,30 @@ def snapshot_at(base: DataFrame | None, changes: DataFrame, spec: Cumulative, at
     )
 
 
+def gaps(table: DataFrame, src: DataFrame, spec: Cumulative, last: int) -> DataFrame:
+    """(keys, __from): entities whose rows in a table of all periods are not complete up to ``last``, and the first period missing."""
+    first = src.where(F.col(spec.period) <= last).groupBy(*spec.keys).agg(F.min(spec.period).cast("int").alias("__first"))
+    # As many periods as the calendar has.
+    have = table.groupBy(*spec.keys).agg(F.collect_set(F.col(spec.current)).alias("__have"))
+    none = F.array().cast("array<int>")
+    missing = F.array_except(F.sequence("__first", F.lit(last)), F.coalesce("__have", none))
+    return first.join(have, list(spec.keys), "left").select(*spec.keys, F.array_min(missing).alias("__from")).where(F.col("__from").isNotNull())
+
+
+def repair(table: DataFrame, src: DataFrame, spec: Cumulative, last: int) -> DataFrame:
+    """A table of all periods with its gaps filled: only entities with a gap are replayed, and only from the first gap on.
+
+    Rows before an entity's first gap are kept as they are, those after it follow from it and are made anew. Without
+    gaps nothing is replayed. The result equals a full backfill if the kept rows do.
+    """
+    broken = gaps(table, src, spec, last)
+    keys = list(spec.keys)
+    kept = table.join(broken, keys, "left").where(F.col("__from").isNull() | (F.col(spec.current) < F.col("__from"))).drop("__from")
+    redone = cumulate_backfill(src.join(broken.select(*keys), keys, "left_semi"), spec, last)
+    redone = redone.join(broken, keys).where(F.col(spec.current) >= F.col("__from")).drop("__from")
+    return kept.unionByName(redone)
+
+
 def detail_totals(detail: DataFrame, keys: Sequence[str], attrs: Sequence[str], period: str, measure: str) -> DataFrame:
     """Detail rows reduced to one row per entity and period: attributes, sum and count of ``measure``.
 

@@ -829,4 +829,9 @@ ORACLES["bootstrap_readout"] = f"""
     SELECT 'onboarding' AS experiment, variant, CAST(max(n) FILTER (r = 0) AS BIGINT) AS units, round(max(difference) FILTER (r = 0), 8) AS difference,
            round(max(adjusted) FILTER (r = 0), 8) AS adjusted, round(quantile_cont(adjusted, 0.025) FILTER (r > 0), 8) AS low,
            round(quantile_cont(adjusted, 0.975) FILTER (r > 0), 8) AS high FROM apart GROUP BY variant"""
+ORACLES["bucketed_join_heavy"] = """
+    WITH lines AS (SELECT CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_partkey END AS part, CAST(l_quantity AS BIGINT) AS quantity FROM lineitem),
+    parts AS (SELECT p_partkey AS part, p_partkey % 7 AS kind FROM part WHERE p_partkey <> 0 UNION ALL SELECT 0, 99)
+    SELECT kind, count(*) AS num_rows, CAST(sum(quantity) AS BIGINT) AS quantity FROM lines JOIN parts USING (part) GROUP BY 1"""
+ORACLES["history_repair"] = PLAYER_TABLE
 

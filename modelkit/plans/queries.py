@@ -37,7 +37,7 @@ from modelkit.operators import (
 )
 from modelkit.plans import standins as src
 from modelkit.session import settings
-from modelkit.sources import keyed, layout, tables
+from modelkit.sources import keyed, layout, splitbuckets, tables
 from modelkit.streaming import enrich, run, sessions
 from modelkit.streaming import windows as streaming
 
@@ -1068,3 +1068,31 @@ def bootstrap_readout(spark, sf):
     assigned = experiments.assign_variants(users, "onboarding", experiments.THREE_WAY)
     out = experiments.bootstrap_readout(assigned, "purchases", "clicks", replicates=100)
     return out.select("experiment", "variant", "units", *[F.round(c, 8).alias(c) for c in ("difference", "adjusted", "low", "high")])
+
+
+@query
+def bucketed_join_heavy(spark, sf):
+    """Line items joined to parts by a key that a third of the lines share; that key goes to a salted side table."""
+    base = src.scratch(spark, "split")
+    tag = base.rsplit("-", 1)[1]
+    part = F.when(F.col("l_orderkey") % 3 == 0, F.lit(0)).otherwise(F.col("l_partkey")).alias("part")
+    lines = tables.read_table(spark, sf, "lineitem").select(part, "l_orderkey", "l_linenumber", F.col("l_quantity").cast("long").alias("quantity"))
+    parts = tables.read_table(spark, sf, "part").select(F.col("p_partkey").alias("part"), (F.col("p_partkey") % 7).alias("kind"))
+    parts = parts.where("part <> 0").unionByName(parts.limit(1).select(F.lit(0).cast("long").alias("part"), F.lit(99).cast("long").alias("kind")))
+    frames = {"lines": lines, "parts": parts}
+    hot = tables.stored(splitbuckets.heavy_keys(frames, "part", 1000), f"{base}/hot")
+    for frame, df in frames.items():
+        splitbuckets.write_split(df, f"{frame}_{tag}", frame, "part", hot, 16, base)
+    joined = splitbuckets.join_split(spark, (f"lines_{tag}", "lines"), (f"parts_{tag}", "parts"), "part", hot)
+    return joined.groupBy("kind").agg(F.count(F.lit(1)).alias("num_rows"), F.sum("quantity").alias("quantity"))
+
+
+@query
+def history_repair(spark, sf):
+    """The player table after some of its periods were lost, repaired from the first gap of each player on."""
+    table = players(spark, sf)
+    player, season = F.col("player"), F.col("current_season")
+    lost = (player % 7 == 3) & (season % 5 == 2) | (player % 11 == 5)
+    text = F.transform("season_stats", lambda s: F.concat_ws(":", s["season"], s["gp"]))
+    repaired = cumulative.repair(table.where(~lost), src.player_seasons(spark, sf), PLAYER, last_season(spark, sf))
+    return as_text(repaired.withColumn("season_stats", text))

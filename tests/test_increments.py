@@ -212,3 +212,41 @@ def test_stream_into_a_keyed_table(spark, tmp_path):
     run.finish(query, 600)
     assert {r["k"] for r in keyed.read_keyed(spark, path).collect()} == set(range(10))
     assert keyed.read_keyed(spark, path).count() == 10
+
+
+def test_repair_replays_only_what_follows_a_gap(spark):
+    spec = cumulative.Cumulative(keys=("player",), attrs=("college",), period="season", stats=("season", "gp", "pts"), measure="pts")
+    rng = random.Random(12)
+    rows = [(p, f"c{p}", s, p, float(rng.randrange(30))) for p in range(20) for s in range(2000, 2008) if rng.random() < 0.6 or s == 2000 + p % 8]
+    source = spark.createDataFrame(rows, "player int, college string, season int, gp int, pts double")
+    full = cumulative.cumulate_backfill(source, spec, 2008)
+    want = sorted(map(str, full.collect()))
+    assert cumulative.gaps(full, source, spec, 2008).count() == 0
+    lost = (F.col("player") == 3) & (F.col("current_season") >= 2006) | (F.col("player") == 8) & (F.col("current_season") == 2003) | (F.col("player") == 9)
+    damaged = full.where(~lost)
+    found = {r["player"]: r["__from"] for r in cumulative.gaps(damaged, source, spec, 2008).collect()}
+    assert found.keys() == {3, 8, 9} and found[3] == 2006 and found[8] == 2003
+    assert sorted(map(str, cumulative.repair(damaged, source, spec, 2008).collect())) == want
+    # Rows before the gap are kept as they are, and rows of other entities are not made anew.
+    marked = damaged.withColumn("scoring_class", F.lit("kept"))
+    seen = {(r["player"], r["current_season"]) for r in cumulative.repair(marked, source, spec, 2008).collect() if r["scoring_class"] != "kept"}
+    assert seen == {(p, s) for p, first in found.items() for s in range(first, 2009)}
+
+
+def test_heavy_keys_are_spread(spark, tmp_path):
+    """A key with a third of the rows is no larger a task than the others, and many-to-many joins stay whole."""
+    from modelkit.sources import splitbuckets
+
+    left = spark.range(9000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 500 == 1, F.lit(None)).otherwise(F.col("id") % 700).alias("k"), F.col("id").alias("a"))
+    right = spark.range(1500).select(F.when(F.col("id") < 400, F.lit(7)).otherwise(F.col("id") % 700).alias("k"), F.col("id").alias("b"))
+    hot = spark.createDataFrame(splitbuckets.heavy_keys({"l": left, "r": right}, "k", 200).collect(), "k long, shards_l int, shards_r int")
+    assert [tuple(r) for r in hot.collect()] == [(7, 16, 3)]
+    for df, frame in ((left, "l"), (right, "r")):
+        splitbuckets.write_split(df, f"split_{frame}", frame, "k", hot, 4, str(tmp_path))
+    sizes = spark.table("split_l_heavy").groupBy("k", "__shard").count().agg(F.max("count")).first()[0]
+    assert sizes < 300 and spark.table("split_l").where("k = 7").count() == 0
+    joined = splitbuckets.join_split(spark, ("split_l", "l"), ("split_r", "r"), "k", hot)
+    assert "Exchange hashpartitioning(k#" not in joined._jdf.queryExecution().toString().split("Union")[0]
+    want = left.join(right, "k").agg(F.count("*"), F.sum(F.xxhash64("k", "a", "b").cast("decimal(38,0)"))).first()
+    assert joined.agg(F.count("*"), F.sum(F.xxhash64("k", "a", "b").cast("decimal(38,0)"))).first() == want
+
