@@ -51,16 +51,22 @@ def _key(keys: Sequence[str]) -> Column:
 def _with_place(rows: DataFrame, keys: Sequence[str], files: DataFrame, count: int) -> DataFrame:
     """Add ``__place``, the number of the file that a row's key belongs to: the last one that begins at or before it, else the first.
 
-    Looked up in two steps over about the square root of the number of files each.
+    Rows and the files' lowest keys are sorted together in ranges of the key; within a range the last file begun so far is
+    a running maximum, and a range where none has begun yet takes the last one of the ranges before it.
     """
-    size = max(1, round(count**0.5))
-    groups = files.groupBy(F.floor(F.col("place") / size).alias("g")).agg(F.array_sort(F.collect_list("low")).alias("lows"))
-    table = groups.agg(F.array_sort(F.collect_list(F.struct("g", "lows"))).alias("t")).select(F.transform("t", lambda x: x["lows"]))
-    key, lows = _key(keys), F.col("__lows")
-    group = F.greatest(F.size(F.filter(lows, lambda g: F.get(g, F.lit(0)) <= key)), F.lit(1)) - 1
-    within = F.greatest(F.size(F.filter(F.get(lows, F.col("__group")), lambda low: low <= key)), F.lit(1)) - 1
-    placed = rows.withColumn("__lows", table.scalar()).withColumn("__group", group)
-    return placed.withColumn("__place", (F.col("__group") * size + within).cast("int")).drop("__lows", "__group")
+    key = _key(keys)
+    marks = files.select(F.col("low").alias("__k"), F.lit(0).alias("__row"), F.col("place").alias("__mark"))
+    both = rows.select("*", key.alias("__k"), F.lit(1).alias("__row"), F.lit(None).cast("int").alias("__mark"))
+    both = both.unionByName(marks, allowMissingColumns=True)
+    parts = max(1, rows.sparkSession.sparkContext.defaultParallelism, -(-count // 1000))
+    spread = both.repartitionByRange(parts, "__k").withColumn("__pid", F.spark_partition_id())
+    running = W.partitionBy("__pid").orderBy("__k", "__row").rowsBetween(W.unboundedPreceding, W.currentRow)
+    spread = spread.withColumn("__last", F.max("__mark").over(running))
+    ends = spread.groupBy("__pid").agg(F.max("__mark").alias("__end"))
+    carry = ends.select("__pid", F.max("__end").over(W.orderBy("__pid").rowsBetween(W.unboundedPreceding, -1)).alias("__carry"))
+    placed = spread.where(F.col("__row") == 1).join(F.broadcast(carry), "__pid", "left")
+    place = F.coalesce(F.col("__last"), F.col("__carry"), F.lit(0)).cast("int")
+    return placed.withColumn("__place", place).select(*rows.columns, "__place")
 
 
 def _commit(spark: SparkSession, path: str, version: int, entries: DataFrame) -> None:
@@ -121,8 +127,9 @@ def upsert(
     rows = fresh
     if hit:
         # The place of a stored row is that of its file.
-        place = F.create_map(*[F.lit(x) for r in hit for x in (r["file"], r["place"])])
-        old = spark.read.parquet(*[r["file"] for r in hit]).withColumn("__place", place[F.col("_metadata.file_path")])
+        place = files.where(F.col("place").isin(places)).select(F.col("file").alias("__file"), F.col("place").alias("__place"))
+        read = spark.read.parquet(*[r["file"] for r in hit]).withColumn("__file", F.col("_metadata.file_path"))
+        old = read.join(F.broadcast(place), "__file").drop("__file")
         mine = fresh.select(*[F.col(k).alias(f"__{k}") for k in keys])
         match = same([F.col(f"__{k}") for k in keys], [old[k] for k in keys])
         rows = fresh.unionByName(old.select(*columns, "__place").join(mine, match, "left_anti"))

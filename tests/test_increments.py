@@ -171,6 +171,22 @@ def test_keyed_table_grows_by_splitting(spark, tmp_path):
     assert len(files_of(spark, path)) > 4
 
 
+def test_keyed_place_lookup_is_a_sort_not_a_copy_per_row(spark):
+    """Each row finds its file by sorting with the files' lowest keys, not by a list of all files carried in every row."""
+    lows = [(p, {"k": k, "d": 0}) for p, k in enumerate([0, 10, 10, 25, 40, 77])]
+    files = spark.createDataFrame([(p, (low["k"], low["d"])) for p, low in lows], "place int, low struct<k:int,d:int>")
+    data = [(k, d) for k in [-3, None, *range(0, 90, 3)] for d in (0, 1, None)]
+    placed = keyed._with_place(spark.createDataFrame(data, "k int, d int"), ["k", "d"], files, len(lows))
+    order = lambda k: (k[0] is not None, k[0] if k[0] is not None else 0, k[1] is not None, k[1] if k[1] is not None else 0)
+    want = {}
+    for k, d in data:
+        begun = [p for p, low in lows if order((low["k"], low["d"])) <= order((k, d))]
+        want[(k, d)] = max(begun) if begun else 0
+    got = [tuple(r) for r in placed.collect()]
+    assert len(got) == len(data) and dict(((k, d), p) for k, d, p in got) == want
+    assert "scalar-subquery" not in placed._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
 def test_sessions_of_arrivals(spark, tmp_path):
     """Closed and open sessions together are the batch sessions of what was not late, and a repeated batch changes nothing."""
     rng = random.Random(6)
