@@ -80,13 +80,16 @@ def tie_totals(members: DataFrame, group: str, member: str, same: str, points: s
     The totals of all pairs without the pairs: in a group a member meets all others of its side and
     everyone of the other sides, so sums per group and per side of a group are enough. ``members`` has one row per
     group and member; a NULL ``same`` is a side of its own.
+
+    The lookup has a row per group and side, so it grows with the input: it is not measured for a broadcast, which
+    would compute it twice, once in a job of its own. AQE still broadcasts it when it turns out small.
     """
     side = F.coalesce(F.col(same).cast("string"), F.lit(""))
     rows = members.select(group, member, side.alias("__side"), F.col(points).alias("__points"))
     sides = rows.groupBy(group, "__side").agg(F.count(F.lit(1)).alias("__n"), F.sum("__points").alias("__sum"))
     whole = sides.groupBy(group).agg(F.sum("__n").alias("__all_n"), F.sum("__sum").alias("__all_sum"))
     lookup = sides.join(whole, group)
-    met = salted_join(rows, lookup, [group, "__side"], [member])
+    met = salted_join(rows, lookup, [group, "__side"], [member], max_bytes=0)
     nil = F.lit(0).cast("long")
     return met.groupBy(member).agg(
         F.sum(F.col("__n") - 1).alias("teammates_met"),

@@ -154,6 +154,17 @@ def test_tie_totals(spark):
     assert got == dict(want)
 
 
+def test_tie_totals_plan_runs_no_job(spark):
+    """The lookup grows with the input; building the plan must not compute it in a job of its own."""
+    df = spark.createDataFrame(game_rows(), "game int, player int, team string, pts int")
+    spark.sparkContext.setJobGroup("tie-totals-plan", "building the plan only")
+    try:
+        graph.tie_totals(df, "game", "player", "team", "pts")
+    finally:
+        spark.sparkContext.setJobGroup("other", "")
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup("tie-totals-plan") == []
+
+
 def test_subject_pairs(spark):
     rows = game_rows()
     df = spark.createDataFrame(rows, "game int, player int, team string, pts int")
